@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,8 @@ STYLE_BLOCK = r"(?s)<style[^>]*>.*?</style>"
 COMMENT = r"(?s)<!--.*?-->"
 EVENT_HANDLER = r'on\w+="[^"]*"'
 TAG = r"<[^>]*>"
+# One JSON literal, folded to a map when the query is planned.
+NAMED_REFERENCES = json.dumps({name: chr(code) for name, code in name2codepoint.items()})
 ENTITY = r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
@@ -37,7 +40,7 @@ def unescape_entities(text: Column) -> Column:
     joined again, so '&amp;lt;' becomes '&lt;' and is not unescaped twice. Text without
     '&' is passed through.
     """
-    names = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
+    names = F.from_json(F.lit(NAMED_REFERENCES), "map<string,string>")
 
     def resolve(ref: Column) -> Column:
         body = F.substring(ref, 2, 12)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import markup, money, text, urls
 from vitrine.operators.quality import truthy, truthy_list
+from vitrine.workspace import stage
 
 EXTRACTOR_VERSION = "1.0.0"
 
@@ -34,6 +35,7 @@ def parse_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
             "_details": markup.detail_list(page),
             "_description": markup.description(F.col("_product"), None),
             "_spans": markup.price_spans(page),
+            "_title": markup.title(F.col("_product"), page),
         }
     )
     return df.drop("_texts", "_nodes")
@@ -49,10 +51,10 @@ def extract_products(pages: DataFrame, url: str = "url", html: str = "html") ->
         markup.usd_price(offers), F.element_at(spans, F.lit("USD")).cast("double").cast("decimal(18,0)").cast("string")
     )
     reason = F.when(product.isNull() & (F.col("broken_blocks") > 0), F.lit("parse_error")).when(
-        markup.title(product, F.col(html)).isNull(), F.lit("no_title")
+        F.col("_title").isNull(), F.lit("no_title")
     )
     info = F.struct(
-        markup.title(product, F.col(html)).alias("title"),
+        F.col("_title").alias("title"),
         urls.product_id(F.col(url)).alias("product_id"),
         markup.clip(desc, markup.MAX_DESCRIPTION).alias("description"),
         markup.brand(product).alias("brand"),
@@ -199,3 +201,12 @@ def flatten_documents(parsed: DataFrame) -> DataFrame:
             "has_materials": truthy_list(F.col("materials")),
         }
     )
+
+
+def land_documents(raw: DataFrame, value: str = "value") -> DataFrame:
+    """Parse and flatten collected documents into a Parquet table, once.
+
+    Every statistic then reads only its own columns of that table. Built on the unlanded
+    rows instead, each filter would be pushed below the parsing and parse the text again.
+    """
+    return stage(flatten_documents(parse_documents(raw, value)).drop(value), "documents")

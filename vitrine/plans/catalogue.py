@@ -1,4 +1,4 @@
 """All query modules, loaded into one catalogue."""
 
-from vitrine.plans import urls  # noqa: F401
+from vitrine.plans import checks, joins, pages, totals, urls  # noqa: F401
 from vitrine.plans.registry import CHECKS, QUERIES  # noqa: F401

@@ -46,5 +46,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def partitions_for(df: DataFrame, target_bytes: int = 256 << 20) -> int:
     """Number of partitions that keeps each near `target_bytes`, never below the session's setting."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return max(configured, min(estimate // target_bytes + 1, 1_000_000))
