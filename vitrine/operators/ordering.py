@@ -188,3 +188,26 @@ def exact_percentile(
     low, high = at(F.floor("_rank")), at(F.ceil("_rank"))
     part = F.first("_rank") - F.floor(F.first("_rank"))
     return ranked.groupBy(*by).agg((low + (high - low) * part).alias(name))
+
+
+# Progress is reported at every hundredth item and at these counts.
+PROGRESS_STEP = 100
+MILESTONES = [500, 1000, 2500, 5000]
+
+
+def milestone_stage(processed: Column) -> Column:
+    return F.when(processed.isin(MILESTONES), F.lit("milestone")).when(
+        processed % PROGRESS_STEP == 0, F.lit("progress")
+    )
+
+
+def milestones(rows: DataFrame, container: str, order_by: Sequence[str], ok: str) -> DataFrame:
+    """The rows at which a container reaches a reported count, with the successes and failures so far."""
+    counted = with_position(
+        rows, order_by, within=[container], name="_before", running={"success": F.col(ok).cast("long")}
+    )
+    counted = counted.withColumn("processed", F.col("_before") + 1)
+    counted = counted.withColumns(
+        {"failed": F.col("processed") - F.col("success"), "stage": milestone_stage(F.col("processed"))}
+    )
+    return counted.where(F.col("stage").isNotNull()).drop("_before")
