@@ -107,6 +107,12 @@ def envelope(products: DataFrame, container: Column, at: Column, duration_ms: Co
     return products.select("url", "extraction_status", "data", meta.alias("extraction_metadata"))
 
 
+def land_products(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """Extract once into a Parquet table. Filters and explodes then read the stored fields
+    instead of being pushed below the extraction, which would parse every page again."""
+    return stage(extract_products(pages, url, html), "products")
+
+
 def flatten_extracted(products: DataFrame) -> DataFrame:
     """The typed nested product as a flat row."""
     return products.select(

@@ -19,7 +19,7 @@ def _features(spark, sf):
 
 
 def _flat(spark, sf):
-    return extraction.flatten_extracted(extraction.extract_products(I.product_pages(spark, sf)))
+    return extraction.flatten_extracted(extraction.land_products(I.product_pages(spark, sf)))
 
 
 @query("ds_category", f"{features_sql()} SELECT url, item_description, all_terms, primary_category, secondary_category FROM features")

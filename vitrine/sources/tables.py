@@ -53,15 +53,13 @@ def path_columns(file: Column) -> dict[str, Column]:
 def read_documents(spark: SparkSession, folder: str, pattern: str = DOCUMENT_FILE, one_per_file: bool = True) -> DataFrame:
     """Collected JSON documents as text, one per file or one per line, with instance and chunk."""
     reader = spark.read.option("recursiveFileLookup", True)
-    if one_per_file:
-        reader = reader.option("wholetext", True)
-    docs = reader.text(folder).select("value", F.col("_metadata.file_path").alias("file"))
+    docs = reader.text(folder, wholetext=one_per_file).select("value", F.col("_metadata.file_path").alias("file"))
     return docs.where(F.col("file").rlike(pattern)).withColumns(path_columns(F.col("file")))
 
 
 def read_html(spark: SparkSession, folder: str) -> DataFrame:
     """One row per page file, plain or gzip; the product id is the file's base name."""
-    pages = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(folder)
+    pages = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)\.html(?:\.gz)?$", 1)
     return pages.select(name.alias("product_id"), F.col("value").alias("html"))
 
