@@ -190,7 +190,7 @@ def materials(description_text: Column, keywords: list[str] | None = None) -> Co
     """Material keywords found as whole words, capitalised, in keyword order."""
     lowered = F.lower(description_text)
     hits = [
-        F.when(lowered.rlike(rf"\b{word}\b"), F.lit(word.capitalize())) for word in (keywords or MATERIALS)
+        F.when(lowered.rlike(rf"(?U)\b{word}\b"), F.lit(word.capitalize())) for word in (keywords or MATERIALS)
     ]
     return F.array_compact(F.array(*hits))
 

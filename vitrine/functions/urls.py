@@ -1,6 +1,7 @@
 """Column builders over listing URLs.
 
-Everything is a native expression on the URL text. The path and host patterns
+Everything is a native expression on the URL text that stays inside whole-stage code
+generation; higher-order functions, which do not, are avoided. The path and host patterns
 follow the generic URI grammar, so a malformed URL still yields what can be read.
 """
 
@@ -32,12 +33,8 @@ def path(url: Column) -> Column:
     return F.regexp_extract(url, PATH, 1)
 
 
-def _non_empty(parts: Column) -> Column:
-    return F.filter(parts, lambda p: p != "")
-
-
 def path_segments(url: Column) -> Column:
-    return _non_empty(F.split(path(url), "/"))
+    return F.array_remove(F.split(path(url), "/"), "")
 
 
 def depth(segments: Column) -> Column:
@@ -70,7 +67,7 @@ def category_level(segments: Column, level: int) -> Column:
 
 
 def extracted_terms(url_path: Column) -> Column:
-    return _non_empty(F.split(url_path, "[/-]"))
+    return F.array_remove(F.split(url_path, "[/-]"), "")
 
 
 def all_terms(url_path: Column) -> Column:
@@ -82,12 +79,13 @@ def numeric_values(url_path: Column) -> Column:
     return F.regexp_extract_all(url_path, F.lit(r"\d+"), F.lit(0))
 
 
-def hyphenated_terms(segments: Column) -> Column:
-    return F.filter(segments, lambda s: F.contains(s, F.lit("-")) & ~F.startswith(s, F.lit("id-f_")))
+def hyphenated_terms(url_path: Column) -> Column:
+    """Segments that hold a hyphen, the id segment left out."""
+    return F.regexp_extract_all(url_path, F.lit(r"(?<=/)(?!id-f_)[^/]*-[^/]*"), F.lit(0))
 
 
-def capitalized_terms(terms: Column) -> Column:
-    return F.filter(terms, lambda t: t.rlike(r"^\p{Lu}"))
+def capitalized_terms(url_path: Column) -> Column:
+    return F.regexp_extract_all(url_path, F.lit(r"(?<=[/-])\p{Lu}[^/-]*"), F.lit(0))
 
 
 def decade(slug: Column, min_year: int = 1800, max_year: int = 2029) -> Column:
@@ -120,14 +118,9 @@ def with_url_features(df: DataFrame, url: str = "url") -> DataFrame:
     """Add the URL metadata record. Path and segments are projected once and shared by the rest."""
     u = F.col(url)
     df = df.withColumn("path", path(u))
-    df = df.withColumn("path_segments", _non_empty(F.split("path", "/")))
+    df = df.withColumn("path_segments", F.array_remove(F.split("path", "/"), ""))
     seg = F.col("path_segments")
-    df = df.withColumns(
-        {
-            "item_description": item_description(seg),
-            "extracted_terms": extracted_terms(F.col("path")),
-        }
-    )
+    df = df.withColumn("item_description", item_description(seg))
     return df.withColumns(
         {
             "domain": host(u),
@@ -138,10 +131,11 @@ def with_url_features(df: DataFrame, url: str = "url") -> DataFrame:
             "primary_category": category_level(seg, 0),
             "secondary_category": category_level(seg, 1),
             "tertiary_category": category_level(seg, 2),
+            "extracted_terms": extracted_terms(F.col("path")),
             "all_terms": all_terms(F.col("path")),
             "numeric_values": numeric_values(F.col("path")),
-            "hyphenated_terms": hyphenated_terms(seg),
-            "capitalized_terms": capitalized_terms(F.col("extracted_terms")),
+            "hyphenated_terms": hyphenated_terms(F.col("path")),
+            "capitalized_terms": capitalized_terms(F.col("path")),
             "decade": decade(F.col("item_description")),
         }
     )

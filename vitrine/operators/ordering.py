@@ -17,6 +17,9 @@ from vitrine.workspace import partitions_for, stage
 
 ROW_BITS = (1 << 33) - 1
 
+# A window over a whole group is used only on a written table that is counted to be no larger than this.
+MAX_WINDOW_ROWS = 2_000_000
+
 
 def _placed(df: DataFrame, keys: list[Column], parts: int | None) -> DataFrame:
     parts = parts or partitions_for(df)
@@ -173,14 +176,19 @@ def exact_percentile(
         bracketed = present.select(value, *[F.lit(one[c]).alias(c) for c in ("_lo", "_hi", "_rank")])
     # Values below the bracket collapse into one count per group before the shuffle.
     inside = F.col(value) >= F.col("_lo")
-    counted = (
+    counted = stage(
         bracketed.where(F.col(value) <= F.col("_hi"))
         .groupBy(*by, "_rank", F.when(inside, F.col(value)).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg(F.count(F.lit(1)).alias("_c")),
+        "counted",
     )
-    order = Window.partitionBy(*(by or [F.lit(0)])).orderBy(F.col("_value").asc_nulls_first())
-    upto = F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counted.withColumn("_upto", upto).where(F.col("_value").isNotNull())
+    if counted.count() <= MAX_WINDOW_ROWS:
+        order = Window.partitionBy(*(by or [F.lit(0)])).orderBy(F.col("_value").asc_nulls_first())
+        upto = F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0))
+        ranked = counted.withColumn("_upto", upto)
+    else:
+        ranked = with_position(counted, ["_value"], within=by, running={"_upto": F.col("_c")})
+    ranked = ranked.where(F.col("_value").isNotNull())
 
     def at(rank: Column) -> Column:
         return F.min(F.when(F.col("_upto") > rank, F.col("_value")))

@@ -10,13 +10,15 @@ from vitrine.plans import inputs as I
 from vitrine.plans.registry import query
 from vitrine.plans.urls import features_sql
 from vitrine.sources.tables import read_parquet
+from vitrine.workspace import stage
 
 CHUNK = 50
 INSTANCES = ["10.0.0.1", "10.0.0.2", "10.0.0.3"]
 
 
 def _features(spark, sf):
-    return U.with_url_features(I.url_rows(spark, sf))
+    """Features as a stored table: the joins below are between stored tables, planned from their true sizes."""
+    return stage(U.with_url_features(I.url_rows(spark, sf)), "features")
 
 
 @query("join_on_url", f"""{features_sql()} SELECT c.url, c.item_description, c.all_terms, c.primary_category, c.secondary_category,

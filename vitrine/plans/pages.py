@@ -118,7 +118,7 @@ def spec_materials(spark, sf):
 
 
 @query("document_materials", "SELECT doc_id, " + " || ".join(
-    f"CASE WHEN regexp_matches(lower(text), '\\b{m}\\b') THEN '{m.capitalize()},' ELSE '' END" for m in M.MATERIALS + ["in", "der"]
+    f"CASE WHEN regexp_matches(lower(text), '(^|[^\\p{{L}}\\p{{N}}_]){m}($|[^\\p{{L}}\\p{{N}}_])') THEN '{m.capitalize()},' ELSE '' END" for m in M.MATERIALS + ["in", "der"]
 ) + " AS materials FROM documents")
 def document_materials(spark, sf):
     found = M.materials(F.col("text"), M.MATERIALS + ["in", "der"])

@@ -56,8 +56,9 @@ ORDER_MONEY_SQL = f"SELECT id, {P.SQL_MONEY} AS amount FROM ({P.PRICED_SQL})"
 
 @query("agg_price_bands", _bands_sql(ORDER_MONEY_SQL, money.PRICE_BANDS[1] + [money.NO_PRICE], SQL_BAND))
 def agg_price_bands(spark, sf):
-    band = money.price_band(money.parse_money(F.col("price")), *money.PRICE_BANDS)
-    return summaries.band_counts(P.priced_orders(spark, sf), band, money.PRICE_BANDS[1] + [money.NO_PRICE])
+    band = money.price_band(F.col("amount"), *money.PRICE_BANDS)
+    amounts = P.priced_orders(spark, sf).select(money.parse_money(F.col("price")).alias("amount"))
+    return summaries.band_counts(amounts, band, money.PRICE_BANDS[1] + [money.NO_PRICE])
 
 
 @query("document_price_bands", _bands_sql(f"SELECT * FROM ({I.DOCUMENTS_SQL}) WHERE kind = 'product'", money.PRICE_BANDS[1] + [money.NO_PRICE], SQL_BAND))
@@ -70,8 +71,9 @@ def document_price_bands(spark, sf):
 @query("agg_price_bands3", _bands_sql("SELECT round(l_extendedprice, 2) AS amount FROM lineitem", money.PRICE_BANDS_3[1], SQL_BAND3))
 def agg_price_bands3(spark, sf):
     shown = money.as_dollars(F.col("l_extendedprice"))
-    band = money.price_band(money.parse_money(shown), *money.PRICE_BANDS_3, missing=None)
-    return summaries.band_counts(read_parquet(spark, sf, "lineitem"), band, money.PRICE_BANDS_3[1])
+    band = money.price_band(F.col("amount"), *money.PRICE_BANDS_3, missing=None)
+    amounts = read_parquet(spark, sf, "lineitem").select(money.parse_money(shown).alias("amount"))
+    return summaries.band_counts(amounts, band, money.PRICE_BANDS_3[1])
 
 
 @query("agg_decade_distribution", f"""{features_sql()}, d AS (SELECT decade, count(*) AS n FROM features WHERE decade IS NOT NULL GROUP BY 1)

@@ -43,7 +43,7 @@ def _joined(value: Column) -> Column:
     return F.array_join(value, "|")
 
 
-def SEG() -> Column:
+def _segments() -> Column:
     return U.path_segments(F.col("url"))
 
 
@@ -54,12 +54,12 @@ def url_domain(spark, sf):
 
 @query("url_path_segments", _one("segments", "array_to_string(seg, '|')"))
 def url_path_segments(spark, sf):
-    return _from_url(spark, sf, "segments", _joined(SEG()))
+    return _from_url(spark, sf, "segments", _joined(_segments()))
 
 
 @query("url_depth", _one("depth_level", "depth_level"))
 def url_depth(spark, sf):
-    return _from_url(spark, sf, "depth_level", U.depth(SEG()))
+    return _from_url(spark, sf, "depth_level", U.depth(_segments()))
 
 
 @query("url_item_id", _one("item_id", r"regexp_extract(url, '/id-f_(\d+)', 1)"))
@@ -78,7 +78,7 @@ def url_product_id(spark, sf):
 
 @query("url_item_description", _one("item_description", "item_description"))
 def url_item_description(spark, sf):
-    return _from_url(spark, sf, "item_description", U.item_description(SEG()))
+    return _from_url(spark, sf, "item_description", U.item_description(_segments()))
 
 
 @query(
@@ -87,7 +87,7 @@ def url_item_description(spark, sf):
     "tertiary_category FROM features",
 )
 def url_category_hierarchy(spark, sf):
-    df = I.url_rows(spark, sf).withColumn("seg", SEG())
+    df = I.url_rows(spark, sf).withColumn("seg", _segments())
     levels = [U.category_level(F.col("seg"), i).alias(n) for i, n in
               enumerate(["primary_category", "secondary_category", "tertiary_category"])]
     return df.select("id", _joined(U.category_hierarchy(F.col("seg"))).alias("hierarchy"), *levels)
@@ -110,7 +110,7 @@ def url_numeric_values(spark, sf):
 
 @query("url_hyphenated_terms", _one("hyphenated_terms", "array_to_string(hyphenated, '|')"))
 def url_hyphenated_terms(spark, sf):
-    return _from_url(spark, sf, "hyphenated_terms", _joined(U.hyphenated_terms(SEG())))
+    return _from_url(spark, sf, "hyphenated_terms", _joined(U.hyphenated_terms(U.path(F.col("url")))))
 
 
 @query(
@@ -119,13 +119,13 @@ def url_hyphenated_terms(spark, sf):
 )
 def url_capitalized_terms(spark, sf):
     return _from_url(
-        spark, sf, "capitalized_terms", _joined(U.capitalized_terms(U.extracted_terms(U.path(F.col("url")))))
+        spark, sf, "capitalized_terms", _joined(U.capitalized_terms(U.path(F.col("url"))))
     )
 
 
 @query("url_decade", _one("decade", "decade"))
 def url_decade(spark, sf):
-    return _from_url(spark, sf, "decade", U.decade(U.item_description(SEG())))
+    return _from_url(spark, sf, "decade", U.decade(U.item_description(_segments())))
 
 
 @query(

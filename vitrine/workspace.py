@@ -43,8 +43,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def partitions_for(df: DataFrame, target_bytes: int = 256 << 20) -> int:
-    """Number of partitions that keeps each near `target_bytes`, never below the session's setting."""
+def partitions_for(df: DataFrame, input_bytes: int = 64 << 20) -> int:
+    """Partitions so that each stands for about `input_bytes` of the files read, never below the session's setting."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return max(configured, min(estimate // target_bytes + 1, 1_000_000))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    total = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return max(configured, min(total // input_bytes + 1, 1_000_000))
