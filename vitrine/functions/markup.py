@@ -13,8 +13,8 @@ from vitrine.functions import money, text
 
 JSONLD_SCRIPT = r"(?s)<script[^>]*type=\"application/ld\+json\"[^>]*>(.*?)</script>"
 HEADLINE = r"(?s)<h1[^>]*class=\"[^\"]*headline-3[^\"]*\"[^>]*>(.*?)</h1>"
-DETAIL = r"(?s)<li[^>]*>\s*([^:<]+?)\s*:\s*([^<]*?)\s*</li>"
-PRICE_SPAN = r"<span[^>]*data-cy=\"price-([A-Z]{3})\"[^>]*>([^<]*)</span>"
+DETAIL = r"<li[^>]*>([^:<]*:[^<]*)</li>"
+PRICE_SPAN = r"<span[^>]*data-cy=\"price-([A-Z]{3}\"[^>]*>[^<]*)</span>"
 BREADCRUMB_NAV = r"(?s)<nav[^>]*aria-label=\"breadcrumb\"[^>]*>(.*?)</nav>"
 ANCHOR_TEXT = r"(?s)<a[^>]*>(.*?)</a>"
 DIMENSIONS = (
@@ -112,15 +112,18 @@ def is_period(value: Column) -> Column:
 
 
 def _last_per_key(entries: Column) -> Column:
-    """Entries whose key does not come again later, so that building a map cannot fail."""
-    keys = F.transform(entries, lambda e: e["key"])
-    return F.filter(
-        entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"])
-    )
+    """Entries whose key does not come again later, so that building a map cannot fail.
+
+    The list is bound to a lambda variable first; written into the inner function as it
+    is, its expression would be evaluated again for every element.
+    """
 
+    def without_earlier(es: Column) -> Column:
+        return F.filter(
+            es, lambda e, i: ~F.exists(F.slice(es, i + 2, F.size(es)), lambda later: later["key"] == e["key"])
+        )
 
-def _entries(keys: Column, values: Column) -> Column:
-    return F.zip_with(keys, values, lambda k, v: F.struct(k.alias("key"), v.alias("value")))
+    return F.get(F.transform(F.array(entries), without_earlier), F.lit(0))
 
 
 def multi_currency(offer_list: Column) -> Column:
@@ -137,17 +140,27 @@ def usd_price(offer_list: Column) -> Column:
 
 def price_spans(html: Column) -> Column:
     """Displayed prices by currency."""
-    codes = F.regexp_extract_all(html, F.lit(PRICE_SPAN), F.lit(1))
-    shown = F.regexp_extract_all(html, F.lit(PRICE_SPAN), F.lit(2))
-    entries = _entries(codes, F.transform(shown, money.amount_in_text))
+    spans = F.regexp_extract_all(html, F.lit(PRICE_SPAN), F.lit(1))
+    entries = F.transform(
+        spans,
+        lambda s: F.struct(
+            F.left(s, F.lit(3)).alias("key"), money.amount_in_text(F.substring_index(s, ">", -1)).alias("value")
+        ),
+    )
     return F.map_from_entries(_last_per_key(F.filter(entries, lambda e: e["value"].isNotNull())))
 
 
 def detail_list(html: Column) -> Column:
     """'<li>Key: Value</li>' items as a map; the last value of a key stays."""
-    keys = F.regexp_extract_all(html, F.lit(DETAIL), F.lit(1))
-    values = F.transform(F.regexp_extract_all(html, F.lit(DETAIL), F.lit(2)), text.unescape_entities)
-    return F.map_from_entries(_last_per_key(_entries(keys, values)))
+    items = F.regexp_extract_all(html, F.lit(DETAIL), F.lit(1))
+    entries = F.transform(
+        items,
+        lambda i: F.struct(
+            text.strip(F.substring_index(i, ":", 1)).alias("key"),
+            text.strip(text.unescape_entities(F.regexp_replace(i, "^[^:]*:", ""))).alias("value"),
+        ),
+    )
+    return F.map_from_entries(_last_per_key(F.filter(entries, lambda e: e["key"] != "")))
 
 
 def images(product: Column) -> Column:
@@ -187,12 +200,14 @@ def dimensions(description_text: Column, default_unit: str = "inches") -> Column
 
 
 def materials(description_text: Column, keywords: list[str] | None = None) -> Column:
-    """Material keywords found as whole words, capitalised, in keyword order."""
-    lowered = F.lower(description_text)
-    hits = [
-        F.when(lowered.rlike(rf"(?U)\b{word}\b"), F.lit(word.capitalize())) for word in (keywords or MATERIALS)
-    ]
-    return F.array_compact(F.array(*hits))
+    """Material keywords found as whole words, capitalised, in keyword order. One pass over the text for all of them."""
+    words = keywords or MATERIALS
+    if not all(w.isalnum() and w == w.lower() for w in words):
+        raise ValueError("material keywords are single lower-case words")
+    pattern = rf"(?U)\b({'|'.join(words)})\b"
+    found = F.regexp_extract_all(F.lower(description_text), F.lit(pattern), F.lit(1))
+    hits = F.transform(F.array_intersect(F.array(*[F.lit(w) for w in words]), found), F.initcap)
+    return F.coalesce(hits, F.array().cast("array<string>"))
 
 
 def first_mentioned(value: Column, names: list[str]) -> Column:

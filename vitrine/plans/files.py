@@ -14,7 +14,7 @@ from vitrine.plans.registry import query
 from vitrine.plans.urls import features_sql
 from vitrine.sources import sinks, tables
 from vitrine.sources.tables import read_parquet
-from vitrine.workspace import scratch
+from vitrine.workspace import scratch, spread
 
 CHUNK = 100
 ANY_EXTRACTED = r"/extracted=?[^/]*/[^/]+\.txt$"
@@ -48,7 +48,7 @@ def scan_url_list(spark, sf):
 @query("scan_json_documents", """SELECT s_suppkey AS id, CAST(s_suppkey % 2 + 1 AS VARCHAR) AS instance, CAST(s_suppkey % 5 + 1 AS VARCHAR) AS chunk,
  s_name AS title, round(s_acctbal, 2) AS amount FROM supplier""")
 def scan_json_documents(spark, sf):
-    rows = read_parquet(spark, sf, "supplier").select(
+    rows = spread(read_parquet(spark, sf, "supplier")).select(
         F.to_json(F.struct(F.concat(F.lit("f_"), F.col("s_suppkey").cast("string")).alias("product_id"), F.col("s_name").alias("title"),
                            F.col("s_acctbal").alias("price"))).alias("value"),
         (F.col("s_suppkey") % 2 + 1).alias("instance_"), (F.col("s_suppkey") % 5 + 1).alias("chunk_"))
@@ -85,7 +85,7 @@ def agg_files_per_kind(spark, sf):
 @query("scan_raw_html", "SELECT count(*) AS pages, count(DISTINCT md5(html)) AS distinct_pages, sum(strlen(html)) AS bytes FROM pages")
 def scan_raw_html(spark, sf):
     path = scratch(spark, "html")
-    one_each = read_parquet(spark, sf, "pages").select("html").write.option("maxRecordsPerFile", 1)
+    one_each = spread(read_parquet(spark, sf, "pages")).select("html").write.option("maxRecordsPerFile", 1)
     one_each.option("compression", "gzip").option("lineSep", "\u0003").text(path)
     pages = tables.read_html(spark, path).select(F.regexp_replace("html", "\u0003$", "").alias("html"))
     return pages.agg(F.count(F.lit(1)).alias("pages"), F.count_distinct(F.md5("html")).alias("distinct_pages"),

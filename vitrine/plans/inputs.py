@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.sources.tables import read_parquet
+from vitrine.workspace import spread
 
 HOST = "www.market.example"
 
@@ -148,7 +149,7 @@ PAGE_HTML = f"""concat('<!DOCTYPE html><html><head><script>var a = "x";</script>
 
 
 def product_pages(spark: SparkSession, sf: str) -> DataFrame:
-    part = read_parquet(spark, sf, "part")
+    part = spread(read_parquet(spark, sf, "part"))
     return part.select(F.col("p_partkey").alias("id"), F.expr(LISTING_URL).alias("url"), F.expr(PAGE_HTML).alias("html"))
 
 
@@ -182,7 +183,7 @@ DOCUMENTS_SQL = """SELECT p_partkey AS id, concat('f_', p_partkey) AS product_id
 
 def document_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Document text with the directory names it is stored under."""
-    return read_parquet(spark, sf, "part").select(
+    return spread(read_parquet(spark, sf, "part")).select(
         F.expr(DOCUMENT_TEXT).alias("value"),
         (F.col("p_partkey") % 2 + 1).alias("instance_"),
         (F.col("p_partkey") % 5 + 1).alias("chunk_"),

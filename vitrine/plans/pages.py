@@ -11,6 +11,7 @@ from vitrine.operators import chunks, extraction, summaries
 from vitrine.plans import inputs as I
 from vitrine.plans.registry import query
 from vitrine.sources.tables import read_parquet
+from vitrine.workspace import spread
 
 # What each page form holds, as the check SQL sees it. Forms are described in inputs.py.
 SQL_HAS_NODE = "p_partkey % 10 NOT IN (3, 4)"
@@ -122,7 +123,7 @@ def spec_materials(spark, sf):
 ) + " AS materials FROM documents")
 def document_materials(spark, sf):
     found = M.materials(F.col("text"), M.MATERIALS + ["in", "der"])
-    return read_parquet(spark, sf, "documents").select(
+    return spread(read_parquet(spark, sf, "documents")).select(
         "doc_id", F.array_join(F.transform(found, lambda m: F.concat(m, F.lit(","))), "").alias("materials")
     )
 
@@ -211,7 +212,7 @@ for _ref, _char in [("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", "\u00a0"),
 
 @query("sanitize_strings", rf"SELECT page_id, md5(regexp_replace({SQL_UNESCAPED}, '^[\s\x{{00a0}}]+|[\s\x{{00a0}}]+$', '', 'g')) AS text_md5 FROM pages")
 def sanitize_strings(spark, sf):
-    clean = text.sanitize_strings(read_parquet(spark, sf, "pages").select("page_id", F.struct(F.array("html").alias("texts")).alias("data")))
+    clean = text.sanitize_strings(spread(read_parquet(spark, sf, "pages")).select("page_id", F.struct(F.array("html").alias("texts")).alias("data")))
     return clean.select("page_id", F.md5(F.col("data.texts")[0]).alias("text_md5"))
 
 

@@ -49,3 +49,9 @@ def partitions_for(df: DataFrame, input_bytes: int = 64 << 20) -> int:
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     total = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
     return max(configured, min(total // input_bytes + 1, 1_000_000))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than cores is spread before costly work on each row; any other is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
