@@ -7,6 +7,8 @@ follow the generic URI grammar, so a malformed URL still yields what can be read
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +56,7 @@ def product_id(url: Column, hash_len: int = 10) -> Column:
 
 
 def item_description(segments: Column) -> Column:
-    return F.get(segments, F.size(segments) - 2)
+    return F.try_element_at(segments, F.lit(-2))
 
 
 def category_hierarchy(segments: Column) -> Column:
@@ -89,9 +91,15 @@ def capitalized_terms(url_path: Column) -> Column:
 
 
 def decade(slug: Column, min_year: int = 1800, max_year: int = 2029) -> Column:
-    """Decade of the first year written in the slug; null without one or out of range."""
+    """Decade of the first year written in the slug; null without one or out of range.
+
+    The decades of all years in range are a constant array indexed by the year: the year
+    occurs once in the expression, so a filter on the decade does not repeat the parsing.
+    """
     year = F.regexp_extract(slug, YEAR_IN_SLUG, 1).try_cast("int")
-    return F.when(year.between(min_year, max_year), (F.floor(year / 10) * 10).cast("int"))
+    # One literal, folded to an array when the query is planned.
+    decades = F.from_json(F.lit(json.dumps([y // 10 * 10 for y in range(min_year, max_year + 1)])), "array<int>")
+    return F.get(decades, year - min_year)
 
 
 def keyword_category(url: Column) -> Column:

@@ -38,6 +38,13 @@ CANDIDATE_URL = f"""CASE p_partkey % 9
  WHEN 7 THEN concat('https://{HOST}/x/id-f_ab', CAST(p_partkey AS STRING), '/')
  ELSE concat('https://{HOST}/id-f_', CAST(p_partkey AS STRING), '/') END"""
 
+# One URL per order line, for volume.
+LINE_URL = f"""concat('https://{HOST}/furniture/',
+ CASE l_returnflag WHEN 'A' THEN 'seating/chairs' WHEN 'N' THEN 'tables/coffee-tables' ELSE 'lighting' END,
+ '/maker-', CAST(l_suppkey AS STRING), '-piece-', CAST(l_partkey AS STRING), '-',
+ CAST(1900 + l_linenumber * 10 AS STRING), 's/id-f_', CAST(l_orderkey * 10 + l_linenumber AS STRING), '/')"""
+LINES_SQL = f"SELECT l_orderkey AS id, {LINE_URL} AS url FROM lineitem"
+
 LISTINGS_SQL = f"SELECT p_partkey AS id, {LISTING_URL} AS url FROM part"
 URLS_SQL = f"""{LISTINGS_SQL} UNION ALL SELECT 1000000000 + page_id AS id, url FROM pages"""
 CANDIDATES_SQL = f"""SELECT p_partkey AS id, {CANDIDATE_URL} AS url FROM part
@@ -59,7 +66,8 @@ RUN_SQL = """SELECT event_id, ts, user_id, concat('unit', CAST(user_id % 8 AS ST
 
 
 def _from_part(spark: SparkSession, sf: str, url: str) -> DataFrame:
-    return read_parquet(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.expr(url).alias("url"))
+    part = spread(read_parquet(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type"))
+    return part.select(F.col("p_partkey").alias("id"), F.expr(url).alias("url"))
 
 
 def _page_urls(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,6 +78,11 @@ def listings(spark: SparkSession, sf: str) -> DataFrame:
     return _from_part(spark, sf, LISTING_URL)
 
 
+def line_urls(spark: SparkSession, sf: str) -> DataFrame:
+    lines = spread(read_parquet(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"))
+    return lines.select(F.col("l_orderkey").alias("id"), F.expr(LINE_URL).alias("url"))
+
+
 def url_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Listing URLs and the raw page URLs."""
     return listings(spark, sf).unionByName(_page_urls(spark, sf))

@@ -146,15 +146,24 @@ def url_keyword_category(spark, sf):
     return df.select("id", "k.category", "k.subcategory", "materials")
 
 
-@query(
-    "url_features",
-    f"{features_sql()} SELECT id, url, regexp_extract(url, '^[^:/?#]+://(?:[^/?#@]*@)?([^/?#:]*)', 1) AS domain, "
-    "depth_level, item_description, all_terms, primary_category, secondary_category, tertiary_category, decade, "
-    "array_to_string(hyphenated, '|') AS hyphenated_terms FROM features",
+FEATURE_COLUMNS = (
+    "id, url, regexp_extract(url, '^[^:/?#]+://(?:[^/?#@]*@)?([^/?#:]*)', 1) AS domain, depth_level, item_description, "
+    "all_terms, primary_category, secondary_category, tertiary_category, decade, array_to_string(hyphenated, '|') AS hyphenated_terms"
 )
-def url_features(spark, sf):
-    f = U.with_url_features(I.url_rows(spark, sf))
-    return f.select(
+
+
+def _features(rows: DataFrame) -> DataFrame:
+    return U.with_url_features(rows).select(
         "id", "url", "domain", "depth_level", "item_description", "all_terms", "primary_category",
         "secondary_category", "tertiary_category", "decade", _joined(F.col("hyphenated_terms")).alias("hyphenated_terms"),
     )
+
+
+@query("url_features", f"{features_sql()} SELECT {FEATURE_COLUMNS} FROM features")
+def url_features(spark, sf):
+    return _features(I.url_rows(spark, sf))
+
+
+@query("url_features_volume", f"{features_sql(I.LINES_SQL)} SELECT {FEATURE_COLUMNS} FROM features")
+def url_features_volume(spark, sf):
+    return _features(I.line_urls(spark, sf))

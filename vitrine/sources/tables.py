@@ -69,7 +69,8 @@ def read_table(spark: SparkSession, path: str, kind: str, schema: str) -> DataFr
     if kind in ("csv", "tsv"):
         # Text with quotes and line breaks comes back as it was written.
         return spark.read.csv(
-            path, schema=schema, header=True, sep="\t" if kind == "tsv" else ",", quote='"', escape='"', multiLine=True
+            path, schema=schema, header=True, sep="\t" if kind == "tsv" else ",", quote='"', escape='"', multiLine=True,
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         )
     if kind == "json":
         return spark.read.schema(schema).json(path)
