@@ -17,8 +17,9 @@ DETAIL = r"<li[^>]*>([^:<]*:[^<]*)</li>"
 PRICE_SPAN = r"<span[^>]*data-cy=\"price-([A-Z]{3}\"[^>]*>[^<]*)</span>"
 BREADCRUMB_NAV = r"(?s)<nav[^>]*aria-label=\"breadcrumb\"[^>]*>(.*?)</nav>"
 ANCHOR_TEXT = r"(?s)<a[^>]*>(.*?)</a>"
+# Possessive groups: a long run of digits and blanks is read once and never tried again.
 DIMENSIONS = (
-    r"Height\s*([\d\s/]+)\s*x\s*width\s*([\d\s/]+)(?:x\s*depth\s*([\d\s/]+))?\s*(inches|inch|in|cm|mm|feet|ft)?\b"
+    r"Height([\d\s/]++)x\s*+width([\d\s/]++)(?:x\s*+depth([\d\s/]++))?(?:(inches|inch|in|cm|mm|feet|ft)\b)?"
 )
 PERIOD_FORMAT = r"^(?:\d{1,2}(?:st|nd|rd|th) Century|\d{4}s|\d{4}-\d{4}|Contemporary)$"
 

@@ -21,7 +21,7 @@ ENTITY = r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 def strip(text: Column) -> Column:
     """Drop leading and trailing white space of any kind, not only blanks."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(text, r"(?U)^\s+|(?<!\s)\s++$", "")
 
 
 def collapse_whitespace(text: Column) -> Column:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.workspace import partitions_for, stage
+from vitrine.workspace import MAX_PARTITIONS, partitions_for, stage
 
 ROW_BITS = (1 << 33) - 1
 
@@ -22,7 +22,7 @@ MAX_WINDOW_ROWS = 2_000_000
 
 
 def _placed(df: DataFrame, keys: list[Column], parts: int | None) -> DataFrame:
-    parts = parts or partitions_for(df)
+    parts = min(parts or partitions_for(df), MAX_PARTITIONS)
     return stage(
         df.repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
@@ -71,6 +71,9 @@ def with_position(
         ),
         "starts",
     )
+    if not within:
+        # One row per partition, so never more than MAX_PARTITIONS rows of three numbers.
+        starts = F.broadcast(starts)
     match = F.col("_part") == F.col("_bpart")
     for c in within:
         match = match & F.col(c).eqNullSafe(F.col(f"_b_{c}"))

@@ -70,16 +70,24 @@ def scan_path_columns(spark, sf):
 
 @query("agg_instances_chunks", f"SELECT count(DISTINCT instance) AS instances_used, count(DISTINCT (instance, chunk)) AS chunks_processed FROM ({I.DOCUMENTS_SQL})")
 def agg_instances_chunks(spark, sf):
-    return _documents(spark, sf).agg(
+    return tables.list_files(spark, _write_documents(spark, sf)).agg(
         F.count_distinct("instance").alias("instances_used"), F.count_distinct("instance", "chunk").alias("chunks_processed"))
 
 
-@query("agg_files_per_kind", f"""SELECT CAST(chunk AS VARCHAR) AS chunk, kind, count(*) AS n FROM (
- SELECT chunk, 'extracted' AS kind FROM ({I.DOCUMENTS_SQL}) UNION ALL SELECT page_id % 5 + 1, 'raw_html' FROM pages) GROUP BY ALL""")
+SQL_FILES = """SELECT CAST(s_suppkey % 5 + 1 AS VARCHAR) AS chunk, 'extracted' AS kind FROM supplier
+ UNION ALL SELECT CAST(s_suppkey % 5 + 1 AS VARCHAR), 'raw_html' FROM supplier WHERE s_acctbal > 0"""
+
+
+@query("agg_files_per_kind", f"SELECT chunk, kind, count(*) AS n FROM ({SQL_FILES}) GROUP BY ALL")
 def agg_files_per_kind(spark, sf):
-    docs = _documents(spark, sf).select("chunk", F.lit("extracted").alias("kind"))
-    html = read_parquet(spark, sf, "pages").select((F.col("page_id") % 5 + 1).cast("string").alias("chunk"), F.lit("raw_html").alias("kind"))
-    return docs.unionByName(html).groupBy("chunk", "kind").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch(spark, "collected")
+    kinds = F.when(F.col("s_acctbal") > 0, F.array(F.lit("extracted"), F.lit("raw_html"))).otherwise(F.array(F.lit("extracted")))
+    rows = spread(read_parquet(spark, sf, "supplier")).select(
+        F.col("s_name").alias("value"), (F.col("s_suppkey") % 2 + 1).alias("instance_"), (F.col("s_suppkey") % 5 + 1).alias("chunk_"),
+        F.explode(kinds).alias("kind"))
+    rows.write.option("maxRecordsPerFile", 1).partitionBy("instance_", "chunk_", "kind").text(path)
+    files = tables.list_files(spark, path).withColumn("kind", F.regexp_extract("file", "/kind=([^/]+)/", 1))
+    return files.groupBy("chunk", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("scan_raw_html", "SELECT count(*) AS pages, count(DISTINCT md5(html)) AS distinct_pages, sum(strlen(html)) AS bytes FROM pages")
@@ -98,9 +106,10 @@ def scan_training_formats(spark, sf):
     docs = training.with_split(read_parquet(spark, sf, "documents").select("doc_id", "text", F.col("doc_id").cast("string").alias("url")))
     read = []
     for kind in ("csv", "tsv", "json", "parquet"):
-        for folder in sinks.write_training(docs, scratch(spark, "training"), "documents", kind):
-            rows = tables.read_table(spark, folder, kind, "doc_id long, text string, url string, split string")
-            read.append(rows.select(F.lit(kind).alias("kind"), "doc_id", "text"))
+        path = scratch(spark, "training")
+        sinks.write_training(docs, path, "documents", kind)
+        rows = tables.read_table(spark, path, kind, "doc_id long, text string, url string, split string, file string")
+        read.append(rows.select(F.lit(kind).alias("kind"), "doc_id", "text"))
     return matching.union_outputs(read).groupBy("kind").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("text").alias("texts"), F.sum("doc_id").alias("ids"))
 
@@ -222,9 +231,9 @@ def sink_append_batches(spark, sf):
 def sink_training_files(spark, sf):
     path = scratch(spark, "training")
     era = training.with_split(training.era_table(U.with_url_features(I.url_rows(spark, sf))))
-    folders = sinks.write_training(era.select("url", "primary_decade", "split"), path, "era_classification", "csv", mini=True)
-    read = [tables.read_table(spark, f, "csv", "url string, primary_decade long, split string").withColumn("file", F.lit(f.rsplit("/", 1)[1])) for f in folders]
-    return matching.union_outputs(read).groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum("primary_decade").alias("decades"))
+    sinks.write_training(era.select("url", "primary_decade", "split"), path, "era_classification", "csv", mini=True)
+    back = tables.read_table(spark, path, "csv", "url string, primary_decade long, split string, file string")
+    return back.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum("primary_decade").alias("decades"))
 
 
 @query("sink_url_file_map", "SELECT url, page_id || '_' || substr(md5(url), 1, 12) || '.html.gz' AS filename FROM pages")

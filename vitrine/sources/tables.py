@@ -57,6 +57,12 @@ def read_documents(spark: SparkSession, folder: str, pattern: str = DOCUMENT_FIL
     return docs.where(F.col("file").rlike(pattern)).withColumns(path_columns(F.col("file")))
 
 
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Path, size, instance and chunk of every file. Only the listing is read, not the content."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return files.select(F.col("path").alias("file"), F.col("length").alias("bytes")).withColumns(path_columns(F.col("file")))
+
+
 def read_html(spark: SparkSession, folder: str) -> DataFrame:
     """One row per page file, plain or gzip; the product id is the file's base name."""
     pages = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)

@@ -43,15 +43,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def partitions_for(df: DataFrame, input_bytes: int = 64 << 20) -> int:
+MAX_PARTITIONS = 100_000
+
+
+def partitions_for(df: DataFrame, input_bytes: int = 128 << 20) -> int:
     """Partitions so that each stands for about `input_bytes` of the files read, never below the session's setting."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     total = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    return max(configured, min(total // input_bytes + 1, 1_000_000))
+    return max(configured, min(total // input_bytes + 1, MAX_PARTITIONS))
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer partitions than cores is spread before costly work on each row; any other is left as it is."""
+    """A scan with fewer partitions than cores is spread before costly work on each row; any other is left as it is.
+
+    Meant for a plain scan, whose partitions are known without running anything.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
