@@ -20,3 +20,21 @@ def local_session(cores: str = "8", app: str = "vitrine", memory: str = "12g") -
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def cluster_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a run over `input_bytes` of files on `cores` cores, to be given when the session is built.
+
+    Shuffle partitions start near 256 MB of input each, at least three waves of tasks, and are
+    merged by adaptive execution where a shuffle turns out smaller. Skewed join partitions are split.
+    """
+    partitions = max(3 * cores, input_bytes // (256 << 20))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
