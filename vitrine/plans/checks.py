@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vitrine.functions import money
-from vitrine.operators import chunks, extraction, matching, quality, summaries
+from vitrine.operators import extraction, matching, quality
 from vitrine.plans import inputs as I
 from vitrine.plans import pages as P
 from vitrine.plans.registry import query

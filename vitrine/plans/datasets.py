@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vitrine.functions import urls as U
-from vitrine.operators import extraction, ordering, quality, training
+from vitrine.operators import extraction, quality, training
 from vitrine.plans import inputs as I
 from vitrine.plans import pages as P
 from vitrine.plans.registry import query
 from vitrine.plans.urls import features_sql
 from vitrine.sources.tables import read_parquet
-from vitrine.workspace import spread, stage
+from vitrine.workspace import spread
 
 
 def _features(spark, sf):

@@ -197,7 +197,7 @@ def sink_summary(spark, sf):
     path = scratch(spark, "summary")
     sinks.write_summary(totals.agg_price_bands(spark, sf), "band", path)
     back = spark.read.schema("distribution map<string,long>").json(path)
-    return back.select(F.lit("bands").alias("part"), totals.map_text(F.col("distribution")).alias("counts"))
+    return back.select(F.lit("bands").alias("part"), P.map_text(F.col("distribution")).alias("counts"))
 
 
 @query("sink_product_json", f"""SELECT 'f_' || p_partkey AS product_id, p_partkey % 5 AS chunk_id, CASE WHEN p_partkey % 5 = 2 THEN 2 ELSE 1 END AS version FROM part""")

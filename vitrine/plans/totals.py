@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import money
 from vitrine.functions import urls as U
-from vitrine.operators import chunks, extraction, ordering, summaries
+from vitrine.operators import chunks, extraction, ordering, summaries, training
 from vitrine.plans import inputs as I
 from vitrine.plans import pages as P
 from vitrine.plans.registry import query
@@ -23,11 +23,6 @@ def _features(spark, sf):
     return U.with_url_features(I.url_rows(spark, sf))
 
 
-def map_text(column):
-    entries = F.transform(F.array_sort(F.map_entries(column)), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
-    return F.array_join(entries, "|")
-
-
 @query("agg_merge_stats", f"""SELECT count(*) AS files_found, count(*) FILTER (WHERE kind = 'product') AS total_products,
  count(*) FILTER (WHERE kind = 'product' AND has_price) AS with_price, count(*) FILTER (WHERE kind = 'product' AND has_materials) AS with_materials,
  count(*) FILTER (WHERE kind = 'corrupt') AS errors, count(*) FILTER (WHERE kind = 'non_object') AS non_object FROM ({I.DOCUMENTS_SQL})""")
@@ -98,7 +93,7 @@ def agg_chunk_summary(spark, sf):
     rounded = {c: F.round(c, 4) for c in ("success_rate", "average_html_size_bytes", "total_storage_used_mb",
                                           "avg_fetch_time_ms", "avg_extract_time_ms", "avg_total_time_ms")}
     return s.withColumns({**rounded, "urls_per_minute": F.round("urls_per_minute", 6),
-                          "error_breakdown": map_text(F.col("error_breakdown"))})
+                          "error_breakdown": P.map_text(F.col("error_breakdown"))})
 
 
 METRICS = """count(*) AS total_processed, round(count(*) FILTER (WHERE ok) * 1.0 / greatest(1, count(*)), 6) AS success_rate,
@@ -122,7 +117,7 @@ def agg_metrics_by_container(spark, sf):
  FROM (SELECT container, error_type, count(*) AS n FROM ({I.RUN_SQL}) WHERE error_type IS NOT NULL GROUP BY ALL) GROUP BY 1""")
 def agg_error_breakdown(spark, sf):
     maps = summaries.count_map(I.runs(spark, sf), ["container"], "error_type", "errors")
-    return maps.withColumn("errors", map_text(F.col("errors")))
+    return maps.withColumn("errors", P.map_text(F.col("errors")))
 
 
 SQL_JOBS = f"""SELECT region, CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'completed' WHEN 'signup' THEN 'completed' ELSE 'running' END AS status
@@ -202,6 +197,4 @@ def rank_shares(spark, sf):
 @query("term_count_ranks", f"""{features_sql()}, t AS (SELECT term, count(*) AS n FROM (SELECT unnest(terms) AS term FROM features) GROUP BY 1)
  SELECT term, n, rank() OVER (ORDER BY n DESC) AS rank FROM t""")
 def term_count_ranks(spark, sf):
-    from vitrine.operators.training import term_counts
-
-    return ordering.with_rank(stage(term_counts(_features(spark, sf), "extracted_terms"), "terms"), "n", "term")
+    return ordering.with_rank(stage(training.term_counts(_features(spark, sf), "extracted_terms"), "terms"), "n", "term")
