@@ -1,6 +1,7 @@
-"""Every registered query against its check SQL."""
+"""Every registered query against its check SQL, and the plans it runs."""
 
 import oracle
+import plans
 import pytest
 
 import __spark_entry__ as entry
@@ -14,8 +15,11 @@ def con(small):
 
 
 @pytest.mark.parametrize("name", sorted(CHECKS))
-def test_matches_check_sql(spark, small, con, name):
-    assert oracle.compare(QUERIES[name](spark, small), con, CHECKS[name]) is None
+def test_matches_check_sql(spark, small, con, name, monkeypatch):
+    written = plans.record_writes(monkeypatch)
+    df = QUERIES[name](spark, small)
+    assert [p for plan in [*written, plans.physical(df)] for p in plans.problems(plan)] == []
+    assert oracle.compare(df, con, CHECKS[name]) is None
 
 
 def test_entry(spark):

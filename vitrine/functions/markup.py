@@ -139,6 +139,12 @@ def usd_price(offer_list: Column) -> Column:
     return F.get(in_usd, F.lit(0))["price"]
 
 
+def currency(offer_list: Column, default: str = "USD") -> Column:
+    """USD when there is a USD price, else the currency of the first offer."""
+    first = F.get(offer_list, F.lit(0))["currency"]
+    return F.when(usd_price(offer_list).isNotNull(), F.lit("USD")).otherwise(F.coalesce(first, F.lit(default)))
+
+
 def price_spans(html: Column) -> Column:
     """Displayed prices by currency."""
     spans = F.regexp_extract_all(html, F.lit(PRICE_SPAN), F.lit(1))

@@ -72,7 +72,7 @@ def extract_products(pages: DataFrame, url: str = "url", html: str = "html") ->
     )
     currencies = markup.multi_currency(offers)
     pricing = F.struct(
-        F.lit("USD").alias("currency"),
+        F.when(listed_price.isNotNull(), F.lit("USD")).otherwise(markup.currency(offers)).alias("currency"),
         listed_price.alias("price"),
         F.coalesce(currencies, spans).alias("multi_currency"),
     )

@@ -97,6 +97,26 @@ def chunk_summary(rows: DataFrame, chunk: str = "container") -> DataFrame:
     )
 
 
+def percent_text(value: Column) -> Column:
+    """99.0 as '99.0%'."""
+    return F.concat(F.format_string("%.1f", value), F.lit("%"))
+
+
+def summary_documents(summary: DataFrame, manifest: DataFrame, chunk: str = "container") -> DataFrame:
+    """Chunk summaries in their exported form, with the range of list positions from the manifest."""
+    span = F.concat_ws("-", F.col("start_index").cast("string"), F.col("end_index").cast("string"))
+    ranges = manifest.select(chunk, span.alias("chunk_range"))
+    times = ["avg_fetch_time_ms", "avg_extract_time_ms", "avg_total_time_ms"]
+    return summary.join(ranges, chunk, "left").select(
+        F.col(chunk).alias("container_id"),
+        F.col(chunk).alias("chunk_name"),
+        "urls_processed", "successful", "failed", "chunk_range",
+        percent_text(F.col("success_rate")).alias("success_rate"),
+        "elapsed_seconds", "urls_per_minute", "average_html_size_bytes", "total_storage_used_mb", "error_breakdown",
+        F.struct(*times).alias("performance_metrics"),
+    )
+
+
 def run_metrics(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Success rate, mean and exact 95th percentile of success times, and bytes saved per byte downloaded."""
     n = F.count(F.lit(1))

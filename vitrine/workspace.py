@@ -46,18 +46,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 MAX_PARTITIONS = 100_000
 
 
+def _input_bytes(df: DataFrame) -> int:
+    """Bytes of everything the plan reads."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
 def partitions_for(df: DataFrame, input_bytes: int = 128 << 20) -> int:
     """Partitions so that each stands for about `input_bytes` of the files read, never below the session's setting."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    total = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    return max(configured, min(total // input_bytes + 1, MAX_PARTITIONS))
+    return max(configured, min(_input_bytes(df) // input_bytes + 1, MAX_PARTITIONS))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer partitions than cores is spread before costly work on each row; any other is left as it is.
+def spread(df: DataFrame, least_bytes: int = 16 << 10) -> DataFrame:
+    """Spread a scan with fewer partitions than cores before costly work on each row.
 
-    Meant for a plain scan, whose partitions are known without running anything.
+    No partition gets less than `least_bytes` of the files, and a scan with enough partitions is
+    left as it is. Meant for a plain scan, whose partitions are known without running anything.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, _input_bytes(df) // least_bytes + 1)
+    return df.repartition(wanted) if df._jdf.queryExecution().toRdd().getNumPartitions() < wanted else df
