@@ -44,12 +44,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 MAX_PARTITIONS = 100_000
+UNKNOWN_BYTES = 1 << 60
 
 
 def _input_bytes(df: DataFrame) -> int:
-    """Bytes of everything the plan reads."""
+    """Bytes of everything the plan reads. Rows handed over without a size, as from a local list,
+    are reported by Spark with the largest possible number and count as nothing."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
 
 
 def partitions_for(df: DataFrame, input_bytes: int = 128 << 20) -> int:
