@@ -37,7 +37,7 @@ def with_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
     names = {name for name, _ in fields}
     kept = [f for f in df.schema.fields if f.name not in names]
     schema = T.StructType(kept + [T.StructField(name, kind) for name, kind in fields])
-    arrow = to_arrow_schema(schema, timezone="UTC", prefers_large_types=False)
+    arrow = to_arrow_schema(schema)
     keep = [f.name for f in kept]
 
     def run(batches):
