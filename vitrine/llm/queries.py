@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import bpe, decontaminate, secrets, token_counts, top_k
-from vitrine.llm.rows import table
+from vitrine.llm import bpe, decontaminate, quality, secrets, token_counts, top_k, toxicity
+from vitrine.llm.rows import crc_column, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,3 +102,21 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return top_k.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def _scored(spark: SparkSession, folder: str, module) -> DataFrame:
+    documents = texts(spark, folder)
+    model = module.train(documents, table(spark, folder, "labels"))
+    parts, held = module.FOLD
+    held_out = (crc_column("doc_id") % parts == held).alias("held_out")
+    return module.score(documents, model).select("doc_id", held_out, "score", "predicted")
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(spark, folder, toxicity)
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(spark, folder, quality)
