@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import bpe, decontaminate, quality, secrets, token_counts, top_k, toxicity
+from vitrine.llm import bpe, decontaminate, jaccard, quality, secrets, token_counts, top_k, toxicity
 from vitrine.llm.rows import crc_column, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,22 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_quality")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return _scored(spark, folder, quality)
+
+
+@query("op10_ngram_jaccard", f"""
+    WITH RECURSIVE docs AS (
+        SELECT doc_id, coalesce(regexp_extract_all({_LOWER.format('text')}, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+    sets AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + least(len(w), 4)], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 3, 1))) AS i FROM docs WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+    links AS (
+        SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id <> y.doc_id
+                          GROUP BY ALL) JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+        WHERE 100 * c >= 85 * (p.n + q.n - c)),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    least_id AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+    FROM docs LEFT JOIN sizes USING (doc_id) JOIN least_id USING (doc_id)""")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join(texts(spark, folder)).drop("key")
