@@ -1,17 +1,68 @@
-"""A corpus in five stages; each reads what the one before it wrote."""
+"""A corpus in five stages: toxic documents go, one document of each group of near copies stays, documents that hold benchmark
+passages go, secrets are redacted, and what is left is encoded as tokens.
+
+Each stage reads what the one before it wrote, and decides from that alone (and from `labels` and `benchmark`). All but
+the last return the columns of the documents as they are. A row with null text is kept by every stage and has no tokens; an
+empty table gives an empty one; extra columns, whatever their names, go through the first four stages untouched.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vitrine.llm import bpe, decontaminate, jaccard, secrets, toxicity
 from vitrine.llm.rows import table
+from vitrine.workspace import scratch
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled ones of `documents`, doesn't predict toxic."""
+    model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.keep_ordinary(docs, model)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id; documents without words all stay."""
+    return jaccard.first_of_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark window."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with their secrets replaced by a mark."""
+    return secrets.redact(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, token_ids, ids_sha256, decoded_sha256) of every document."""
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    encoded = bpe.round_trip(bpe.encode(docs.select("doc_id", "text"), path), path)
+    return encoded.select("doc_id", "n_tokens", F.coalesce("token_ids", F.array().cast("array<int>")).alias("token_ids"), "ids_sha256", "decoded_sha256")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("secrets", redact_secrets),
+    ("bpe", encode),
+]
 
-STAGES: list = []
+#: Trained classifiers and merging can't be expressed in SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        path = scratch(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

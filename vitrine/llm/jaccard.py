@@ -152,11 +152,11 @@ def _prepared(documents: DataFrame, words: int, percent: int) -> DataFrame:
                 sizes.append(len(s))
                 sigs.append(signatures(s, percent) if new else None)
                 sketches.append(sketch(s) if new else None)
-            columns = [batch.column(0), pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "id", "n", "sigs", "sketch"])
+            columns = [batch.column(0), batch.column(2), pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "key", "id", "n", "sigs", "sketch"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.mapInArrow(run, f"doc_id {kind}, key binary, id long, n long, sigs array<long>, sketch binary")
+    return documents.mapInArrow(run, f"doc_id {kind}, text_hash long, key binary, id long, n long, sigs array<long>, sketch binary")
 
 
 def _stars(prepared: DataFrame) -> DataFrame:
@@ -289,7 +289,7 @@ def _left_over(stars: DataFrame, together: DataFrame, sketches: DataFrame, perce
 
 
 def join(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, key): one row for each input row.
+    """(doc_id, n_shingles, component_id, key, text_hash): one row for each input row.
 
     Two documents are linked when 100 * shingles in common >= percent * shingles in either. `component_id` is the smallest id of
     the documents that can be reached over links, itself included; null ids count as larger than all others. `key` is the same
@@ -299,7 +299,7 @@ def join(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", words
     """
     rows.importable(documents.sparkSession)
     source = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    prepared = stage(_prepared(source, words, percent), "shingled")
+    prepared = stage(_prepared(source.withColumn("text_hash", F.xxhash64("text")), words, percent), "shingled")
     classes = prepared.where("n > 0").groupBy("key").agg(
         F.min("id").alias("id"), F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("sketch").alias("sketch")
     )
@@ -314,10 +314,26 @@ def join(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", words
     whole = classes.join(joined, classes.key == joined.node, "left").select("key", F.coalesce("component", "key").alias("group"), "doc_id")
     least = stage(whole.groupBy("group").agg(F.min("doc_id").alias("component_id")), "least")
     named = whole.join(least, "group").select("key", "group", "component_id")
-    placed = prepared.select("doc_id", "key", "n").join(named, "key", "left")
+    placed = prepared.select("doc_id", "text_hash", "key", "n").join(named, "key", "left")
     return placed.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(F.col("n") > 0, F.col("group")).alias("key"),
+        F.when(F.col("n") > 0, F.col("group")).alias("key"), "text_hash",
     )
 
+
+
+def first_of_each(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of `documents`, all columns as they are, without all but one of each component: the one with the smallest id (of equal ids
+    that with the smallest hash of its text, and one of repeated rows). Rows without words all stay."""
+    found = join(documents, text, doc_id, words, percent)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    first = found.where("key is not null").groupBy("key").agg(F.min(order).alias("first"))
+    first = stage(first.select(F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash")), "first")
+    row = documents.select(
+        F.struct("*").alias("row"), F.col(doc_id).alias("own_id"), F.xxhash64(F.col(text)).alias("own_hash"),
+        F.coalesce(F.col(text), F.lit("")).rlike("[^\\x20\\x09-\\x0D]").alias("worded"),
+    )
+    same = (row.own_id.eqNullSafe(first.first_id)) & (row.own_hash == first.first_hash)
+    kept = row.where("worded").join(first, same, "left_semi").dropDuplicates(["own_id", "own_hash"])
+    return kept.unionByName(row.where("not worded")).select("row.*")

@@ -138,4 +138,4 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
     FROM docs LEFT JOIN sizes USING (doc_id) JOIN least_id USING (doc_id)""")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.join(texts(spark, folder)).drop("key")
+    return jaccard.join(texts(spark, folder)).drop("key", "text_hash")
