@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import bpe, decontaminate, jaccard, quality, secrets, token_counts, top_k, toxicity
+from vitrine.llm import bpe, decontaminate, jaccard, quality, secrets, substrings, token_counts, top_k, toxicity
 from vitrine.llm.rows import crc_column, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,3 +139,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     FROM docs LEFT JOIN sizes USING (doc_id) JOIN least_id USING (doc_id)""")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(texts(spark, folder)).drop("key", "text_hash")
+
+
+@query("op8_repeated_substrings")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(texts(spark, folder), kept=False)
