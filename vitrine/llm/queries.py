@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import bpe, decontaminate, jaccard, quality, secrets, substrings, token_counts, top_k, toxicity
+from vitrine.llm import bpe, class_lm, decontaminate, jaccard, quality, secrets, substrings, token_counts, top_k, toxicity
 from vitrine.llm.rows import crc_column, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,3 +144,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_repeated_substrings")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(texts(spark, folder), kept=False)
+
+
+@query("op7_class_lm")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    parts, held = class_lm.FOLD
+    held_out = (crc_column("doc_id") % parts == held).alias("held_out")
+    found = class_lm.score(texts(spark, folder))
+    return found.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
