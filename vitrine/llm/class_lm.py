@@ -10,7 +10,8 @@ the other words' classes fixed. The second sweep counts neighbours by the classe
 transitions from the classes of the first sweep to those of the second.
 
 **Score.** P(word | previous) = L * P(class of word | class of previous) * P(word | class) + (1 - L) * P(word), where P(word) is the
-add-half estimate and a word that was never seen has this part only.
+add-half estimate and a word that was never seen has this part only. 1 - L is the share of training tokens that
+occur once there, which is how often a new text has words that were never seen (Good and Turing).
 """
 
 from __future__ import annotations
@@ -25,9 +26,12 @@ from vitrine.workspace import partitions_for, stage
 
 FOLD = (5, 1)
 CLASSES = 64
-WEIGHT = 0.8
+#: Bounds of 1 - L.
+LEAST_UNSEEN, MOST_UNSEEN = 0.05, 0.9
 SWEEPS = 2
 GROUP_BYTES = 8 << 20
+#: Transitions by the classes' own shares that are added to those counted after each class.
+PRIOR = 5.0
 END = 0  # the hash that stands for the end of a text
 
 
@@ -99,23 +103,25 @@ def _counts(packed: DataFrame, shards: int) -> DataFrame:
     return packed.select("g", "words").mapInArrow(run, "shard int, g long, asked binary")
 
 
-def _frequent(asked: DataFrame, most: int) -> tuple[dict[int, int], int, int]:
-    """The most frequent words with their class, the number of training tokens and of different ones."""
+def _frequent(asked: DataFrame, most: int) -> tuple[dict[int, int], int, int, int]:
+    """The most frequent words with their class, the number of training tokens, of different ones, and of those that occur once."""
     def run(table: pa.Table) -> pa.Table:
         h, n = (np.concatenate(x) for x in zip(*(_open(a, "<u8", "<i8") for a in table.column("asked").to_pylist())))
         words, at = np.unique(h, return_inverse=True)
         total = np.bincount(at, n, len(words)).astype(np.int64)
         seen = words != END
         top = np.lexsort((words[seen], -total[seen]))[:most]
+        word, n = [None, *words[seen][top].view(np.int64).tolist()], [0, *total[seen][top].tolist()]
+        rest = [0] * len(top)
         return pa.table({
-            "word": pa.array(words[seen][top].view(np.int64)), "n": pa.array(total[seen][top]),
-            "tokens": [int(total.sum())] + [0] * (len(top) - 1) if len(top) else [], "kinds": [int((total > 0).sum())] + [0] * (len(top) - 1) if len(top) else [],
-        }) if len(top) else pa.table({"word": pa.array([None], pa.int64()), "n": pa.array([0], pa.int64()), "tokens": [int(total.sum())], "kinds": [int((total > 0).sum())]})
+            "word": pa.array(word, pa.int64()), "n": pa.array(n, pa.int64()), "tokens": [int(total.sum()), *rest],
+            "kinds": [int((total > 0).sum()), *rest], "once": [int((total == 1).sum()), *rest],
+        })
 
-    found = stage(asked.groupBy("shard").applyInArrow(run, "word long, n long, tokens long, kinds long"), "frequent")
-    sums = found.agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).first()
+    found = stage(asked.groupBy("shard").applyInArrow(run, "word long, n long, tokens long, kinds long, once long"), "frequent")
+    sums = found.agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds"), F.sum("once").alias("once")).first()
     top = found.where("word is not null and n > 0").orderBy(F.desc("n"), "word").limit(most).collect()  # `most` rows
-    return {r["word"]: i for i, r in enumerate(top)}, sums["tokens"] or 0, sums["kinds"] or 0
+    return {r["word"]: i for i, r in enumerate(top)}, sums["tokens"] or 0, sums["kinds"] or 0, sums["once"] or 0
 
 
 def _neighbours(body: bytes, h: np.ndarray, classes: np.ndarray, count: int, shards: int) -> list[tuple[int, bytes]]:
@@ -238,12 +244,12 @@ def _told(table: pa.Table) -> list[np.ndarray]:
 
 
 def score(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", fold: tuple[int, int] = FOLD, classes: int = CLASSES,
-          weight: float = WEIGHT) -> DataFrame:
+          weight: float | None = None) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score): one row for each input row, repeated rows included.
 
     Words are runs without white space, A-Z lower-cased; each text ends in one more token. Null counts as the empty text, which has
     that token only. Documents whose crc32(id as text) mod fold[0] is fold[1] are scored, but not learnt from; a null id counts as the empty
-    text. Without training documents nothing is known and all tokens are equally unlikely. An empty table gives an
+    text. `weight` sets L. Without training documents nothing is known and all tokens are equally unlikely. An empty table gives an
     empty one; other columns are not read.
     """
     spark = documents.sparkSession
@@ -252,7 +258,9 @@ def score(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", fold
     groups, shards = (partitions_for(documents, b) for b in (GROUP_BYTES, 4 * GROUP_BYTES))
     packed = stage(_pack(source, fold, groups), "packed")
     asked = stage(_counts(packed, shards), "asked")
-    first, tokens, kinds = _frequent(asked, classes - 1)
+    first, tokens, kinds, once = _frequent(asked, classes - 1)
+    if weight is None:
+        weight = 1 - min(MOST_UNSEEN, max(LEAST_UNSEEN, once / max(1, tokens)))
     shared = spark.sparkContext.broadcast(first)  # classes - 1 words
 
     def start(batches):
@@ -281,7 +289,7 @@ def score(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", fold
     follow = _transitions(moved, classes, "moved")
     size = follow.sum(0)
     uni = size / max(1.0, size.sum())
-    after = (follow + uni * 1.0) / (follow.sum(1, keepdims=True) + 1.0) if size.sum() else follow
+    after = (follow + PRIOR * uni) / (follow.sum(1, keepdims=True) + PRIOR) if size.sum() else follow
 
     def rate(left: pa.Table, right: pa.Table) -> pa.Table:
         h, c, old, new = _told(right)

@@ -175,7 +175,8 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", doc_id: s
 
     import json
 
-    return json.loads(taken.repartition(1).mapInArrow(run, "model string").first()["model"])
+    fitted = taken.repartition(1).mapInArrow(run, "model string").first()
+    return json.loads(fitted["model"]) if fitted else {"prior": 0.0}  # no labelled row, no task
 
 
 _built: dict[str, Machine] = {}
