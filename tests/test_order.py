@@ -94,7 +94,6 @@ def test_percentile_is_exact(skewed, fraction, accuracy):
 
 
 def test_percentile_of_everything_and_with_positions(skewed, monkeypatch):
-    monkeypatch.setattr(ordering, "MAX_WINDOW_ROWS", 10)
     df = skewed.withColumn("x", F.col("id") * 1.5)
     expected = np.percentile([r[2] * 1.5 for r in ROWS], 95)
     assert ordering.exact_percentile(df, [], "x", 0.95, "p").first()["p"] == pytest.approx(expected)

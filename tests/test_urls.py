@@ -10,31 +10,24 @@ from vitrine.operators import quality, training
 
 HOST = "www.market.example"
 
-LIST15 = [
-    f"https://{HOST}/furniture/{rest}/"
-    for rest in [
-        "seating/chairs/oak-chair-1960s/id-f_101",
-        "seating/chairs/pair-of-chairs-1965/id-f_102",
-        "seating/sofas/leather-sofa-1970s/id-f_103",
-        "seating/sofas/velvet-sofa-1950s/id-f_104",
-        "seating/benches/long-bench-1960s/id-f_105",
-        "seating/stools/bar-stool-1960s/id-f_106",
-        "tables/coffee-tables/sculptor-coffee-table/id-f_107",
-        "tables/dining-room-tables/teak-table-1960s/id-f_108",
-        "tables/side-tables/lacquer-side-table-1920s/id-f_109",
-        "storage-case-pieces/cabinets/display-cabinet-1930s/id-f_110",
-        "storage-case-pieces/credenzas/rosewood-credenza-1960s/id-f_111",
-        "storage-case-pieces/bookcases/wall-unit-1970s/id-f_112",
-        "lighting/floor-lamps/arc-lamp-1960s/id-f_113",
-        "lighting/table-lamps/brass-lamp-1950s/id-f_114",
-        "mirrors/wall-mirrors/beveled-mirror-1925/id-f_115",
-    ]
-]
+# (path below the host, years or decades in it): our own small catalogue, two departments of unequal depth.
+CATALOGUE = {
+    "garden/benches/slatted-bench-1984/id-f_9001": 1980,
+    "garden/benches/folding-bench-1990s/id-f_9002": 1990,
+    "garden/urns/stoneware-urn-1890s/id-f_9003": 1890,
+    "garden/sundials/armillary-sundial/id-f_9004": None,
+    "instruments/clocks/mantel/enamel-clock-1907/id-f_9005": 1900,
+    "instruments/clocks/mantel/skeleton-clock-1910s/id-f_9006": 1910,
+    "instruments/clocks/wall/regulator-1880s/id-f_9007": 1880,
+    "instruments/barometers/stick-barometer-1840s/id-f_9008": 1840,
+    "instruments/barometers/wheel-barometer-1845/id-f_9009": 1840,
+}
+LISTED = [f"https://{HOST}/{path}/" for path in CATALOGUE]
 
 
 @pytest.fixture(scope="module")
 def features(spark):
-    df = spark.createDataFrame([(i, u) for i, u in enumerate(LIST15)], "id long, url string")
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(LISTED)], "id long, url string")
     return U.with_url_features(df).cache()
 
 
@@ -43,19 +36,19 @@ def counts(df, by):
 
 
 def test_categories_decades_depth(features):
-    assert counts(features, "secondary_category") == {
-        "seating": 6, "tables": 3, "storage-case-pieces": 3, "lighting": 2, "mirrors": 1,
-    }
-    assert counts(features, "decade") == {1960: 7, 1950: 2, 1970: 2, 1920: 2, 1930: 1, None: 1}
-    assert counts(features, "depth_level") == {5: 15}
+    assert counts(features, "secondary_category") == {"benches": 2, "urns": 1, "sundials": 1, "clocks": 3, "barometers": 2}
+    assert counts(features, "decade") == {d: list(CATALOGUE.values()).count(d) for d in set(CATALOGUE.values())}
+    assert counts(features, "depth_level") == {4: 6, 5: 3}
 
 
 def test_sequences_are_depth_minus_one_per_url(features):
     seq = training.sequence_table(features)
-    assert seq.count() == 60
-    first = seq.where(F.col("url") == LIST15[0]).orderBy("sequence_length").collect()
-    assert (first[0]["sequence"], first[0]["target"]) == ("furniture", "seating")
-    assert (first[3]["sequence"], first[3]["target"]) == ("furniture seating chairs oak-chair-1960s", "id-f_101")
+    assert seq.count() == 6 * 3 + 3 * 4
+    steps = seq.where(F.col("url") == LISTED[4]).orderBy("sequence_length").collect()
+    assert [(s["sequence"], s["target"]) for s in steps] == [
+        ("instruments", "clocks"), ("instruments clocks", "mantel"), ("instruments clocks mantel", "enamel-clock-1907"),
+        ("instruments clocks mantel enamel-clock-1907", "id-f_9005"),
+    ]
 
 
 def test_one_segment_gives_no_sequence(spark):
@@ -64,20 +57,16 @@ def test_one_segment_gives_no_sequence(spark):
 
 
 def test_full_record(spark):
-    url = f"https://{HOST}/furniture/wall-decorations/decorative-art/tosca-color-lithograph-framed/id-f_34627762/"
+    url = f"https://{HOST}/instruments/pocket-globes/Nairne-celestial-globe-of-1776-in-case/id-f_40213/"
     row = U.with_url_features(spark.createDataFrame([(url,)], "url string")).first()
     assert row["domain"] == HOST
-    assert row["path_segments"] == ["furniture", "wall-decorations", "decorative-art",
-                                    "tosca-color-lithograph-framed", "id-f_34627762"]
-    assert (row["depth_level"], row["item_id"], row["product_id"]) == (5, "34627762", "f_34627762")
-    assert row["category_hierarchy"] == ["furniture", "wall-decorations", "decorative-art"]
-    assert row["extracted_terms"] == ["furniture", "wall", "decorations", "decorative", "art", "tosca", "color",
-                                      "lithograph", "framed", "id", "f_34627762"]
+    assert row["path_segments"] == ["instruments", "pocket-globes", "Nairne-celestial-globe-of-1776-in-case", "id-f_40213"]
+    assert (row["depth_level"], row["item_id"], row["product_id"]) == (4, "40213", "f_40213")
+    assert row["category_hierarchy"] == ["instruments", "pocket-globes"]
+    assert row["extracted_terms"] == "instruments pocket globes Nairne celestial globe of 1776 in case id f_40213".split()
     assert row["all_terms"] == " ".join(row["extracted_terms"])
-    assert row["hyphenated_terms"] == ["wall-decorations", "decorative-art", "tosca-color-lithograph-framed"]
-    assert row["numeric_values"] == ["34627762"]
-    assert row["capitalized_terms"] == []
-    assert row["decade"] is None
+    assert row["hyphenated_terms"] == ["pocket-globes", "Nairne-celestial-globe-of-1776-in-case"]
+    assert row["numeric_values"] == ["1776", "40213"]
 
 
 def md5(url):
@@ -127,5 +116,5 @@ def test_splits_are_disjoint_complete_and_near_70_10_20(spark):
 
 
 def test_text_forms(features):
-    assert training.text_table(features).count() == 45
-    assert {r["decade"] for r in training.text_table(features).select("decade").distinct().collect()} >= {0, 1960}
+    assert training.text_table(features).count() == 3 * len(LISTED)
+    assert {r["decade"] for r in training.text_table(features).select("decade").distinct().collect()} >= {0, 1980}

@@ -11,12 +11,16 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import money, text
 
-JSONLD_SCRIPT = r"(?s)<script[^>]*type=\"application/ld\+json\"[^>]*>(.*?)</script>"
-HEADLINE = r"(?s)<h1[^>]*class=\"[^\"]*headline-3[^\"]*\"[^>]*>(.*?)</h1>"
-DETAIL = r"<li[^>]*>([^:<]*:[^<]*)</li>"
-PRICE_SPAN = r"<span[^>]*data-cy=\"price-([A-Z]{3}\"[^>]*>[^<]*)</span>"
-BREADCRUMB_NAV = r"(?s)<nav[^>]*aria-label=\"breadcrumb\"[^>]*>(.*?)</nav>"
-ANCHOR_TEXT = r"(?s)<a[^>]*>(.*?)</a>"
+# Tags and attributes as a parser takes them: any letter case, blanks around '=', either quote or none.
+JSONLD_SCRIPT = r"(?is)<script\s[^>]*?\btype\s*=\s*[\"']?\s*application/ld\+json\b[^>]*>(.*?)</script\s*>"
+HEADLINE = (
+    r"(?is)<h1\s[^>]*?\bclass\s*=\s*"
+    r"(?:\"[^\"]*headline-3[^\"]*\"|'[^']*headline-3[^']*'|[^\s\"'>]*headline-3[^\s\"'>]*)[^>]*>(.*?)</h1\s*>"
+)
+DETAIL = r"(?i)<li(?:\s[^>]*)?>([^:<]*:[^<]*)</li\s*>"
+PRICE_SPAN = r"(?i)<span\s[^>]*?\bdata-cy\s*=\s*[\"']?price-([a-z]{3}\b[^>]*>[^<]*)</span\s*>"
+BREADCRUMB_NAV = r"(?is)<nav\s[^>]*?\baria-label\s*=\s*[\"']?\s*breadcrumb\b[^>]*>(.*?)</nav\s*>"
+ANCHOR_TEXT = r"(?is)<a(?:\s[^>]*)?>(.*?)</a\s*>"
 # Possessive groups: a long run of digits and blanks is read once and never tried again.
 DIMENSIONS = (
     r"Height([\d\s/]++)x\s*+width([\d\s/]++)(?:x\s*+depth([\d\s/]++))?(?:(inches|inch|in|cm|mm|feet|ft)\b)?"
@@ -28,9 +32,6 @@ MATERIALS = ["walnut", "oak", "brass", "marble", "glass", "ceramic"]
 STYLES = ["Mid-Century Modern", "Art Deco", "Contemporary"]
 ORIGINS = ["Italy", "France", "United States"]
 
-MAX_TITLE = 500
-MAX_DESCRIPTION = 5000
-
 
 def jsonld_texts(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(JSONLD_SCRIPT), F.lit(1))
@@ -66,21 +67,16 @@ def field(node: Column, path: str) -> Column:
     return F.try_variant_get(node, f"$.{path}", "string")
 
 
-def clip(value: Column, length: int | None) -> Column:
-    """The stored field is bounded by its declared length; pass None to keep all of it."""
-    return value if length is None else F.left(value, F.lit(length))
-
-
 def headline(html: Column) -> Column:
     return F.nullif(text.visible_text(F.regexp_extract(html, HEADLINE, 1)), F.lit(""))
 
 
-def title(product: Column, html: Column, length: int | None = MAX_TITLE) -> Column:
-    return clip(F.coalesce(F.nullif(field(product, "name"), F.lit("")), headline(html)), length)
+def title(product: Column, html: Column) -> Column:
+    return F.coalesce(F.nullif(field(product, "name"), F.lit("")), headline(html))
 
 
-def description(product: Column, length: int | None = MAX_DESCRIPTION) -> Column:
-    return clip(text.visible_text(field(product, "description")), length)
+def description(product: Column) -> Column:
+    return text.visible_text(field(product, "description"))
 
 
 def brand(product: Column) -> Column:
@@ -94,7 +90,10 @@ def offers(product: Column) -> Column:
         lambda o: F.struct(
             field(o, "priceCurrency").alias("currency"),
             field(o, "price").alias("price"),
-            F.try_variant_get(o, "$.price", "decimal(18,2)").alias("amount"),
+            F.coalesce(
+                F.try_variant_get(o, "$.price", "decimal(18,2)"),
+                money.parse_money(field(o, "price")).try_cast("decimal(18,2)"),
+            ).alias("amount"),
             field(o, "availability").alias("availability"),
         ),
     )
@@ -115,16 +114,17 @@ def is_period(value: Column) -> Column:
 def _last_per_key(entries: Column) -> Column:
     """Entries whose key does not come again later, so that building a map cannot fail.
 
-    The list is bound to a lambda variable first; written into the inner function as it
-    is, its expression would be evaluated again for every element.
+    They are sorted by key and place, and the last of each run of one key is kept. The list is bound to a
+    lambda variable first; written into the inner function as it is, its expression would be evaluated again.
     """
 
-    def without_earlier(es: Column) -> Column:
-        return F.filter(
-            es, lambda e, i: ~F.exists(F.slice(es, i + 2, F.size(es)), lambda later: later["key"] == e["key"])
-        )
+    def last_of_runs(es: Column) -> Column:
+        following = F.slice(es, F.lit(2), F.greatest(F.size(es), F.lit(1)))
+        kept = F.zip_with(es, following, lambda e, n: F.when(n["key"].isNull() | (n["key"] != e["key"]), F.struct(e["key"].alias("key"), e["value"].alias("value"))))
+        return F.filter(kept, lambda e: e.isNotNull())
 
-    return F.get(F.transform(F.array(entries), without_earlier), F.lit(0))
+    placed = F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"), e["value"].alias("value")))
+    return F.get(F.transform(F.array(F.array_sort(placed)), last_of_runs), F.lit(0))
 
 
 def multi_currency(offer_list: Column) -> Column:
@@ -151,7 +151,7 @@ def price_spans(html: Column) -> Column:
     entries = F.transform(
         spans,
         lambda s: F.struct(
-            F.left(s, F.lit(3)).alias("key"), money.amount_in_text(F.substring_index(s, ">", -1)).alias("value")
+            F.upper(F.left(s, F.lit(3))).alias("key"), money.amount_in_text(F.substring_index(s, ">", -1)).alias("value")
         ),
     )
     return F.map_from_entries(_last_per_key(F.filter(entries, lambda e: e["value"].isNotNull())))
@@ -173,7 +173,9 @@ def detail_list(html: Column) -> Column:
 def images(product: Column) -> Column:
     """Absolute image URLs without their query part, however many there are."""
     raw = as_variant_list(F.try_variant_get(product, "$.image", "variant"))
-    urls = F.transform(raw, lambda i: F.split_part(field(i, "contentUrl"), F.lit("?"), F.lit(1)))
+    # an image is an object with its URL, or the URL itself
+    named = lambda i: F.coalesce(field(i, "contentUrl"), field(i, "url"), F.try_variant_get(i, "$", "string"))
+    urls = F.transform(raw, lambda i: F.split_part(named(i), F.lit("?"), F.lit(1)))
     return F.filter(urls, lambda u: u.rlike("^https?://"))
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +15,10 @@ COMMENT = r"(?s)<!--.*?-->"
 EVENT_HANDLER = r'on\w+="[^"]*"'
 TAG = r"<[^>]*>"
 # One JSON literal, folded to a map when the query is planned.
-NAMED_REFERENCES = json.dumps({name: chr(code) for name, code in name2codepoint.items()})
-ENTITY = r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+NAMED_REFERENCES = json.dumps({name[:-1]: value for name, value in html5.items() if name.endswith(";")})
+# References 128 to 159 mean the characters that Windows has there, where it has any.
+WINDOWS_REFERENCES = json.dumps({str(b): bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160)})
+ENTITY = r"&(?:#\d+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def strip(text: Column) -> Column:
@@ -43,13 +45,15 @@ def unescape_entities(text: Column) -> Column:
     names = F.from_json(F.lit(NAMED_REFERENCES), "map<string,string>")
 
     def resolve(ref: Column) -> Column:
-        body = F.substring(ref, 2, 12)
-        body = F.substring_index(body, ";", 1)
-        hexadecimal = F.conv(F.substring(body, 3, 6), 16, 10).try_cast("bigint")
-        decimal = F.substring(body, 2, 7).try_cast("bigint")
+        body = F.regexp_replace(F.substring_index(F.substring(ref, 2, 1 << 30), ";", 1), "^(#[xX]?)0+(?=.)", "$1")
+        # the largest code point has six hexadecimal and seven decimal digits
+        short = lambda digits, most: F.when(F.length(digits) <= most, digits)
+        hexadecimal = F.conv(short(F.substring(body, 3, 1 << 30), 6), 16, 10).try_cast("bigint")
+        decimal = short(F.substring(body, 2, 1 << 30), 7).try_cast("bigint")
+        number = F.when(body.rlike("^#[xX]"), hexadecimal).otherwise(decimal)
+        windows = F.element_at(F.from_json(F.lit(WINDOWS_REFERENCES), "map<string,string>"), number.cast("string"))
         known = (
-            F.when(body.rlike("^#[xX]"), _code_point(hexadecimal))
-            .when(F.startswith(body, F.lit("#")), _code_point(decimal))
+            F.when(F.startswith(body, F.lit("#")), F.coalesce(windows, _code_point(number)))
             .otherwise(F.element_at(names, body))
         )
         return F.coalesce(known, ref)

@@ -33,7 +33,7 @@ def parse_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
         {
             "_offers": markup.offers(F.col("_product")),
             "_details": markup.detail_list(page),
-            "_description": markup.description(F.col("_product"), None),
+            "_description": markup.description(F.col("_product")),
             "_spans": markup.price_spans(page),
             "_title": markup.title(F.col("_product"), page),
         }
@@ -56,7 +56,7 @@ def extract_products(pages: DataFrame, url: str = "url", html: str = "html") ->
     info = F.struct(
         F.col("_title").alias("title"),
         urls.product_id(F.col(url)).alias("product_id"),
-        markup.clip(desc, markup.MAX_DESCRIPTION).alias("description"),
+        desc.alias("description"),
         markup.brand(product).alias("brand"),
         markup.availability(offers).alias("availability"),
     )

@@ -47,6 +47,13 @@ def url_file_map(pages: DataFrame, url: str = "url", item: str = "item_id") -> D
     return pages.select(F.col(url).alias("url"), name.alias("filename"))
 
 
+def join_on_file(pages: DataFrame, files: DataFrame, url: str = "url", item: str = "page_id") -> DataFrame:
+    """Each page with its stored file. A page that was fetched n times has n rows in the map, which carry its item in their names;
+    the join goes by both, and repeated rows of the map count once, so it stays at one row for each row of `pages`."""
+    named = files.select(url, "filename", F.substring_index("filename", "_", 1).alias("_item")).distinct()
+    return pages.join(named, (pages[url] == named[url]) & (pages[item].cast("string") == named["_item"])).drop(named[url]).drop("_item")
+
+
 def union_outputs(tables: Sequence[DataFrame]) -> DataFrame:
     """All rows of all chunks, instances or regions; a column missing somewhere is null there."""
     whole = tables[0]

@@ -13,16 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.workspace import MAX_PARTITIONS, partitions_for, stage
+from vitrine.workspace import partitions_for, stage
 
 ROW_BITS = (1 << 33) - 1
 
-# A window over a whole group is used only on a written table that is counted to be no larger than this.
-MAX_WINDOW_ROWS = 2_000_000
-
 
 def _placed(df: DataFrame, keys: list[Column], parts: int | None) -> DataFrame:
-    parts = min(parts or partitions_for(df), MAX_PARTITIONS)
+    parts = parts or partitions_for(df)
     return stage(
         df.repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
@@ -71,9 +68,6 @@ def with_position(
         ),
         "starts",
     )
-    if not within:
-        # One row per partition, so never more than MAX_PARTITIONS rows of three numbers.
-        starts = F.broadcast(starts)
     match = F.col("_part") == F.col("_bpart")
     for c in within:
         match = match & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
@@ -101,7 +95,8 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
 def with_rank(counts: DataFrame, by: str, tie: str, name: str = "rank") -> DataFrame:
     """Competition rank of each row of an aggregate, largest `by` first."""
     placed = stage(with_position(counts, [F.col(by).desc(), F.col(tie)], name="_pos"), "ranked")
-    first = placed.groupBy(F.col(by).alias("_by")).agg((F.min("_pos") + 1).alias(name))
+    # Most rows share a few counts; the staged side has one row for each count, so its size is known to the planner.
+    first = stage(placed.groupBy(F.col(by).alias("_by")).agg((F.min("_pos") + 1).alias(name)), "first")
     return placed.join(first, F.col(by).eqNullSafe(F.col("_by"))).drop("_pos", "_by")
 
 
@@ -185,12 +180,7 @@ def exact_percentile(
         .agg(F.count(F.lit(1)).alias("_c")),
         "counted",
     )
-    if counted.count() <= MAX_WINDOW_ROWS:
-        order = Window.partitionBy(*(by or [F.lit(0)])).orderBy(F.col("_value").asc_nulls_first())
-        upto = F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0))
-        ranked = counted.withColumn("_upto", upto)
-    else:
-        ranked = with_position(counted, ["_value"], within=by, running={"_upto": F.col("_c")})
+    ranked = with_position(counted, ["_value"], within=by, running={"_upto": F.col("_c")})
     ranked = ranked.where(F.col("_value").isNotNull())
 
     def at(rank: Column) -> Column:

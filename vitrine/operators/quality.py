@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.functions import money
+
 MIN_PAGE_BYTES = 10_000
 MAX_PAGE_BYTES = 10_485_760
 MAX_IMAGES = 20
 MAX_PRICE = 10_000_000
+MAX_TITLE = 500
+MAX_DESCRIPTION = 5000
 
 # Error class, response, retries, wait, log level.
 FETCH_POLICY = [
@@ -84,10 +88,12 @@ def _reasons(rules: list[tuple[Column, str]]) -> Column:
 
 
 def product_failures(
-    has_info: Column, product_id: Column, images: Column, pricing: Column, price: Column
+    has_info: Column, product_id: Column, images: Column, pricing: Column, price: Column,
+    title: Column | None = None, description: Column | None = None,
 ) -> Column:
-    """Every rule an extracted product breaks."""
-    amount = price.try_cast("double")
+    """Every rule an extracted product breaks. The lengths are rules; no value is cut to them."""
+    amount = money.parse_money(price)
+    long = [(x, n, r) for x, n, r in ((title, MAX_TITLE, "title_too_long"), (description, MAX_DESCRIPTION, "description_too_long")) if x is not None]
     return _reasons(
         [
             (has_info, "product_info"),
@@ -97,6 +103,7 @@ def product_failures(
             (F.coalesce(F.size(images), F.lit(0)) <= MAX_IMAGES, "too_many_images"),
             (pricing.isNotNull(), "pricing_map"),
             ((amount > 0) & (amount < MAX_PRICE), "price_range"),
+            *[(F.coalesce(F.length(x), F.lit(0)) <= n, rule) for x, n, rule in long],
         ]
     )
 
@@ -130,10 +137,9 @@ def health_warnings(
     )
 
 
-# Columns that name people, objects, sellers or prices.
-PRIVATE_COLUMNS = ["title", "name", "price", "currency", "multi_currency", "pricing", "seller", "seller_name",
-                   "dealer", "brand", "description"]
+# Columns that name no person, object, seller or price. Anything else, nested or new, stays out.
+PUBLIC_COLUMNS = ["product_id", "category", "condition", "period", "decade", "depth_level", "split", "chunk_id"]
 
 
 def without_private(df: DataFrame) -> DataFrame:
-    return df.drop(*PRIVATE_COLUMNS)
+    return df.select(*[c for c in PUBLIC_COLUMNS if c in df.columns])

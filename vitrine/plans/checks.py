@@ -59,7 +59,7 @@ def validate_product(spark, sf):
     d = F.col("data")
     failures = quality.product_failures(
         d["product_info"].isNotNull(), d["product_info"]["product_id"], d["images"],
-        d["pricing"]["multi_currency"], d["pricing"]["price"],
+        d["pricing"]["multi_currency"], d["pricing"]["price"], d["product_info"]["title"], d["product_info"]["description"],
     )
     products = extraction.extract_products(I.product_pages(spark, sf))
     return products.select("id", F.array_join(failures, "|").alias("failures"))

@@ -11,7 +11,6 @@ from vitrine.plans import pages as P
 from vitrine.plans.registry import query
 from vitrine.plans.urls import features_sql
 from vitrine.sources.tables import read_parquet
-from vitrine.workspace import spread
 
 
 def _features(spark, sf):
@@ -100,10 +99,10 @@ def term_patterns(spark, sf):
     return training.term_patterns(terms, "terms")
 
 
-@query("document_terms", r"""SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents) GROUP BY 1""")
+@query("document_terms", r"""SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS term FROM documents) GROUP BY 1""")
 def document_terms(spark, sf):
-    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
-    return training.term_counts(spread(read_parquet(spark, sf, "documents")).select(words.alias("terms")), "terms")
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
+    return training.term_counts(read_parquet(spark, sf, "documents").select(words.alias("terms")), "terms")
 
 
 @query("natural_clusters")

@@ -14,7 +14,7 @@ from vitrine.plans.registry import query
 from vitrine.plans.urls import features_sql
 from vitrine.sources import sinks, tables
 from vitrine.sources.tables import read_parquet
-from vitrine.workspace import scratch, spread
+from vitrine.workspace import scratch
 
 CHUNK = 100
 ANY_EXTRACTED = r"/extracted=?[^/]*/[^/]+\.txt$"
@@ -48,7 +48,7 @@ def scan_url_list(spark, sf):
 @query("scan_json_documents", """SELECT s_suppkey AS id, CAST(s_suppkey % 2 + 1 AS VARCHAR) AS instance, CAST(s_suppkey % 5 + 1 AS VARCHAR) AS chunk,
  s_name AS title, round(s_acctbal, 2) AS amount FROM supplier""")
 def scan_json_documents(spark, sf):
-    rows = spread(read_parquet(spark, sf, "supplier")).select(
+    rows = read_parquet(spark, sf, "supplier").select(
         F.to_json(F.struct(F.concat(F.lit("f_"), F.col("s_suppkey").cast("string")).alias("product_id"), F.col("s_name").alias("title"),
                            F.col("s_acctbal").alias("price"))).alias("value"),
         (F.col("s_suppkey") % 2 + 1).alias("instance_"), (F.col("s_suppkey") % 5 + 1).alias("chunk_"))
@@ -82,7 +82,7 @@ SQL_FILES = """SELECT CAST(s_suppkey % 5 + 1 AS VARCHAR) AS chunk, 'extracted' A
 def agg_files_per_kind(spark, sf):
     path = scratch(spark, "collected")
     kinds = F.when(F.col("s_acctbal") > 0, F.array(F.lit("extracted"), F.lit("raw_html"))).otherwise(F.array(F.lit("extracted")))
-    rows = spread(read_parquet(spark, sf, "supplier")).select(
+    rows = read_parquet(spark, sf, "supplier").select(
         F.col("s_name").alias("value"), (F.col("s_suppkey") % 2 + 1).alias("instance_"), (F.col("s_suppkey") % 5 + 1).alias("chunk_"),
         F.explode(kinds).alias("kind"))
     rows.write.option("maxRecordsPerFile", 1).partitionBy("instance_", "chunk_", "kind").text(path)
@@ -93,7 +93,7 @@ def agg_files_per_kind(spark, sf):
 @query("scan_raw_html", "SELECT count(*) AS pages, count(DISTINCT md5(html)) AS distinct_pages, sum(strlen(html)) AS bytes FROM pages")
 def scan_raw_html(spark, sf):
     path = scratch(spark, "html")
-    one_each = spread(read_parquet(spark, sf, "pages")).select("html").write.option("maxRecordsPerFile", 1)
+    one_each = read_parquet(spark, sf, "pages").select("html").write.option("maxRecordsPerFile", 1)
     one_each.option("compression", "gzip").option("lineSep", "\u0003").text(path)
     pages = tables.read_html(spark, path).select(F.regexp_replace("html", "\u0003$", "").alias("html"))
     return pages.agg(F.count(F.lit(1)).alias("pages"), F.count_distinct(F.md5("html")).alias("distinct_pages"),
@@ -192,20 +192,21 @@ def sink_merged_products(spark, sf):
         F.count_if("has_materials").alias("with_materials")).withColumn("errors", stats)
 
 
-@query("sink_summary", f"""SELECT 'bands' AS part, string_agg(band || '=' || n, '|' ORDER BY band) AS counts FROM ({totals._bands_sql(totals.ORDER_MONEY_SQL, money.PRICE_BANDS[1] + [money.NO_PRICE], totals.SQL_BAND)})""")
+@query("sink_summary", f"""SELECT 'bands' AS part, band AS key, n FROM ({totals._bands_sql(totals.ORDER_MONEY_SQL, money.PRICE_BANDS[1] + [money.NO_PRICE], totals.SQL_BAND)})""")
 def sink_summary(spark, sf):
     path = scratch(spark, "summary")
     sinks.write_summary(totals.agg_price_bands(spark, sf), "band", path)
-    back = spark.read.schema("distribution map<string,long>").json(path)
-    return back.select(F.lit("bands").alias("part"), P.map_text(F.col("distribution")).alias("counts"))
+    return spark.read.schema("key string, n long").json(path).select(F.lit("bands").alias("part"), "key", "n")
 
 
-@query("sink_product_json", f"""SELECT 'f_' || p_partkey AS product_id, p_partkey % 5 AS chunk_id, CASE WHEN p_partkey % 5 = 2 THEN 2 ELSE 1 END AS version FROM part""")
+@query("sink_product_json", """SELECT 'f_' || p_partkey AS product_id, p_partkey // 1000 AS chunk_id, CASE WHEN p_partkey % 3 = 2 THEN 2 ELSE 1 END AS version FROM part""")
 def sink_product_json(spark, sf):
     path = scratch(spark, "products")
-    rows = I.listings(spark, sf).select(U.product_id(F.col("url")).alias("product_id"), (F.col("id") % 5).alias("chunk_id"), F.lit(1).alias("version"))
-    sinks.write_products(rows, path)
-    sinks.write_products(rows.where("chunk_id = 2").withColumn("version", F.lit(2)), path)
+    rows = I.listings(spark, sf).select(U.product_id(F.col("url")).alias("product_id"), F.floor(F.col("id") / 1000).cast("long").alias("chunk_id"), F.lit(1).alias("version"), "id")
+    sinks.write_products(rows.drop("id"), path)
+    # a part of each chunk again, every row twice
+    again = rows.where("id % 3 = 2").drop("id")
+    sinks.write_products(again.unionByName(again.withColumn("version", F.lit(2))), path, order="version")
     return spark.read.schema("product_id string, version int, chunk_id long").json(path)
 
 
@@ -243,9 +244,9 @@ def sink_url_file_map(spark, sf):
     return spark.read.schema("url string, filename string").json(path)
 
 
-@query("ds_category_subsets", f"SELECT p_type AS category, count(*) AS n FROM part WHERE {P.SQL_HAS_NODE} GROUP BY 1")
+@query("ds_category_subsets", f"SELECT CASE WHEN {P.SQL_HAS_NODE} THEN p_type ELSE 'uncategorised' END AS category, count(*) AS n FROM part GROUP BY 1")
 def ds_category_subsets(spark, sf):
     path = scratch(spark, "subsets")
     flat = extraction.flatten_extracted(extraction.land_products(I.product_pages(spark, sf)))
-    sinks.write_subsets(flat.where("category IS NOT NULL").select("product_id", "url", "category"), path)
+    sinks.write_subsets(flat.select("product_id", "url", F.coalesce("category", F.lit("uncategorised")).alias("category")), path)
     return summaries.distribution(spark.read.parquet(path), "category")

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.sources.tables import read_parquet
-from vitrine.workspace import spread
 
 HOST = "www.market.example"
 
@@ -66,7 +65,7 @@ RUN_SQL = """SELECT event_id, ts, user_id, concat('unit', CAST(user_id % 8 AS ST
 
 
 def _from_part(spark: SparkSession, sf: str, url: str) -> DataFrame:
-    part = spread(read_parquet(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type"))
+    part = read_parquet(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     return part.select(F.col("p_partkey").alias("id"), F.expr(url).alias("url"))
 
 
@@ -79,7 +78,7 @@ def listings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def line_urls(spark: SparkSession, sf: str) -> DataFrame:
-    lines = spread(read_parquet(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"))
+    lines = read_parquet(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
     return lines.select(F.col("l_orderkey").alias("id"), F.expr(LINE_URL).alias("url"))
 
 
@@ -162,7 +161,7 @@ PAGE_HTML = f"""concat('<!DOCTYPE html><html><head><script>var a = "x";</script>
 
 
 def product_pages(spark: SparkSession, sf: str) -> DataFrame:
-    part = spread(read_parquet(spark, sf, "part"))
+    part = read_parquet(spark, sf, "part")
     return part.select(F.col("p_partkey").alias("id"), F.expr(LISTING_URL).alias("url"), F.expr(PAGE_HTML).alias("html"))
 
 
@@ -196,7 +195,7 @@ DOCUMENTS_SQL = """SELECT p_partkey AS id, concat('f_', p_partkey) AS product_id
 
 def document_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Document text with the directory names it is stored under."""
-    return spread(read_parquet(spark, sf, "part")).select(
+    return read_parquet(spark, sf, "part").select(
         F.expr(DOCUMENT_TEXT).alias("value"),
         (F.col("p_partkey") % 2 + 1).alias("instance_"),
         (F.col("p_partkey") % 5 + 1).alias("chunk_"),

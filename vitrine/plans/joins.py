@@ -37,13 +37,13 @@ def join_url_one_to_many(spark, sf):
 
 
 @query("join_html_json_by_id", """WITH h AS (SELECT 'f_' || o_custkey AS product_id, count(*) AS html_files FROM orders GROUP BY 1),
- j AS (SELECT 'f_' || c_custkey AS product_id, count(*) AS json_files FROM customer WHERE c_acctbal > 0 GROUP BY 1)
+ j AS (SELECT 'f_' || c_custkey AS product_id, count(*) AS json_files FROM customer GROUP BY 1)
  SELECT coalesce(h.product_id, j.product_id) AS product_id, coalesce(html_files, 0) AS html_files, coalesce(json_files, 0) AS json_files,
  CASE WHEN h.product_id IS NULL THEN 'json_only' WHEN j.product_id IS NULL THEN 'html_only' ELSE 'both' END AS state
  FROM h FULL JOIN j ON h.product_id = j.product_id""")
 def join_html_json_by_id(spark, sf):
     html = read_parquet(spark, sf, "orders").select(F.concat(F.lit("f_"), F.col("o_custkey").cast("string")).alias("product_id"))
-    docs = read_parquet(spark, sf, "customer").where("c_acctbal > 0").select(
+    docs = read_parquet(spark, sf, "customer").select(
         F.concat(F.lit("f_"), F.col("c_custkey").cast("string")).alias("product_id"))
     return matching.match_files(html, docs)
 
@@ -51,7 +51,7 @@ def join_html_json_by_id(spark, sf):
 @query("join_url_file_map", "SELECT page_id, url, page_id || '_' || substr(md5(url), 1, 12) || '.html.gz' AS filename FROM pages")
 def join_url_file_map(spark, sf):
     pages = read_parquet(spark, sf, "pages").select("page_id", "url")
-    return matching.join_on_url(pages, matching.url_file_map(pages, item="page_id"))
+    return matching.join_on_file(pages, matching.url_file_map(pages, item="page_id"))
 
 
 @query("anti_pending_urls", """SELECT o_orderkey AS id FROM orders WHERE o_orderkey NOT IN

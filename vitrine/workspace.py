@@ -43,7 +43,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-MAX_PARTITIONS = 100_000
 UNKNOWN_BYTES = 1 << 60
 
 
@@ -58,14 +57,5 @@ def _input_bytes(df: DataFrame) -> int:
 def partitions_for(df: DataFrame, input_bytes: int = 128 << 20) -> int:
     """Partitions so that each stands for about `input_bytes` of the files read, never below the session's setting."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, min(_input_bytes(df) // input_bytes + 1, MAX_PARTITIONS))
+    return max(configured, _input_bytes(df) // input_bytes + 1)
 
-
-def spread(df: DataFrame, least_bytes: int = 16 << 10) -> DataFrame:
-    """Spread a scan with fewer partitions than cores before costly work on each row.
-
-    No partition gets less than `least_bytes` of the files, and a scan with enough partitions is
-    left as it is. Meant for a plain scan, whose partitions are known without running anything.
-    """
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, _input_bytes(df) // least_bytes + 1)
-    return df.repartition(wanted) if df._jdf.queryExecution().toRdd().getNumPartitions() < wanted else df
