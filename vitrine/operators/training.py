@@ -120,7 +120,7 @@ def term_patterns(df: DataFrame, terms: str) -> DataFrame:
     return df.select(F.inline(both)).groupBy("size", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def natural_clusters(df: DataFrame, terms: str, k: int = 8, features: int = 1024, seed: int = 42) -> DataFrame:
+def natural_clusters(df: DataFrame, terms: str, k: int = 8, features: int = 1 << 18, seed: int = 42) -> DataFrame:
     """Group listings by their terms: hashed term weights and k-means. Adds `cluster`."""
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans

@@ -45,7 +45,7 @@ def stream_resume(spark, sf):
     source, target, checkpoint = (scratch(spark, x) for x in ("arriving", "resumed", "stream-checkpoint"))
     events = read_parquet(spark, sf, "events").select("event_id", "event_type")
     for first in (True, False):
-        part = events.where((F.col("event_id") % 2 == 0) == F.lit(first)).repartition(4)
+        part = events.where((F.col("event_id") % 2 == 0) == F.lit(first))
         part.write.mode("append").parquet(source)
         progress.append_stream(progress.read_stream(spark, source, events.schema, files_per_batch=2), target, checkpoint)
     return spark.read.schema(events.schema).parquet(target)

@@ -35,6 +35,8 @@ def cluster_settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # rows that go to a Python worker at a time: whole texts, of which a few are very long
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }
