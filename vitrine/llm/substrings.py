@@ -29,12 +29,15 @@ from pyspark.sql import functions as F
 from vitrine.llm import rows
 from vitrine.llm.jaccard import mix
 from vitrine.llm.suffixes import common_prefixes, suffix_array
-from vitrine.workspace import partitions_for, stage
+from vitrine.workspace import _input_bytes as input_bytes
+from vitrine.workspace import stage
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24  # a multiple of eight; shorter ones are cheaper to look for, but meet by chance more often
 #: What a task gathers before it sends (anchors; bytes of pieces), and the bytes of pieces in one suffix array.
 ANCHORS, PIECES, SHARD_BYTES = 2_000_000, 32 << 20, 2 << 20
+#: Bytes of input files for each shard of hashes.
+SHARD_INPUT = 16 << 20
 LAST = (1 << 63) - 1
 
 
@@ -45,7 +48,9 @@ def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     words = np.ndarray((n - 7,), "<u8", np.frombuffer(data, np.uint8), 0, (1,))
     grams = n - GRAM + 1
-    h = mix(words[:grams] * np.uint64(0x9E3779B97F4A7C15) ^ mix(words[8 : 8 + grams]))
+    h = np.zeros(grams, np.uint64)
+    for k in range(0, GRAM, 8):
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[k : k + grams])
     width = length - GRAM + 1
 
     def sliding(x: np.ndarray, best) -> np.ndarray:
@@ -161,7 +166,7 @@ def _answered(asked: DataFrame) -> DataFrame:
 
 
 def _pieces(texts: DataFrame, length: int) -> DataFrame:
-    """Pieces of text around the anchors that other documents have: (h, at, piece, id, u, places), and (u, spans) of documents
+    """Pieces of text around the anchors that other documents have: (at, piece, id, u, place, more places), and (u, spans) of documents
     whose piece another document of the task with a smaller id has."""
     def run(batches):
         held: dict[tuple, list] = {}
@@ -173,19 +178,19 @@ def _pieces(texts: DataFrame, length: int) -> DataFrame:
             for i in range(0, len(keys), 20_000):
                 part = keys[i : i + 20_000]
                 values = [held[k] for k in part]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([k[0] for k in part], pa.int64()), pa.array([k[1] for k in part], pa.int32()), pa.array([k[2] for k in part], pa.binary()),
-                    pa.array([v[0] for v in values], pa.int64()), pa.array([v[1] for v in values], pa.int64()), pa.array([v[2] for v in values], pa.list_(pa.int32())),
-                    pa.nulls(len(part), pa.list_(pa.int32())),
-                ], ["h", "at", "piece", "id", "u", "places", "spans"])
+                yield rows_of(
+                    [k[1] for k in part], [k[2] for k in part], [v[0] for v in values], [v[1] for v in values],
+                    [v[2][0] for v in values], [v[2][1:] or None for v in values], [None] * len(part),
+                )
             users = list(spans)
             flat = [np.stack(merged(*np.array(spans[u], np.int64).T), 1).ravel().tolist() for u in users]
-            none = pa.nulls(len(users), pa.int32())
-            yield pa.RecordBatch.from_arrays([
-                pa.array([u for u, _ in users], pa.int64()), none, pa.nulls(len(users), pa.binary()), pa.array([i for _, i in users], pa.int64()), pa.array([u for u, _ in users], pa.int64()),
-                pa.nulls(len(users), pa.list_(pa.int32())), pa.array(flat, pa.list_(pa.int32())),
-            ], ["h", "at", "piece", "id", "u", "places", "spans"])
+            none = [None] * len(users)
+            yield rows_of(none, none, [i for _, i in users], [u for u, _ in users], none, none, flat)
 
+        def rows_of(*columns):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["at", "piece", "id", "u", "place", "more", "spans"])
+
+        kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()))
         for batch in batches:
             for u, id_, text, hashes in zip(*(c.to_pylist() for c in batch.columns)):
                 data = _bytes(text)
@@ -215,7 +220,7 @@ def _pieces(texts: DataFrame, length: int) -> DataFrame:
         if held or spans:
             yield from flush()
 
-    return texts.select("u", "id", "text", "answers").mapInArrow(run, "h long, at int, piece binary, id long, u long, places array<int>, spans array<int>")
+    return texts.select("u", "id", "text", "answers").mapInArrow(run, "at int, piece binary, id long, u long, place int, more array<int>, spans array<int>")
 
 
 def removable(pieces: list[bytes], least_id: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
@@ -243,7 +248,7 @@ def _found(pieces: DataFrame, length: int) -> DataFrame:
         least = np.full(len(distinct), LAST, np.int64)
         np.minimum.at(least, number, np.array(ids, np.int64))
         texts = list(distinct)
-        kinds: dict[int, set[int]] = {}
+        kinds: dict[bytes, set[int]] = {}
         for h, i in zip(hs, number):
             kinds.setdefault(h, set()).add(i)
         mixed = sorted({i for s in kinds.values() if len(s) > 1 for i in s})
@@ -272,7 +277,9 @@ def _found(pieces: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             direct = batch.filter(pa.compute.is_valid(batch.column("spans")))
             yield direct.select(["u", "id", "spans"])
-            for row in zip(*(batch.filter(pa.compute.is_valid(batch.column("piece"))).column(c).to_pylist() for c in ("h", "piece", "id", "u", "places"))):
+            sent = batch.filter(pa.compute.is_valid(batch.column("piece")))
+            for at, piece, id_, u, place, more in zip(*(sent.column(c).to_pylist() for c in ("at", "piece", "id", "u", "place", "more"))):
+                row = (piece[at : at + GRAM], piece, id_, u, [place, *(more or ())])
                 if size >= SHARD_BYTES and row[0] != held[0][-1]:
                     yield solve(*held)
                     held, size = [[], [], [], [], []], 0
@@ -282,7 +289,9 @@ def _found(pieces: DataFrame, length: int) -> DataFrame:
         if held[0]:
             yield solve(*held)
 
-    return pieces.repartition("h").sortWithinPartitions("h").mapInArrow(run, "u long, id long, spans array<int>")
+    # what has one anchor goes to one partition, side by side; spans anywhere
+    anchor = F.coalesce(F.substring("piece", F.col("at") + 1, F.lit(GRAM)), F.col("u").cast("string").cast("binary"))
+    return pieces.repartition(anchor).sortWithinPartitions(anchor).mapInArrow(run, "u long, id long, spans array<int>")
 
 
 def remove_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, kept: bool = True) -> DataFrame:
@@ -300,13 +309,16 @@ def remove_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_
     }).withColumn("u", F.xxhash64("k", "id"))
     short, long = keyed.where(F.col("n") < length), keyed.where(F.col("n") >= length)
     firsts = stage(long.groupBy("k").agg(F.min("id").alias("id")), "firsts")
-    answers = _answered(_asked(long, partitions_for(documents, 24 << 20)))
+    answers = _answered(_asked(long, max(8, input_bytes(documents) // SHARD_INPUT + 1)))
     answers = answers.groupBy("u").agg(F.collect_list("hashes").alias("answers"))  # of one document
-    # the two uses of this join read one shuffle of the texts
-    texts = long.select("u", "k", "id", "doc_id", "text").join(firsts.withColumn("u", F.xxhash64("k", "id")).hint("shuffle_hash"), ["u", "k", "id"])
+    # all joins of texts go by u alone, so that one shuffle of the texts serves them all; the ids are compared besides
+    same = lambda a, b: a.bitwiseXOR(b) == 0
+    chosen = firsts.select(F.xxhash64("k", "id").alias("u"), F.col("id").alias("first_id"))
+    texts = long.select("u", "id", "text").join(chosen.hint("shuffle_hash"), "u").where(same(F.col("id"), F.col("first_id"))).drop("first_id")
     pieces = _pieces(texts.join(answers.hint("shuffle_hash"), "u"), length)
     spans = _found(pieces, length).groupBy("u", "id").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # of one document
-    worked = texts.join(spans.hint("shuffle_hash"), ["u", "id"], "left").select("doc_id", "text", "spans")
+    spans = spans.select(F.col("u").alias("span_u"), F.col("id").alias("span_id"), "spans").hint("shuffle_hash")
+    worked = texts.join(spans, (F.col("u") == F.col("span_u")) & same(F.col("id"), F.col("span_id")), "left").select(F.nullif("id", F.lit(LAST)).alias("doc_id"), "text", "spans")
 
     def cut(batches):
         for batch in batches:
