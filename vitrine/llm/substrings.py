@@ -36,8 +36,8 @@ LENGTH = 50
 GRAM = 24  # a multiple of eight; shorter ones are cheaper to look for, but meet by chance more often
 #: What a task gathers before it sends (anchors; bytes of pieces), and the bytes of pieces in one suffix array.
 ANCHORS, PIECES, SHARD_BYTES = 2_000_000, 32 << 20, 2 << 20
-#: Bytes of input files for each shard of hashes.
-SHARD_INPUT = 16 << 20
+#: Bytes of input files for each shard of hashes, and the smallest number of shards.
+SHARD_INPUT, SHARDS = 16 << 20, 32
 LAST = (1 << 63) - 1
 
 
@@ -112,7 +112,7 @@ def _asked(texts: DataFrame, shards: int) -> DataFrame:
                         by = where[np.argsort(owner[where], kind="stable")]
                         out[name].append((h[by] >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes())
                         users, lengths = np.unique(owner[by], return_counts=True)
-                        out["owners" if name == "hashes" else "direct_owners"].append(np.stack([users, lengths], 1).tobytes())
+                        out["owners" if name == "hashes" else "direct_owners"].append(users.tobytes() + lengths.astype("<i4").tobytes())
             return pa.RecordBatch.from_arrays([pa.array(out["shard"], pa.int32()), *(pa.array(out[k], pa.binary()) for k in ("hashes", "owners", "direct", "direct_owners"))], ["shard", "hashes", "owners", "direct", "direct_owners"])
 
         for batch in batches:
@@ -137,8 +137,8 @@ def _unpacked(packed: bytes, owners: bytes) -> tuple[np.ndarray, np.ndarray]:
     five = np.frombuffer(packed, np.uint8).reshape(-1, 5)
     wide = np.zeros((len(five), 8), np.uint8)
     wide[:, :5] = five
-    pairs = np.frombuffer(owners, np.int64).reshape(-1, 2)
-    return wide.view("<u8")[:, 0], np.repeat(pairs[:, 0], pairs[:, 1])
+    n = len(owners) // 12
+    return wide.view("<u8")[:, 0], np.repeat(np.frombuffer(owners, np.int64, n), np.frombuffer(owners, "<i4", n, 8 * n))
 
 
 def _answered(asked: DataFrame) -> DataFrame:
@@ -223,6 +223,34 @@ def _pieces(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("u", "id", "text", "answers").mapInArrow(run, "at int, piece binary, id long, u long, place int, more array<int>, spans array<int>")
 
 
+def meeting(pieces: list[bytes], anchor: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Whether a piece may share a string of `length` bytes that covers the anchor with another piece of that anchor: a rolling
+    hash of these strings, each at its distance from the anchor, rules out most that share little more than the anchor."""
+    n, width = len(pieces), 2 * length - GRAM
+    if not n:
+        return np.zeros(0, bool)
+    lead = length - GRAM  # what a full piece has before its anchor
+    begin, size = lead - at, np.array([len(p) for p in pieces])
+    table = np.zeros((n, width), np.uint64)
+    flat = np.frombuffer(b"".join(pieces), np.uint8)
+    rows_ = np.repeat(np.arange(n), size)
+    table[rows_, begin[rows_] + np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat + np.uint64(1)
+    base = np.uint64(0x9E3779B97F4A7C15)
+    power = np.uint64(pow(int(base), length, 1 << 64))
+    sums = np.zeros((width + 1, n), np.uint64)
+    for k in range(width):
+        sums[k + 1] = sums[k] * base + table[:, k]
+    out = np.zeros(n, bool)
+    for k in range(width - length + 1):
+        whole = np.flatnonzero((begin <= k) & (begin + size >= k + length))
+        h = mix(sums[k + length, whole] - sums[k, whole] * power) ^ anchor[whole].view(np.uint64)
+        order = np.argsort(h, kind="stable")
+        same = h[order][1:] == h[order][:-1]
+        out[whole[order[1:][same]]] = True
+        out[whole[order[:-1][same]]] = True
+    return out
+
+
 def removable(pieces: list[bytes], least_id: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
     """For every start of a string of `length` bytes in the pieces, the smallest id of a piece that has this string, too."""
     data = b"\x00".join(pieces) + b"\x00"
@@ -242,16 +270,18 @@ def removable(pieces: list[bytes], least_id: np.ndarray, length: int = LENGTH) -
 
 def _found(pieces: DataFrame, length: int) -> DataFrame:
     """(u, id, spans): flat begin and end of the bytes that go."""
-    def solve(hs, pcs, ids, us, places):
+    def solve(hs, pcs, ats, ids, us, places):
         distinct: dict[bytes, int] = {}
         number = [distinct.setdefault(p, len(distinct)) for p in pcs]
         least = np.full(len(distinct), LAST, np.int64)
         np.minimum.at(least, number, np.array(ids, np.int64))
         texts = list(distinct)
-        kinds: dict[bytes, set[int]] = {}
-        for h, i in zip(hs, number):
-            kinds.setdefault(h, set()).add(i)
-        mixed = sorted({i for s in kinds.values() if len(s) > 1 for i in s})
+        kinds: dict[int, dict[int, int]] = {}
+        for h, i, at in zip(hs, number, ats):
+            kinds.setdefault(h, {})[i] = at
+        several = [(h, i, at) for h, s in kinds.items() if len(s) > 1 for i, at in s.items()]
+        alike = meeting([texts[i] for _, i, _ in several], *(np.array([x[k] for x in several], np.int64) for k in (0, 2)), length)
+        mixed = sorted({i for (_, i, _), meets in zip(several, alike) if meets})
         begins: list = [None] * len(texts)
         for i, m in zip(mixed, removable([texts[i] for i in mixed], least[mixed], length) if mixed else []):
             begins[i] = m
@@ -272,17 +302,17 @@ def _found(pieces: DataFrame, length: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(users, pa.int64()), pa.array(owners, pa.int64()), pa.array(spans, pa.list_(pa.int32()))], ["u", "id", "spans"])
 
     def run(batches):
-        held: list[list] = [[], [], [], [], []]
+        held: list[list] = [[], [], [], [], [], []]
         size = 0
         for batch in batches:
             direct = batch.filter(pa.compute.is_valid(batch.column("spans")))
             yield direct.select(["u", "id", "spans"])
             sent = batch.filter(pa.compute.is_valid(batch.column("piece")))
-            for at, piece, id_, u, place, more in zip(*(sent.column(c).to_pylist() for c in ("at", "piece", "id", "u", "place", "more"))):
-                row = (piece[at : at + GRAM], piece, id_, u, [place, *(more or ())])
+            for h, at, piece, id_, u, place, more in zip(*(sent.column(c).to_pylist() for c in ("h", "at", "piece", "id", "u", "place", "more"))):
+                row = (h, piece, at, id_, u, [place, *(more or ())])
                 if size >= SHARD_BYTES and row[0] != held[0][-1]:
                     yield solve(*held)
-                    held, size = [[], [], [], [], []], 0
+                    held, size = [[], [], [], [], [], []], 0
                 for column, value in zip(held, row):
                     column.append(value)
                 size += len(row[1])
@@ -290,8 +320,9 @@ def _found(pieces: DataFrame, length: int) -> DataFrame:
             yield solve(*held)
 
     # what has one anchor goes to one partition, side by side; spans anywhere
-    anchor = F.coalesce(F.substring("piece", F.col("at") + 1, F.lit(GRAM)), F.col("u").cast("string").cast("binary"))
-    return pieces.repartition(anchor).sortWithinPartitions(anchor).mapInArrow(run, "u long, id long, spans array<int>")
+    anchor = F.xxhash64(F.coalesce(F.substring("piece", F.col("at") + 1, F.lit(GRAM)), F.col("u").cast("string").cast("binary")))
+    dealt = pieces.repartition(anchor).withColumn("h", anchor).sortWithinPartitions("h")
+    return dealt.mapInArrow(run, "u long, id long, spans array<int>")
 
 
 def remove_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, kept: bool = True) -> DataFrame:
@@ -309,7 +340,7 @@ def remove_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_
     }).withColumn("u", F.xxhash64("k", "id"))
     short, long = keyed.where(F.col("n") < length), keyed.where(F.col("n") >= length)
     firsts = stage(long.groupBy("k").agg(F.min("id").alias("id")), "firsts")
-    answers = _answered(_asked(long, max(8, input_bytes(documents) // SHARD_INPUT + 1)))
+    answers = _answered(_asked(long, max(SHARDS, input_bytes(documents) // SHARD_INPUT + 1)))
     answers = answers.groupBy("u").agg(F.collect_list("hashes").alias("answers"))  # of one document
     # all joins of texts go by u alone, so that one shuffle of the texts serves them all; the ids are compared besides
     same = lambda a, b: a.bitwiseXOR(b) == 0
