@@ -8,10 +8,11 @@ differ in at most k = 2 (1 - g) / (1 + g) r shingles.
 agree in one partition at least: the subsets to enumerate are the single partitions, and a signature is the hash of what a set
 has in one of them. Sets that are equal are one class from the start.
 
-**Candidates.** Of the classes with one signature, all are compared with the one of the smallest id (first within a task, then over
+**Candidates.** Of the classes with one signature, all are compared with one of them (first within a task, then over
 all tasks, so that a signature shared by very many is never gathered). Classes with a common signature that are still
-unconnected after that are compared with one another, in blocks: first by parity sketches (of a bit for each place of
-a hash, which side has an odd number of shingles there), whose distance never exceeds the true difference, then by their sets.
+unconnected after that are compared with one another, in blocks: first by parity sketches (a bit for each place of
+a hash: whether the number of shingles there is odd), whose distance never exceeds the true difference, then by their sets. Of those that
+sketches leave, each class takes the nearest one of another component, and so on in rounds, until none is left.
 """
 
 from __future__ import annotations
@@ -30,8 +31,11 @@ from vitrine.workspace import stage
 WORDS = 4
 PERCENT = 85
 #: Signatures that a task sorts at a time, and members of a signature that one task compares with as many others.
-SORTED = 2_000_000
+SORTED = 1_000_000
 BLOCK = 2048
+ORDERS = 8
+#: Rounds in which unconnected classes are compared with their nearest one only; after them with all that are near.
+ROUNDS = 3
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -160,14 +164,16 @@ def _prepared(documents: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _stars(prepared: DataFrame) -> DataFrame:
-    """(sig, center, id): the classes that share a signature with another one, each with the smallest id of its task, these with
-    the smallest of all."""
+    """(sig, center, id): the classes that share a signature with another one, each with the first of its task, these with
+    the first of all. Which is first goes by one of `ORDERS` orders, chosen by the signature: a class that is linked with few of
+    its group is then not the center everywhere."""
     def combined(batches):
         sig_parts, id_parts, held = [], [], 0
 
         def flush():
             sig, own = np.concatenate(sig_parts), np.concatenate(id_parts)
-            order = np.lexsort((own, sig))
+            turn = mix(own.view(np.uint64) ^ mix(sig.view(np.uint64) % np.uint64(ORDERS))).view(np.int64)
+            order = np.lexsort((turn, sig))
             sig, own = sig[order], own[order]
             first = np.ones(len(sig), bool)
             first[1:] = sig[1:] != sig[:-1]
@@ -191,9 +197,9 @@ def _stars(prepared: DataFrame) -> DataFrame:
             yield from flush()
 
     found = prepared.where("sigs is not null").select("id", "sigs").mapInArrow(combined, "sig long, center long, id long")
-    local = found.where("center <> id")
+    local = found.where("center <> id").select("sig", "center", "id")
     firsts = found.where("center = id").select("sig", "id")
-    least = F.expr("min(id) over (partition by sig)")  # a row for each task that has the signature
+    least = F.expr(f"min(struct(xxhash64(id, pmod(sig, {ORDERS})), id)) over (partition by sig)")["id"]  # a row for each task that has the signature
     across = firsts.withColumn("center", least).where("center <> id").select("sig", "center", "id")
     return local.unionByName(across)
 
@@ -251,41 +257,122 @@ def _links(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words: in
     return stage(compared.mapInArrow(run, "ka binary, kb binary").select(F.col("ka").alias("a"), F.col("kb").alias("b")), "links")
 
 
-def _left_over(stars: DataFrame, together: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs with a common signature that are not connected yet and that the sketches do not rule out."""
-    members = stars.select("sig", F.explode(F.array("center", "id")).alias("id")).distinct()
+def near_pairs(ids, component, n, sketches: list[int], bits: list[int], failed: list, left, right, percent: int, every: bool):
+    """(a, b) of members of two blocks (positions `left` and `right`) in different components that the sketches do not rule out: of each
+    member outside the largest component the nearest one, or all."""
+    sizes: dict = {}
+    for c in component:
+        sizes[c] = sizes.get(c, 0) + 1
+    largest = max(sizes, key=lambda c: (sizes[c], c))
+    both = left + right if left is not right else left
+    if len(both) <= 24:
+        def far(x, y):
+            if bits[x] == bits[y]:
+                return (sketches[x] ^ sketches[y]).bit_count()
+            size = min(len(raw) for raw in (_raw(sketches[x], bits[x]), _raw(sketches[y], bits[y])))
+            return int(distances([_raw(sketches[x], bits[x])], [_raw(sketches[y], bits[y])])[0, 0]) if size else 0
+
+        found: dict = {}
+        for x in left:
+            for y in right:
+                if component[x] == component[y] or (left is right and y <= x):
+                    continue
+                p, q = n[x], n[y]
+                if 100 * min(p, q) < percent * max(p, q) or ids[y] in (failed[x] or ()):
+                    continue
+                d = far(x, y)
+                if (100 + percent) * d <= (100 - percent) * (p + q):
+                    found.setdefault(x, []).append((d, ids[y], y))
+                    found.setdefault(y, []).append((d, ids[x], x))
+        out = set()
+        for x, options in found.items():
+            if every:
+                out.update((min(ids[x], i), max(ids[x], i)) for _, i, _ in options)
+            elif component[x] != largest:
+                i = min(options)[1]
+                out.add((min(ids[x], i), max(ids[x], i)))
+        return sorted(out)
+    raw = [_raw(sketches[x], bits[x]) for x in range(len(ids))]
+    far = distances([raw[x] for x in left], [raw[x] for x in right])
+    names = {c: k for k, c in enumerate(sizes)}
+    kind, size, own = np.array([names[c] for c in component]), np.array(n), np.array(ids, np.int64)
+    p, q = size[left][:, None], size[right][None, :]
+    near = ((100 + percent) * far <= (100 - percent) * (p + q)) & (100 * np.minimum(p, q) >= percent * np.maximum(p, q))
+    near &= kind[left][:, None] != kind[right][None, :]
+    at = {i: k for k, i in enumerate(own[right].tolist())}
+    back = {i: k for k, i in enumerate(own[left].tolist())}
+    for row, x in enumerate(left):
+        for i in failed[x] or ():
+            if i in at:
+                near[row, at[i]] = False
+    for column, y in enumerate(right):
+        for i in failed[y] or ():
+            if i in back:
+                near[back[i], column] = False
+    if every:
+        a, b = np.nonzero(near)
+    else:
+        cost = np.where(near, far, np.iinfo(np.int32).max)
+        rows_ = np.flatnonzero(near.any(1) & (kind[left] != names[largest]))
+        columns = np.flatnonzero(near.any(0) & (kind[right] != names[largest]))
+        a = np.concatenate([rows_, cost[:, columns].argmin(0)]) if len(columns) else rows_
+        b = np.concatenate([cost[rows_].argmin(1), columns]) if len(rows_) else columns
+    a, b = own[left][a], own[right][b]
+    return sorted(set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())))
+
+
+def _raw(sketch_: int, bits: int) -> bytes:
+    return sketch_.to_bytes(bits // 8, "little")
+
+
+def _left_over(stars: DataFrame, together: DataFrame, sketches: DataFrame, failed: DataFrame | None, open_: DataFrame | None, every: bool, percent: int) -> DataFrame:
+    """(sig, a, b): pairs with a common signature that are not connected yet, not refuted, and not ruled out by their sketches."""
+    members = stars if open_ is None else stars.join(open_, "sig", "left_semi")
+    members = members.select("sig", F.explode(F.array("center", "id")).alias("id")).distinct()
     members = members.join(together, "id", "left").withColumn("component", F.coalesce("component", F.col("id").cast("string")))
     members = stage(members, "members")
     split = members.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x < y")
-    split = stage(split.select("sig", F.expr("cast(ceil(size / %d) as int)" % BLOCK).alias("blocks")), "split")
-    open_ = members.join(split, "sig").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+    split = stage(split.select("sig", F.expr("cast(ceil(size / %d) as long)" % BLOCK).alias("blocks")), "split")
+    parts = members.join(split, "sig").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
     # every block meets every block of its signature, itself included, in one task for each two of them
-    cells = open_.select(
-        "sig", "id", "component", "block",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("other"),
-    ).select("sig", "id", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
+    cells = parts.select("sig", "id", "component", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    cells = cells.select("sig", "id", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
     cells = cells.join(sketches, "id")
+    if failed is None:
+        cells = cells.withColumn("failed", F.lit(None).cast("array<long>"))
+    else:
+        twice = failed.select("a", "b").unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        cells = cells.join(twice.groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("failed")), "id", "left")
+
+    def solve(cell, members_):
+        ids, component, block, n, sketches_, refuted = (list(x) for x in zip(*members_))
+        bits = [8 * len(x) for x in sketches_]
+        whole = [int.from_bytes(x, "little") for x in sketches_]
+        left = [k for k, b in enumerate(block) if b == cell[1]]
+        right = left if cell[1] == cell[2] else [k for k, b in enumerate(block) if b == cell[2]]
+        if left and right:
+            for a, b in near_pairs(ids, component, n, whole, bits, refuted, left, right, percent, every):
+                yield cell[0], a, b
 
-    def run(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_numpy()
-        names, n, block = table.column("component").to_pylist(), table.column("n").to_numpy(), table.column("block").to_numpy()
-        number = {x: i for i, x in enumerate(dict.fromkeys(names))}
-        component, sketches_ = np.array([number[x] for x in names]), table.column("sketch").to_pylist()
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        left = np.flatnonzero(block == i)
-        right = np.flatnonzero(block == j)
-        if not len(left) or not len(right):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        far = distances([sketches_[x] for x in left], [sketches_[x] for x in right])
-        p, q = n[left][:, None], n[right][None, :]
-        near = (100 + percent) * far <= (100 - percent) * (p + q)
-        near &= 100 * np.minimum(p, q) >= percent * np.maximum(p, q)
-        near &= component[left][:, None] != component[right][None, :]
-        a, b = np.nonzero(near)
-        a, b = ids[left[a]], ids[right[b]]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    def run(batches):
+        cell, held = None, []
+        for batch in batches:
+            out = []
+            for sig, i, j, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+                if (sig, i, j) != cell:
+                    if len(held) > 1:
+                        out += solve(cell, held)
+                    cell, held = (sig, i, j), []
+                held.append(rest)
+            yield table_of(out)
+        if len(held) > 1:
+            yield table_of([*solve(cell, held)])
+
+    def table_of(found):
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(3)], ["sig", "a", "b"])
 
-    return cells.groupBy("sig", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    ordered = cells.select("sig", "i", "j", "id", "component", "block", "n", "sketch", "failed").repartition("sig", "i", "j")
+    return ordered.sortWithinPartitions("sig", "i", "j").mapInArrow(run, "sig long, a long, b long")
 
 
 def join(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -308,9 +395,18 @@ def join(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", words
     stars = stage(_stars(prepared), "stars")
     pairs = stars.select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     links = _links(_kept_by_sketch(pairs, sketches, percent), classes, source, words, percent)
-    together = components(links).join(classes, F.col("node") == F.col("key")).select("id", F.hex("component").alias("component"))
-    more = _links(_left_over(stars, together, sketches, percent), classes, source, words, percent)
-    joined = components(links.unionByName(more))
+    failed = open_ = None
+    for turn in range(ROUNDS + 1):
+        together = components(links).join(classes, F.col("node") == F.col("key")).select("id", F.hex("component").alias("component"))
+        found = stage(_left_over(stars, together, sketches, failed, open_, turn == ROUNDS, percent), "near")
+        if found.isEmpty():
+            break
+        more = _links(found.select("a", "b").distinct(), classes, source, words, percent)
+        named = more.join(classes.select(F.col("key").alias("a"), F.col("id").alias("x")), "a").join(classes.select(F.col("key").alias("b"), F.col("id").alias("y")), "b")
+        refuted = found.select("a", "b").distinct().join(named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), ["a", "b"], "left_anti")
+        failed = stage(refuted if failed is None else refuted.unionByName(failed), "failed")
+        links, open_ = stage(links.unionByName(more), "links"), found.select("sig").distinct()
+    joined = components(links)
     whole = classes.join(joined, classes.key == joined.node, "left").select("key", F.coalesce("component", "key").alias("group"), "doc_id")
     least = stage(whole.groupBy("group").agg(F.min("doc_id").alias("component_id")), "least")
     named = whole.join(least, "group").select("key", "group", "component_id")
