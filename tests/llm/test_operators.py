@@ -268,6 +268,15 @@ def test_repeats_of_odd_rows(spark, odd, none):
     assert by_id[1]["n_removed"] == 0 and by_id[2]["n_removed"] == by_id[2]["n_bytes"]
 
 
+def test_copies_in_any_order_within_a_task(spark):
+    r = random.Random(5)
+    text = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    passage, own = text(120), text(150)
+    rows = [(9, text(30) + own), (5, passage + own), (3, passage + own), (1, text(80) + passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted(map(tuple, substrings.remove_repeats(docs, kept=False).collect())) == _removed(rows)
+
+
 def test_suffix_arrays():
     r = random.Random(5)
     for k in range(300):

@@ -83,7 +83,7 @@ def _bytes(text: str) -> bytes:
 
 
 def _asked(texts: DataFrame, shards: int) -> DataFrame:
-    """(shard, hashes, owners, direct): packed 5-byte hashes in runs for each document; `direct`: those that documents of one task share."""
+    """Of texts without copies under another u, (shard, hashes, owners, direct): packed 5-byte hashes in runs for each document; `direct`: those that documents of one task share."""
     def run(batches):
         held: list[tuple[int, np.ndarray]] = []
         seen: set[bytes] = set()
@@ -116,11 +116,12 @@ def _asked(texts: DataFrame, shards: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(out["shard"], pa.int32()), *(pa.array(out[k], pa.binary()) for k in ("hashes", "owners", "direct", "direct_owners"))], ["shard", "hashes", "owners", "direct", "direct_owners"])
 
         for batch in batches:
-            for u, k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if k in seen:
+            for u, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                data = _bytes(text)
+                if (k := hashlib.md5(data).digest()) in seen:  # a repeated row: same text, same u
                     continue
                 seen.add(k)
-                _, h = anchors(_bytes(text))
+                _, h = anchors(data)
                 if len(h):
                     held.append((u, np.unique(h)))
                     count += len(held[-1][1])
@@ -130,7 +131,7 @@ def _asked(texts: DataFrame, shards: int) -> DataFrame:
         if held:
             yield flush()
 
-    return texts.select("u", "k", "text").mapInArrow(run, "shard int, hashes binary, owners binary, direct binary, direct_owners binary")
+    return texts.select("u", "text").mapInArrow(run, "shard int, hashes binary, owners binary, direct binary, direct_owners binary")
 
 
 def _unpacked(packed: bytes, owners: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -340,12 +341,13 @@ def remove_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_
     }).withColumn("u", F.xxhash64("k", "id"))
     short, long = keyed.where(F.col("n") < length), keyed.where(F.col("n") >= length)
     firsts = stage(long.groupBy("k").agg(F.min("id").alias("id")), "firsts")
-    answers = _answered(_asked(long, max(SHARDS, input_bytes(documents) // SHARD_INPUT + 1)))
-    answers = answers.groupBy("u").agg(F.collect_list("hashes").alias("answers"))  # of one document
     # all joins of texts go by u alone, so that one shuffle of the texts serves them all; the ids are compared besides
     same = lambda a, b: a.bitwiseXOR(b) == 0
     chosen = firsts.select(F.xxhash64("k", "id").alias("u"), F.col("id").alias("first_id"))
     texts = long.select("u", "id", "text").join(chosen.hint("shuffle_hash"), "u").where(same(F.col("id"), F.col("first_id"))).drop("first_id")
+    # asked for the chosen copies alone: answers must come under the u that is worked on
+    answers = _answered(_asked(texts, max(SHARDS, input_bytes(documents) // SHARD_INPUT + 1)))
+    answers = answers.groupBy("u").agg(F.collect_list("hashes").alias("answers"))  # of one document
     pieces = _pieces(texts.join(answers.hint("shuffle_hash"), "u"), length)
     spans = _found(pieces, length).groupBy("u", "id").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # of one document
     spans = spans.select(F.col("u").alias("span_u"), F.col("id").alias("span_id"), "spans").hint("shuffle_hash")
