@@ -10,6 +10,7 @@ import numpy as np
 import oracle
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from vitrine.llm import bpe, class_lm, decontaminate, graph, jaccard, quality, secrets, substrings, suffixes, token_counts, top_k, toxicity
@@ -277,6 +278,27 @@ def test_copies_in_any_order_within_a_task(spark):
     assert sorted(map(tuple, substrings.remove_repeats(docs, kept=False).collect())) == _removed(rows)
 
 
+def test_hot_anchors_are_split(spark, monkeypatch):
+    """One passage of 30 bytes in all documents, among neighbours of which some are shared: no group has all of its pieces."""
+    r = random.Random(8)
+    text = lambda n: "".join(r.choice("abcdefghij é") for _ in range(n))
+    middle, sides = text(30), [text(40) for _ in range(25)]
+    rows = [(i, text(20) + r.choice(sides) + middle + r.choice(sides) + text(20)) for i in range(120)]
+    rows += [(200 + i, text(60) + middle + text(60)) for i in range(80)] + [(300, middle + sides[0][:30]), (301, middle * 4), (302, "z" + middle * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    groups, dealt = spark.sparkContext.accumulator(0), substrings._found
+    monkeypatch.setattr(substrings, "HOT", 10)
+
+    def found(pieces, length):
+        alone = F.when(F.col("at") == substrings.ALONE, F.col("piece")).otherwise(F.substring("piece", F.col("at") + 1, F.lit(substrings.GRAM)))
+        groups.add(pieces.where("piece is not null").groupBy(alone).count().agg(F.max("count")).first()[0])
+        return dealt(pieces, length)
+
+    monkeypatch.setattr(substrings, "_found", found)
+    assert sorted(map(tuple, substrings.remove_repeats(docs, kept=False).collect())) == _removed(rows)
+    assert groups.value < 40
+
+
 def test_suffix_arrays():
     r = random.Random(5)
     for k in range(300):

@@ -11,6 +11,9 @@ of them other documents have. Only around these a document's text is cut out (as
 to the shard of the anchor; of equal pieces from the documents of a task only that of the smallest id is sent, the others are
 covered by it. So a passage that very many documents share comes to a shard once for each task.
 
+**Hot anchors.** Very many documents may share an anchor and differ around it. Their pieces would be one group, however large. Around such
+an anchor every string of `LENGTH` bytes is sent as a piece of its own, to the shard of the string, again once for each task.
+
 **Suffix arrays.** Equal pieces in a shard are one. Where pieces with one anchor differ, the shard's pieces are put into one text, whose
 suffix array is built by induced sorting; permuted common prefixes of `LENGTH` bytes join the suffixes that begin with the
 same string, and the smallest id among them tells from which documents the string goes.
@@ -39,6 +42,10 @@ ANCHORS, PIECES, SHARD_BYTES = 2_000_000, 32 << 20, 2 << 20
 #: Bytes of input files for each shard of hashes, and the smallest number of shards.
 SHARD_INPUT, SHARDS = 16 << 20, 32
 LAST = (1 << 63) - 1
+#: An anchor that more documents have is hot: their pieces might be more than one suffix array holds.
+HOT = SHARD_BYTES // (2 * LENGTH - GRAM)
+#: In place of an anchor's place in its piece: the piece is one string.
+ALONE = -1
 
 
 def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +106,7 @@ def _asked(texts: DataFrame, shards: int) -> DataFrame:
             shared[:-1] |= shared[1:]
             keep = first | shared
             h, owner, first, shared = h[keep], owner[keep], first[keep], shared[keep]
-            shard = (h % np.uint64(shards)).astype(np.int64)
+            shard = ((h >> np.uint64(24)) % np.uint64(shards)).astype(np.int64)  # equal packed hashes meet in one shard
             order = np.argsort(shard, kind="stable")
             cuts = np.searchsorted(shard[order], np.arange(shards + 1))
             out: dict[str, list] = {"shard": [], "hashes": [], "owners": [], "direct": [], "direct_owners": []}
@@ -142,8 +149,8 @@ def _unpacked(packed: bytes, owners: bytes) -> tuple[np.ndarray, np.ndarray]:
     return wide.view("<u8")[:, 0], np.repeat(np.frombuffer(owners, np.int64, n), np.frombuffer(owners, "<i4", n, 8 * n))
 
 
-def _answered(asked: DataFrame) -> DataFrame:
-    """(u, hashes): the hashes of a document that other documents have, too."""
+def _answered(asked: DataFrame, hot: int) -> DataFrame:
+    """(u, hashes, hot): the hashes of a document that other documents have, too; `hot`: those of them that more than `hot` documents have."""
     def run(table: pa.Table) -> pa.Table:
         own = [_unpacked(h, o) for h, o in zip(table.column("hashes").to_pylist(), table.column("owners").to_pylist())]
         task = np.concatenate([np.full(len(h), i) for i, (h, _) in enumerate(own)])
@@ -158,17 +165,24 @@ def _answered(asked: DataFrame) -> DataFrame:
         # what a task's documents share among themselves, and of each task the one that asked for all of them
         asked_h, asked_task = h[shared], task[shared]
         h, u = (np.concatenate([x[shared], *(k[i] for k in known)]) for i, x in ((0, h), (1, u)))
-        order = np.argsort(u, kind="stable")
+        order = np.argsort(h, kind="stable")
         h, u = h[order], u[order]
+        _, several = np.unique(h, return_inverse=True)
+        many = (np.bincount(several) > hot)[several]
+        order = np.argsort(u, kind="stable")
+        h, u, many = h[order], u[order], many[order]
         users, first = np.unique(u, return_index=True)
-        return pa.table({"u": users, "hashes": pa.array([x.astype("<u8").tobytes() for x in np.split(h, first[1:])] if len(users) else [], pa.binary())})
+        cut = lambda x: np.split(x, first[1:]) if len(users) else []
+        packed = [(x.astype("<u8").tobytes(), x[m].astype("<u8").tobytes()) for x, m in zip(cut(h), cut(many))]
+        return pa.table({"u": users, "hashes": pa.array([x for x, _ in packed], pa.binary()), "hot": pa.array([x for _, x in packed], pa.binary())})
 
-    return asked.groupBy("shard").applyInArrow(run, "u long, hashes binary")
+    return asked.groupBy("shard").applyInArrow(run, "u long, hashes binary, hot binary")
 
 
 def _pieces(texts: DataFrame, length: int) -> DataFrame:
     """Pieces of text around the anchors that other documents have: (at, piece, id, u, place, more places), and (u, spans) of documents
-    whose piece another document of the task with a smaller id has."""
+    whose piece another document of the task with a smaller id has. Around a hot anchor, each string of `length` bytes is a piece of
+    its own, with `at` = `ALONE`."""
     def run(batches):
         held: dict[tuple, list] = {}
         spans: dict[tuple[int, int], list] = {}
@@ -193,15 +207,18 @@ def _pieces(texts: DataFrame, length: int) -> DataFrame:
 
         kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()))
         for batch in batches:
-            for u, id_, text, hashes in zip(*(c.to_pylist() for c in batch.columns)):
+            for u, id_, text, hashes, hot in zip(*(c.to_pylist() for c in batch.columns)):
                 data = _bytes(text)
-                wanted = np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in hashes]))
+                wanted, many = (np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in packed])) for packed in (hashes, hot))
                 place, h = anchors(data, length)
                 found = np.isin(h >> np.uint64(24), wanted)
-                for p, x in zip(place[found].tolist(), h[found].view(np.int64).tolist()):
-                    begin = max(0, p - (length - GRAM))
-                    piece = data[begin : p + length]
-                    key = (x, p - begin, piece)
+                alone = np.isin(h >> np.uint64(24), many)
+                cut = [(x, p - b, b, p + length) for p, x in zip(place[found & ~alone].tolist(), h[found & ~alone].view(np.int64).tolist()) for b in (max(0, p - (length - GRAM)),)]
+                # a string may hold several anchors: it is sent once
+                cut += [(0, ALONE, b, b + length) for b in sorted({b for p in place[alone].tolist() for b in range(max(0, p - (length - GRAM)), min(p, len(data) - length) + 1)})]
+                for x, at, begin, stop in cut:
+                    piece = data[begin:stop]
+                    key = (x, at, piece)
                     entry = held.get(key)
                     if entry is None:
                         held[key] = [id_, u, [begin]]
@@ -221,7 +238,7 @@ def _pieces(texts: DataFrame, length: int) -> DataFrame:
         if held or spans:
             yield from flush()
 
-    return texts.select("u", "id", "text", "answers").mapInArrow(run, "at int, piece binary, id long, u long, place int, more array<int>, spans array<int>")
+    return texts.select("u", "id", "text", "answers", "hot").mapInArrow(run, "at int, piece binary, id long, u long, place int, more array<int>, spans array<int>")
 
 
 def meeting(pieces: list[bytes], anchor: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
@@ -310,7 +327,7 @@ def _found(pieces: DataFrame, length: int) -> DataFrame:
             yield direct.select(["u", "id", "spans"])
             sent = batch.filter(pa.compute.is_valid(batch.column("piece")))
             for h, at, piece, id_, u, place, more in zip(*(sent.column(c).to_pylist() for c in ("h", "at", "piece", "id", "u", "place", "more"))):
-                row = (h, piece, at, id_, u, [place, *(more or ())])
+                row = (h, piece, max(at, 0), id_, u, [place, *(more or ())])
                 if size >= SHARD_BYTES and row[0] != held[0][-1]:
                     yield solve(*held)
                     held, size = [[], [], [], [], [], []], 0
@@ -320,8 +337,9 @@ def _found(pieces: DataFrame, length: int) -> DataFrame:
         if held[0]:
             yield solve(*held)
 
-    # what has one anchor goes to one partition, side by side; spans anywhere
-    anchor = F.xxhash64(F.coalesce(F.substring("piece", F.col("at") + 1, F.lit(GRAM)), F.col("u").cast("string").cast("binary")))
+    # what has one anchor goes to one partition, side by side, and around hot anchors what is one string; spans anywhere
+    shared = F.when(F.col("at") == ALONE, F.col("piece")).otherwise(F.substring("piece", F.col("at") + 1, F.lit(GRAM)))
+    anchor = F.xxhash64(F.coalesce(shared, F.col("u").cast("string").cast("binary")))
     dealt = pieces.repartition(anchor).withColumn("h", anchor).sortWithinPartitions("h")
     return dealt.mapInArrow(run, "u long, id long, spans array<int>")
 
@@ -346,8 +364,8 @@ def remove_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_
     chosen = firsts.select(F.xxhash64("k", "id").alias("u"), F.col("id").alias("first_id"))
     texts = long.select("u", "id", "text").join(chosen.hint("shuffle_hash"), "u").where(same(F.col("id"), F.col("first_id"))).drop("first_id")
     # asked for the chosen copies alone: answers must come under the u that is worked on
-    answers = _answered(_asked(texts, max(SHARDS, input_bytes(documents) // SHARD_INPUT + 1)))
-    answers = answers.groupBy("u").agg(F.collect_list("hashes").alias("answers"))  # of one document
+    answers = _answered(_asked(texts, max(SHARDS, input_bytes(documents) // SHARD_INPUT + 1)), HOT)
+    answers = answers.groupBy("u").agg(F.collect_list("hashes").alias("answers"), F.collect_list("hot").alias("hot"))  # of one document
     pieces = _pieces(texts.join(answers.hint("shuffle_hash"), "u"), length)
     spans = _found(pieces, length).groupBy("u", "id").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # of one document
     spans = spans.select(F.col("u").alias("span_u"), F.col("id").alias("span_id"), "spans").hint("shuffle_hash")
