@@ -139,6 +139,18 @@ def test_guess_cost_prefers_structure():
     assert kinds("pwd: x9$Kq2!vRz7m") == ["guess"] and kinds("pwd: changeme1") == [] and kinds("bearer of the news") == []
 
 
+def test_guesses_after_all_credential_words():
+    found = lambda t: [(t[a:b], k) for a, b, k in secrets.spans_of(t)]
+    for before, value, after in (
+        ("password: ", "x9$Kq2!vRz7m", ""), ("token = ", "p@55!kd93$Xq", ", and"), ("password is ", "Tr0ub4dor&3x", "."), ('{"API-Key":"', "x9$Kq2!vRz7m", '","b":1}'),
+        ("DB_PASSWD=", "x9$Kq2!vRz7m", ""), ("clientSecret: '", "x9$Kq2!vRz7m", "'###"),
+    ):
+        assert found(before + value + after) == [(value, "guess")], before
+    assert found("password=abc123!$Xy99 x") == [("password=abc123", "assign"), ("abc123!$Xy99", "guess")]
+    assert found("password=hunter22x") == [("password=hunter22x", "assign")] and found("password is required") == []
+    assert found('token = "ab8ca1b325bc4f85aa6a"###') == [('token = "ab8ca1b325bc4f85aa6a', "assign")]
+
+
 def test_secrets_of_odd_rows(odd, none):
     rows = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["secrets"]] for r in secrets.scan(odd).where("doc_id = 9").collect()}
     assert [k for k, _, _ in rows[9]] == ["assign", "access", "hex"]

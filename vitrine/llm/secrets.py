@@ -28,10 +28,11 @@ PART = 128
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{%d,}" % LEAST_HEX)
-#: Where credentials stand, beyond the assignments above.
+#: Where credentials stand: the words of the assignments above, which may end a longer name, and others; a value may have any sign.
 _CONTEXT = re.compile(
-    r"""(?<![A-Za-z0-9])(?:(?:pass|pwd|passphrase|passcode|pin|credentials?|auth|authorization|login|access_?key|private_?key|client_?key)"""
-    r"""["']?(?:\x20*[:=]\x20*|\x20+is\x20+)["']?(?:bearer\x20+|basic\x20+)?|bearer\x20+)([!-~]{6,})""",
+    r"""(?:(?:password|passwd|secret|token|api[-_]?key|(?<![A-Za-z0-9])(?:pass|pwd|passphrase|passcode|pin|credentials?|auth|authorization|login|"""
+    r"""(?:access|private|client|secret)[-_]?key))"""
+    r"""["']?(?:\x20*[:=]\x20*|\x20+is\x20+)["']?(?:bearer\x20+|basic\x20+)?|(?<![A-Za-z0-9])bearer\x20+)(?=([!-~]{6,}))""",
     re.I | re.A,
 )
 
@@ -112,14 +113,16 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def guess_spans(text: str, taken: list[tuple[int, int, str]], least_cost: float, words: tuple[str, ...]) -> list[tuple[int, int, str]]:
-    """Values in a credential's place that no base span covers and that are costly to guess."""
+    """Values in a credential's place that no base span covers as a whole and that are costly to guess."""
     found = []
     for m in _CONTEXT.finditer(text):
         begin, end = m.span(1)
-        value = m[1].rstrip("\"'`,;:.!?)]}>")
+        value = m[1]
+        closing = re.search(r"(?<!\\)" + text[begin - 1], value) if text[begin - 1] in "\"'" else None
+        value = value[: closing.start()] if closing else value.rstrip("\"'`,;:.!?)]}>")
         end = begin + len(value)
         # prose after a credential word is letters only; a random value mixes kinds of characters
-        if len(value) < LEAST_VALUE or value.isalpha() or any(a < end and begin < b for a, b, _ in taken):
+        if len(value) < LEAST_VALUE or value.isalpha() or any(a <= begin and end <= b for a, b, _ in taken):
             continue
         if guess_cost(value, words) >= least_cost:
             found.append((begin, end, "guess"))
