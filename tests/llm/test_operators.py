@@ -151,6 +151,14 @@ def test_guesses_after_all_credential_words():
     assert found('token = "ab8ca1b325bc4f85aa6a"###') == [('token = "ab8ca1b325bc4f85aa6a', "assign")]
 
 
+def test_letters_only_values_are_judged_by_their_cost():
+    found = lambda t: [t[a:b] for a, b, _ in secrets.spans_of(t)]
+    assert found("pwd: hQzXvTbnWkRmLpYs") == ["hQzXvTbnWkRmLpYs"] and found("the passphrase is kvzqjwxmhtrbpl, so") == ["kvzqjwxmhtrbpl"]
+    for word in "required optional mandatory authentication incorrect everywhere encrypted confidential changeme".split():
+        assert found(f"password is {word}.") == [] and found(f"Login: {word.title()}") == [], word
+    assert secrets.guess_cost("everywhere", ()) > 10 > secrets.guess_cost("everywhere")
+
+
 def test_secrets_of_odd_rows(odd, none):
     rows = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["secrets"]] for r in secrets.scan(odd).where("doc_id = 9").collect()}
     assert [k for k, _, _ in rows[9]] == ["assign", "access", "hex"]

@@ -9,6 +9,7 @@ a placeholder or an ordinary word is not.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from functools import lru_cache
@@ -52,9 +53,27 @@ _DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0?[1-9]|1[0-2])(?:[-/._]?(?:0?[1-
 _LONGEST_DATE = 10
 
 
-@lru_cache(maxsize=8)
+@lru_cache(maxsize=1)
+def dictionary() -> tuple[str, ...]:
+    """Parts of passwords, then ordinary words (the whole words of a tokenizer's vocabulary), most usual first."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        vocabulary = json.load(file)["model"]["vocab"]
+    ordinary = (w.removesuffix("</w>") for w in sorted(vocabulary, key=vocabulary.get) if w.endswith("</w>"))
+    return tuple(dict.fromkeys([*WORDS, *(w for w in ordinary if len(w) >= 3 and w.isalpha())]))
+
+
+_ranked: dict[int, tuple[tuple[str, ...], dict[str, int], int]] = {}
+
+
 def _ranks(words: tuple[str, ...]) -> tuple[dict[str, int], int]:
-    return {w: i + 1 for i, w in enumerate(words)}, max(map(len, words), default=0)
+    found = _ranked.get(id(words))  # hashing a large dictionary for each value would cost more than the value
+    if found is None:
+        if len(_ranked) >= 8:
+            _ranked.clear()
+        found = _ranked[id(words)] = (words, {w: i for i, w in reversed(list(enumerate(words, 1)))}, max(map(len, words), default=0))
+    return found[1:]
 
 
 @lru_cache(maxsize=1)
@@ -69,12 +88,13 @@ def _alphabet(text: str) -> int:
     return sum(n for test, n in kinds if any(map(test, text))) + 33 * (not text.isalnum()) or 1
 
 
-def guess_cost(value: str, words: tuple[str, ...] = tuple(WORDS)) -> float:
+def guess_cost(value: str, words: tuple[str, ...] | None = None) -> float:
     """Decimal digits of the guesses that the cheapest segmentation of `value` needs.
 
     `best[i]` is the cost of the first i characters; each segment adds the digits of its own guesses and a little for being
     one more segment.
     """
+    words = dictionary() if words is None else words
     if len(value) > PART:
         return sum(guess_cost(value[i : i + PART], words) for i in range(0, len(value), PART))
     ranks, longest = _ranks(words)
@@ -112,7 +132,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def guess_spans(text: str, taken: list[tuple[int, int, str]], least_cost: float, words: tuple[str, ...]) -> list[tuple[int, int, str]]:
+def guess_spans(text: str, taken: list[tuple[int, int, str]], least_cost: float, words: tuple[str, ...] | None) -> list[tuple[int, int, str]]:
     """Values in a credential's place that no base span covers as a whole and that are costly to guess."""
     found = []
     for m in _CONTEXT.finditer(text):
@@ -121,15 +141,14 @@ def guess_spans(text: str, taken: list[tuple[int, int, str]], least_cost: float,
         closing = re.search(r"(?<!\\)" + text[begin - 1], value) if text[begin - 1] in "\"'" else None
         value = value[: closing.start()] if closing else value.rstrip("\"'`,;:.!?)]}>")
         end = begin + len(value)
-        # prose after a credential word is letters only; a random value mixes kinds of characters
-        if len(value) < LEAST_VALUE or value.isalpha() or any(a <= begin and end <= b for a, b, _ in taken):
+        if len(value) < LEAST_VALUE or any(a <= begin and end <= b for a, b, _ in taken):
             continue
         if guess_cost(value, words) >= least_cost:
             found.append((begin, end, "guess"))
     return found
 
 
-def spans_of(text: str | None, least_cost: float = LEAST_COST, words: tuple[str, ...] = tuple(WORDS)) -> list[tuple[int, int, str]]:
+def spans_of(text: str | None, least_cost: float = LEAST_COST, words: tuple[str, ...] | None = None) -> list[tuple[int, int, str]]:
     """(start, end, kind) by start, then kind as listed in `KINDS`; code points, end exclusive."""
     if not text:
         return []
@@ -141,12 +160,15 @@ def spans_of(text: str | None, least_cost: float = LEAST_COST, words: tuple[str,
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 
 
-def scan(documents: DataFrame, text: str = "text", least_cost: float = LEAST_COST, words: tuple[str, ...] = tuple(WORDS)) -> DataFrame:
+def scan(documents: DataFrame, text: str = "text", least_cost: float = LEAST_COST, words: tuple[str, ...] | None = None) -> DataFrame:
     """`documents` with `secrets`: array of (kind, start, end).
 
     Null and empty texts have none. Every row gives one row, repeated rows included; an empty table gives an empty one. An
-    input column named `secrets` is replaced. `words`: the dictionary of the cost estimate, most usual word first.
+    input column named `secrets` is replaced. `words`: the dictionary of the cost estimate, most usual word first
+    (`dictionary()` unless given; an empty one has no words).
     """
+    words = dictionary() if words is None else words  # read here, sent to the executors
+
     def process(texts):
         return ([[{"kind": k, "start": a, "end": b} for a, b, k in spans_of(t, least_cost, words)] for t in texts],)
 
@@ -155,11 +177,13 @@ def scan(documents: DataFrame, text: str = "text", least_cost: float = LEAST_COS
 
 def redact(documents: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
     """The documents with every secret replaced by `mark` (overlapping ones by one); null stays null, other columns as they are."""
+    words = dictionary()
+
     def change(texts):
         out = []
         for t in texts:
             at, parts = 0, []
-            for a, b, _ in spans_of(t):
+            for a, b, _ in spans_of(t, words=words):
                 if b > at:
                     if a >= at:
                         parts += [t[at:a], mark]
