@@ -26,8 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id; documents without words all stay."""
-    return jaccard.first_of_each(docs)
+    """Of each group of linked documents (sets of five words, 80% in common) the one with the smallest id; documents without words all stay."""
+    return jaccard.first_of_each(docs, words=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

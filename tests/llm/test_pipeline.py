@@ -49,6 +49,19 @@ def test_each_stage(spark, small, stages):
     assert ids(f) == ids(e) and {r["n_tokens"] == len(r["token_ids"]) for r in f.collect()} == {True}
 
 
+def test_near_copies_between_80_and_85_percent_go(spark, small):
+    """A copy with a fifth of new text appended, and one with 21 of 1,000 words changed."""
+    base, long = [f"a{i}" for i in range(200)], [f"b{i}" for i in range(1000)]
+    changed = [f"new{i}" if i % 47 == 20 and i < 47 * 21 else w for i, w in enumerate(long)]
+    texts = [base, [*base, *(f"c{i}" for i in range(40))], long, changed, [*base, *(f"d{i}" for i in range(80))]]
+    sets = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+    common = lambda a, b, n: len(sets(a, n) & sets(b, n)) / len(sets(a, n) | sets(b, n))
+    for a, b in ((0, 1), (2, 3)):
+        assert common(texts[a], texts[b], 5) >= 0.8 and common(texts[a], texts[b], 4) < 0.85
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, small).collect()} == {0, 2, 4}
+
+
 def test_odd_rows_go_through(spark, small, odd, none):
     for docs in (odd, none):
         n = docs.count()
