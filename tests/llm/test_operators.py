@@ -209,6 +209,25 @@ def test_classifiers_learn_and_hold_out(spark, odd, none):
     assert toxicity.keep_ordinary(odd, toxicity.train(documents, marks)).columns == odd.columns
 
 
+def test_stretches_that_ordinary_texts_have_less_often():
+    """Toxic texts of one language repeat a stem that a quarter of its ordinary texts have once; the other language has a word of its own."""
+    r = random.Random(9)
+    word = lambda s: "".join(r.choice(s) for _ in range(7))
+    texts, labels = [], []
+    for i in range(600):
+        german, toxic = i % 3 == 0, i % 10 == 0
+        words = [word("aeioubcdfg" if german else "klmnoprstu") for _ in range(60)]
+        for _ in range(4 * toxic or german * (i % 4 == 0)):
+            words.insert(r.randrange(60), "achlich" if german else "grimshaw")
+        texts.append(" ".join(words))
+        labels.append(int(toxic))
+    model = toxicity.fit(texts[:400], labels[:400], [1.0] * 400)
+    predicted = [int(s >= toxicity.PREDICT_FROM) for s in toxicity.scores(model, texts[400:])]
+    for german in (True, False):
+        assert [p for i, p in enumerate(predicted, 400) if (i % 3 == 0) == german and labels[i]].count(0) == 0
+    assert sum(p for i, p in enumerate(predicted, 400) if not labels[i]) <= 4
+
+
 def test_sum_of_squares_equals_all_pairs():
     r = np.random.default_rng(1)
     m = quality.Machine(np.zeros((quality.STATISTICS, quality.BINS - 1)), np.zeros(quality.STATISTICS), np.ones(quality.STATISTICS), 0.5, r.normal(size=50), r.normal(size=(50, 4)))

@@ -1,8 +1,8 @@
 """Toxicity by compression distance: two zstandard dictionaries, one from toxic and one from ordinary text.
 
 **Dictionaries.** Most of a toxic text is ordinary language, which compresses alike with either dictionary. So each dictionary
-is trained on the stretches that set its class apart: character grams that are much more frequent, counted by
-documents, in one class than in the other mark them, and the stretches make up the dictionary, the most frequent ones last,
+is trained on the stretches that set its class apart: character grams that much more documents of one class than of the other have, or
+have several times, mark them (a common stem that toxic texts of one language repeat is in few ordinary ones as often), and the stretches make up the dictionary, the most frequent ones last,
 where they are cheapest to refer to.
 
 **Windows.** A window is a word with the blanks around it (long ones are cut). Both dictionaries end in the same `PRIMER`,
@@ -38,6 +38,8 @@ GRAM = 5
 #: (fewer if the sample is tiny) at least.
 APART = 2.3
 LEAST_SHARE, LEAST_DOCUMENTS = 0.005, 6
+#: Up to so many occurrences of a gram in a document are told apart.
+OFTEN = 4
 STRETCHES = 300
 WINDOW = 64
 #: Bytes of difference from which a window counts as resembling toxic text.
@@ -62,20 +64,37 @@ def grams_of(word: bytes) -> list[bytes]:
     return [word[i : i + GRAM] for i in range(max(1, len(word) - GRAM + 1))]
 
 
-def distinctive(own: list[set[bytes]], other: list[set[bytes]]) -> set[bytes]:
-    """Grams that set the first class apart."""
-    counts = []
-    for docs in (own, other):
-        found: Counter = Counter()
-        for words in docs:
-            found.update({g for w in words for g in grams_of(w)})
-        counts.append(found)
-    least = max(min(LEAST_DOCUMENTS, 1 + len(own) // 8), LEAST_SHARE * len(own))
-    share = lambda n, docs: math.log((n + 0.5) / (len(docs) + 1))
-    return {g for g, n in counts[0].items() if n >= least and share(n, own) - share(counts[1][g], other) > APART}
-
-
-def stretches(docs: list[set[bytes]], marks: set[bytes]) -> bytes:
+def counted(docs: list[Counter]) -> Counter:
+    """How many documents have a gram once at least, or 2, 3, … `OFTEN` times."""
+    found: Counter = Counter()
+    known: dict[bytes, list[bytes]] = {}
+    for words in docs:
+        grams: Counter = Counter()
+        for word, n in words.items():
+            parts = known.get(word)
+            if parts is None:
+                parts = known[word] = list(set(grams_of(word)))
+            if n == 1:
+                grams.update(parts)
+            else:
+                for g in parts:
+                    grams[g] += n
+        found.update([(g, min(n, OFTEN)) for g, n in grams.items()])
+    for times in range(OFTEN, 1, -1):  # who has it so often has it less often, too
+        for g in [g for g, n in found if n == times]:
+            found[g, times - 1] += found[g, times]
+    return found
+
+
+def distinctive(own: tuple[Counter, int], other: tuple[Counter, int]) -> set[bytes]:
+    """Grams that set the first class apart, by the documents that have them and by those that have them often; (counts, documents) of both."""
+    (found, n_own), (known, n_other) = own, other
+    least = max(min(LEAST_DOCUMENTS, 1 + n_own // 8), LEAST_SHARE * n_own)
+    share = lambda n, docs: math.log((n + 0.5) / (docs + 1))
+    return {k[0] for k, n in found.items() if n >= least and share(n, n_own) - share(known[k], n_other) > APART}
+
+
+def stretches(docs: list[Counter], marks: set[bytes]) -> bytes:
     """The parts of words that the grams cover, the most frequent last."""
     found: Counter = Counter()
     for words in docs:
@@ -140,14 +159,15 @@ class Lengths:
 
 def fit(texts: list[str | None], labels: list[int], weights: list[float]) -> dict:
     """Dictionaries and weights; without both classes the score is the share of toxic ones (0 without any label)."""
-    words = [set(words_of(t)) for t in texts]
+    words = [Counter(words_of(t)) for t in texts]
     y, weight = np.array(labels, float), np.array(weights, float)
     if len(set(labels)) < 2:
         return {"prior": float(y.mean()) if len(y) else 0.0}
 
     def dictionaries(rows_: list[int]) -> tuple[bytes, bytes]:
         own = [[words[i] for i in rows_ if labels[i] == k] for k in (1, 0)]
-        return tuple(stretches(a, distinctive(a, b)) for a, b in (own, own[::-1]))
+        counts = [(counted(docs), len(docs)) for docs in own]
+        return tuple(stretches(docs, distinctive(a, b)) for docs, a, b in zip(own, counts, counts[::-1]))
 
     order: Counter = Counter()
     half = []
