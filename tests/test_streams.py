@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from vitrine.streaming import progress
@@ -69,3 +70,17 @@ def test_late_rows_count_unless_a_lateness_is_set(spark):
 
     assert urls(None) == {0: 20, 60: 10, 61: 1}
     assert urls("10 minutes") == {0: 10, 60: 10, 61: 1}
+
+
+def test_percentiles_of_many_values_are_exact(spark):
+    """A window with 60,000 different times, over several batches: a sketch of 10,000 is off by some ranks."""
+    n, source = 60_000, scratch(spark, "in")
+    data = spark.range(n).selectExpr(
+        "timestamp'2026-01-01 00:00:00' AS ts", "id % 3 > 0 AS ok", "CAST((id * 7919) % 60000 AS DOUBLE) AS duration", "id % 4 AS part"
+    ).unionByName(spark.sql("SELECT timestamp'2026-01-01 02:00:00' AS ts, true AS ok, CAST(NULL AS DOUBLE) AS duration, 0L AS part"))
+    for part in range(4):
+        data.where(f"part = {part}").drop("part").coalesce(1).write.mode("append").parquet(source)
+    stream = progress.read_stream(spark, source, data.drop("part").schema, files_per_batch=1)
+    got = progress.follow_throughput(spark, stream, "ts", F.col("ok"), "duration", "1 hour").orderBy("window_start").collect()
+    assert [(r["urls"], r["p50"], r["p95"]) for r in got] == [(n, n / 2 - 1, n * 0.95 - 1), (1, None, None)]
+    assert got[0]["success_rate"] == pytest.approx(2 / 3) and got[0]["failure_rate"] == pytest.approx(1 / 3)

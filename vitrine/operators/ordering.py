@@ -191,6 +191,20 @@ def exact_percentile(
     return ranked.groupBy(*by).agg((low + (high - low) * part).alias(name))
 
 
+def discrete_percentiles(counts: DataFrame, by: str, value: str, n: str, percents: dict[str, int]) -> DataFrame:
+    """Exact percentiles, each a value that occurs, of distinct (by, value) rows that stand for `n` rows each; nulls don't count."""
+    present = counts.where(F.col(value).isNotNull()).select(by, value, n)
+    totals = stage(present.groupBy(F.col(by).alias("_by")).agg(F.sum(n).alias("_n")), "totals")
+    ranked = with_position(present, [value], within=[by], running={"_upto": F.col(n)})
+    ranked = ranked.join(totals, F.col(by).eqNullSafe(F.col("_by")))
+
+    def at(percent: int) -> Column:
+        rank = F.greatest(F.lit(1), F.col("_n") - F.floor(F.col("_n") * (100 - percent) / 100))
+        return F.min(F.when(F.col("_upto") >= rank, F.col(value)))
+
+    return ranked.groupBy(by).agg(*[at(p).alias(name) for name, p in percents.items()])
+
+
 # Progress is reported at every hundredth item and at these counts.
 PROGRESS_STEP = 100
 MILESTONES = [500, 1000, 2500, 5000]

@@ -26,8 +26,7 @@ def stream_progress_counts(spark, sf):
  round(count(*) FILTER (WHERE ok) * 1.0 / count(*), 6) AS success_rate, round(count(*) FILTER (WHERE NOT ok) * 1.0 / count(*), 6) AS failure_rate,
  quantile_disc(duration, 0.5) AS p50, quantile_disc(duration, 0.95) AS p95 FROM ({I.RUN_SQL}) GROUP BY 1""")
 def stream_throughput(spark, sf):
-    windows = progress.throughput(_events(spark, sf), "ts", F.col("ok"), "duration", "1 hour")
-    rows = progress.follow(spark, windows, ["window_start"])
+    rows = progress.follow_throughput(spark, _events(spark, sf), "ts", F.col("ok"), "duration", "1 hour")
     return rows.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "urls",
                        F.round("success_rate", 6).alias("success_rate"), F.round("failure_rate", 6).alias("failure_rate"), "p50", "p95")
 
