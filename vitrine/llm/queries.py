@@ -11,7 +11,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import bpe, class_lm, decontaminate, jaccard, quality, secrets, substrings, token_counts, top_k, toxicity
+from vitrine.llm import (
+    alignment,
+    bpe,
+    class_lm,
+    decontaminate,
+    fertility,
+    jaccard,
+    quality,
+    secrets,
+    substrings,
+    token_counts,
+    top_k,
+    toxicity,
+    whitening,
+)
 from vitrine.llm.rows import crc_column, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +166,23 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     held_out = (crc_column("doc_id") % parts == held).alias("held_out")
     found = class_lm.score(texts(spark, folder))
     return found.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def _both_vocabularies() -> tuple[str, str]:
+    return str(public_tokenizers.path("byte_bpe_50k.json")), str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokens(texts(spark, folder), *_both_vocabularies()).drop("text")
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op13_fertility")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return fertility.keep(documents, *_both_vocabularies(), language="lang").drop("lang", "size_class")
