@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vitrine.functions import money, text
+from vitrine.functions import elements, money, text
 
 # Tags and attributes as a parser takes them: any letter case, blanks around '=', either quote or none.
 JSONLD_SCRIPT = r"(?is)<script\s[^>]*?\btype\s*=\s*[\"']?\s*application/ld\+json\b[^>]*>(.*?)</script\s*>"
@@ -17,8 +17,7 @@ HEADLINE = (
     r"(?is)<h1\s[^>]*?\bclass\s*=\s*"
     r"(?:\"[^\"]*headline-3[^\"]*\"|'[^']*headline-3[^']*'|[^\s\"'>]*headline-3[^\s\"'>]*)[^>]*>(.*?)</h1\s*>"
 )
-DETAIL = r"(?i)<li(?:\s[^>]*)?>([^:<]*:[^<]*)</li\s*>"
-PRICE_SPAN = r"(?i)<span\s[^>]*?\bdata-cy\s*=\s*[\"']?price-([a-z]{3}\b[^>]*>[^<]*)</span\s*>"
+PRICE_MARK = r"(?i)^price-([a-z]{3})$"
 BREADCRUMB_NAV = r"(?is)<nav\s[^>]*?\baria-label\s*=\s*[\"']?\s*breadcrumb\b[^>]*>(.*?)</nav\s*>"
 ANCHOR_TEXT = r"(?is)<a(?:\s[^>]*)?>(.*?)</a\s*>"
 # Possessive groups: a long run of digits and blanks is read once and never tried again.
@@ -146,28 +145,27 @@ def currency(offer_list: Column, default: str = "USD") -> Column:
 
 
 def price_spans(html: Column) -> Column:
-    """Displayed prices by currency."""
-    spans = F.regexp_extract_all(html, F.lit(PRICE_SPAN), F.lit(1))
+    """Displayed prices by currency, whatever markup stands inside the span."""
     entries = F.transform(
-        spans,
+        elements.spans(html),
         lambda s: F.struct(
-            F.upper(F.left(s, F.lit(3))).alias("key"), money.amount_in_text(F.substring_index(s, ">", -1)).alias("value")
+            F.upper(F.regexp_extract(text.strip(elements.attribute(s["open"], "data-cy")), PRICE_MARK, 1)).alias("key"),
+            money.amount_in_text(text.visible_text(s["text"])).alias("value"),
         ),
     )
-    return F.map_from_entries(_last_per_key(F.filter(entries, lambda e: e["value"].isNotNull())))
+    return F.map_from_entries(_last_per_key(F.filter(entries, lambda e: (e["key"] != "") & e["value"].isNotNull())))
 
 
 def detail_list(html: Column) -> Column:
-    """'<li>Key: Value</li>' items as a map; the last value of a key stays."""
-    items = F.regexp_extract_all(html, F.lit(DETAIL), F.lit(1))
+    """List items of the form 'Key: Value' as a map, whatever markup stands inside; the last value of a key stays."""
     entries = F.transform(
-        items,
+        F.filter(elements.list_items(html), lambda i: F.contains(i, F.lit(":"))),
         lambda i: F.struct(
             text.strip(F.substring_index(i, ":", 1)).alias("key"),
-            text.strip(text.unescape_entities(F.regexp_replace(i, "^[^:]*:", ""))).alias("value"),
+            text.strip(F.regexp_replace(i, "^[^:]*:", "")).alias("value"),
         ),
     )
-    return F.map_from_entries(_last_per_key(F.filter(entries, lambda e: e["key"] != "")))
+    return F.map_from_entries(_last_per_key(F.filter(entries, lambda e: (e["key"] != "") & (e["value"] != ""))))
 
 
 def images(product: Column) -> Column:

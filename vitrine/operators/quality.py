@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,5 +143,6 @@ def health_warnings(
 PUBLIC_COLUMNS = ["product_id", "category", "condition", "period", "decade", "depth_level", "split", "chunk_id"]
 
 
-def without_private(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in PUBLIC_COLUMNS if c in df.columns])
+def without_private(df: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """The public columns of `df`, and those that the caller knows to be public."""
+    return df.select(*[c for c in df.columns if c in (*PUBLIC_COLUMNS, *also)])

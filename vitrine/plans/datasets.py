@@ -87,8 +87,8 @@ SQL_STYLE_LABELS = f"concat_ws('|', CASE WHEN {P.SQL_NAMED} THEN 'Art Deco' END,
  UNION ALL SELECT product_id, image, 'style_period', s FROM l
  UNION ALL SELECT product_id, image, 'multi_label', concat_ws('|', c, nullif(m, ''), s) FROM l""")
 def ds_taxonomy(spark, sf):
-    rows = training.taxonomy(quality.without_private(_flat(spark, sf)))
-    return rows.withColumn("labels", F.array_join("labels", "|"))
+    rows = training.taxonomy(_flat(spark, sf)).withColumn("labels", F.array_join("labels", "|"))
+    return quality.without_private(rows, ["image", "label_set", "labels"])
 
 
 @query("term_patterns", f"""{features_sql()}, g AS (SELECT 1 AS size, unnest(terms) AS term FROM features

@@ -154,10 +154,18 @@ PAGE_HTML = f"""concat('<!DOCTYPE html><html><head><script>var a = "x";</script>
   ELSE {_script(f"concat('[', {_PRODUCT}, ',', {_CRUMBS}, ']')")} END,
  '</head><body><nav aria-label="breadcrumb"><a href="/">Home</a> <a href="/f/">Furniture</a></nav>',
  '<h1 class="headline-3">', p_name, ' &amp; ', p_brand, '</h1>',
- '<span data-cy="price-USD">$', CAST(1000 + p_partkey % 9 AS STRING), '</span><span data-cy="price-EUR">€',
- CAST(900 + p_partkey % 9 AS STRING), '</span>',
- '<div class="product-details"><li>Place of Origin: France</li><li>Period: 18th Century</li><li>Condition: Good</li>',
- '<li>Period: 1960s</li></div></body></html>')"""
+ CASE p_partkey % 4
+  WHEN 0 THEN concat('<span data-cy="price-USD">$', CAST(1000 + p_partkey % 9 AS STRING), '</span><span data-cy="price-EUR">€', CAST(900 + p_partkey % 9 AS STRING), '</span>')
+  WHEN 1 THEN concat('<span class="prices"><SPAN data-cy=price-USD title="a > b"><span class="sign">$</span>', CAST(1000 + p_partkey % 9 AS STRING),
+   '</SPAN> or <span data-cy="price-EUR"><b>', CAST(900 + p_partkey % 9 AS STRING), '</b> €</span></span>')
+  ELSE concat('<!-- <span data-cy="price-USD">$1</span> --><span data-cy=\\'price-EUR\\'><i>€</i> ', CAST(900 + p_partkey % 9 AS STRING),
+   '</span><p><span data-cy="price-USD">US$ <s></s>', CAST(1000 + p_partkey % 9 AS STRING), '</p>') END,
+ CASE p_partkey % 3
+  WHEN 0 THEN '<div class="product-details"><li>Condition: Good</li><li>Period: Unknown</li><li>Place of Origin: France</li><li>Period: 1960s</li></div>'
+  WHEN 1 THEN concat('<ul class="product-details"><li><b>Place of Origin</b>: <a href="/fr">France</a></li><li>Materials:<ul><li>Walnut<li>Brass: polished</ul></li>',
+   '<li><span>Period</span><span>:</span> <em>1960s</em></li><LI class="x > y"><strong>Condition:</strong> Good</LI></ul>')
+  ELSE '<ul><li>Condition: Good<li>Place of Origin:<div>France</div><li><!-- <li>Period: 1700s</li> -->Period: <script>"<li>Period: no</li>"</script>1960s</ul>' END,
+ '</body></html>')"""
 
 
 def product_pages(spark: SparkSession, sf: str) -> DataFrame:

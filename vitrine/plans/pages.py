@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from vitrine.functions import markup as M
-from vitrine.functions import money, text
+from vitrine.functions import elements, money, text
 from vitrine.operators import chunks, extraction, summaries
 from vitrine.plans import inputs as I
 from vitrine.plans.registry import query
@@ -132,7 +132,7 @@ def spec_style_origin(spark, sf):
     return _products(spark, sf).select("id", "data.specifications.style", "data.specifications.origin")
 
 
-@query("html_detail_list", _part("3 AS entries, '1960s' AS period, 'France' AS place"))
+@query("html_detail_list", _part("CASE WHEN p_partkey % 3 = 1 THEN 4 ELSE 3 END AS entries, '1960s' AS period, 'France' AS place"))
 def html_detail_list(spark, sf):
     d = _pages(spark, sf).select("id", M.detail_list(F.col("html")).alias("d"))
     return d.select("id", F.size("d").alias("entries"), F.col("d")["Period"].alias("period"), F.col("d")["Place of Origin"].alias("place"))
@@ -215,6 +215,33 @@ def sanitize_strings(spark, sf):
     return clean.select("page_id", F.md5(F.col("data.texts")[0]).alias("text_md5"))
 
 
+# Scripts, styles and comments gone, then the markup of one element, cut at its end.
+SQL_SHOWN = r"regexp_replace(regexp_replace(regexp_replace(html, '(?s)<script[^>]*>.*?</script>', ' ', 'g'), '(?s)<style[^>]*>.*?</style>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g')"
+
+
+def _sql_texts(start: str, end: str) -> str:
+    """Visible texts of the elements that begin at a plain start tag and end before the next match of `end`."""
+    piece = f"regexp_replace(x, '(?s)({end}).*$', '')"
+    plain = f"regexp_replace({piece}, '<[^>]*>', ' ', 'g')"
+    for ref, char in [("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")]:
+        plain = f"replace({plain}, '{ref}', '{char}')"
+    return f"list_transform(string_split({SQL_SHOWN}, '{start}')[2:], lambda x: trim(regexp_replace({plain}, '\\s+', ' ', 'g')))"
+
+
+@query("page_elements", f"""WITH e AS (SELECT page_id, {_sql_texts('<li>', '</li>')} AS items, {_sql_texts('<p>', '</p>|</article>')} AS paragraphs,
+  regexp_extract_all({SQL_SHOWN}, '<a href="([^"]*)">', 1) AS targets, {_sql_texts('<a ', '</a>')} AS labels FROM pages)
+ SELECT page_id, len(items) AS items, md5(array_to_string(items, '|')) AS items_md5, len(paragraphs) AS paragraphs, md5(array_to_string(paragraphs, '|')) AS paragraphs_md5,
+  len(targets) AS links, md5(array_to_string(list_transform(range(1, 1 + len(targets)), lambda i: targets[i] || '=' || regexp_replace(labels[i], '^href="[^"]*">', '')), '|')) AS links_md5 FROM e""")
+def page_elements(spark, sf):
+    """List items, paragraphs and links of the raw pages, whose tags are partly unclosed."""
+    h = F.col("html")
+    found = read_parquet(spark, sf, "pages").select(
+        "page_id", elements.list_items(h).alias("i"), elements.paragraphs(h).alias("p"),
+        F.transform(elements.links(h), lambda a: F.concat_ws("=", a["href"], a["text"])).alias("a"))
+    return found.select("page_id", *[x for name, c in (("items", "i"), ("paragraphs", "p"), ("links", "a"))
+                                     for x in (F.size(c).cast("long").alias(name), F.md5(F.array_join(c, "|")).alias(f"{name}_md5"))])
+
+
 PRICED_SQL = "SELECT o_orderkey AS id, " + I.PRICE_TEXT_CASES.format(
     key="o_orderkey", shown="'$' || printf('%,.2f', o_totalprice)") + " AS price, o_totalprice FROM orders"
 SQL_MONEY = "CASE CAST(id % 17 AS INT) WHEN 3 THEN NULL WHEN 5 THEN NULL WHEN 7 THEN NULL WHEN 9 THEN NULL WHEN 11 THEN 0.0 WHEN 13 THEN NULL WHEN 15 THEN NULL ELSE round(o_totalprice, 2) END"
