@@ -14,6 +14,8 @@ from vitrine.plans.registry import query
 from vitrine.plans.urls import features_sql
 from vitrine.sources import sinks, tables
 from vitrine.sources.tables import read_parquet
+from vitrine.sources.versions import VersionedTable
+from vitrine.streaming import progress
 from vitrine.workspace import scratch
 
 CHUNK = 100
@@ -183,13 +185,12 @@ def sink_chunk_files(spark, sf):
 @query("sink_merged_products", f"""SELECT count(*) AS products, count(*) FILTER (WHERE has_price) AS with_price, count(*) FILTER (WHERE has_materials) AS with_materials,
  (SELECT count(*) FROM ({I.DOCUMENTS_SQL}) WHERE kind = 'corrupt') AS errors FROM ({I.DOCUMENTS_SQL}) WHERE kind = 'product'""")
 def sink_merged_products(spark, sf):
-    path = scratch(spark, "merged")
     docs = extraction.land_documents(_documents(spark, sf))
-    sinks.write_merged(docs.where("kind = 'product'"), summaries.merge_statistics(docs), path)
-    stats = spark.read.schema("errors long").json(f"{path}/statistics").select("errors").scalar()
-    return spark.read.parquet(f"{path}/products").agg(
+    products = docs.where("kind = 'product'").select("chunk", "product_id", "has_price", "has_materials", "category", "price")
+    table = sinks.write_merged(products, summaries.merge_statistics(docs), scratch(spark, "merged"))
+    return table.read().agg(
         F.count(F.lit(1)).alias("products"), F.count_if("has_price").alias("with_price"),
-        F.count_if("has_materials").alias("with_materials")).withColumn("errors", stats)
+        F.count_if("has_materials").alias("with_materials")).withColumn("errors", F.lit(table.version().notes["errors"]).cast("long"))
 
 
 @query("sink_summary", f"""SELECT 'bands' AS part, band AS key, n FROM ({totals._bands_sql(totals.ORDER_MONEY_SQL, money.PRICE_BANDS[1] + [money.NO_PRICE], totals.SQL_BAND)})""")
@@ -206,8 +207,8 @@ def sink_product_json(spark, sf):
     sinks.write_products(rows.drop("id"), path)
     # a part of each chunk again, every row twice
     again = rows.where("id % 3 = 2").drop("id")
-    sinks.write_products(again.unionByName(again.withColumn("version", F.lit(2))), path, order="version")
-    return spark.read.schema("product_id string, version int, chunk_id long").json(path)
+    table = sinks.write_products(again.unionByName(again.withColumn("version", F.lit(2))), path, order="version")
+    return table.read()
 
 
 @query("sink_raw_html", "SELECT page_id, md5(html) AS html_md5 FROM pages")
@@ -219,11 +220,13 @@ def sink_raw_html(spark, sf):
 
 @query("sink_append_batches", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def sink_append_batches(spark, sf):
-    path = scratch(spark, "appended")
-    events = read_parquet(spark, sf, "events").select("event_id", "event_type")
-    for batch in (events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1")):
-        sinks.append_batch(batch, path)
-    return summaries.distribution(spark.read.schema("event_id long, event_type string").json(path), "event_type")
+    """The rows arrive as a stream, and its batch comes a second time, as after a failure."""
+    schema = read_parquet(spark, sf, "events").schema
+    stream = progress.read_stream(spark, sf, schema, "events.parquet").select("event_id", "event_type")
+    table = VersionedTable(spark, scratch(spark, "appended"), stream.schema)
+    for _ in range(2):
+        sinks.append_batches(stream, table, "events", scratch(spark, "stream-checkpoint"))
+    return summaries.distribution(table.read(), "event_type")
 
 
 @query("sink_training_files", f"""{features_sql()}, s AS (SELECT url, decade, CASE WHEN ('0x' || substr(md5(url), 1, 8))::BIGINT % 100 < 70 THEN 'train'

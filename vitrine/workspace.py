@@ -9,8 +9,10 @@ library forces a broadcast of anything whose size depends on the data.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package from the place where the driver found it."""
+    here = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if here not in known:
+        env["PYTHONPATH"] = os.pathsep.join([here, *filter(None, known)])
+
+
 UNKNOWN_BYTES = 1 << 60
 
 
