@@ -185,4 +185,5 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_fertility")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
-    return fertility.keep(documents, *_both_vocabularies(), language="lang").drop("lang", "size_class")
+    vocabularies = [str(public_tokenizers.path(name)) for name in ("byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model")]
+    return fertility.keep(documents, *vocabularies, language="lang").drop("lang", "size_class")

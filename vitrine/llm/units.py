@@ -1,4 +1,4 @@
-"""Texts encoded by two public tokenizers at once: one of the tokenizers library (A), one of sentencepiece (B).
+"""Texts encoded by two public tokenizers at once: a byte-level one (A; a file of the tokenizers library, or ranks for tiktoken) and one of sentencepiece (B).
 
 A text is encoded with one space before it. A space that follows a letter, digit or ASCII mark and is not the last character
 begins a new word of A's pattern, and no piece of B has the mark of a space after another character. So no token of either
@@ -9,6 +9,7 @@ of bytes, and lets go of all when it ends.
 
 from __future__ import annotations
 
+import base64
 import json
 import re
 from collections.abc import Iterator
@@ -16,10 +17,14 @@ from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
 import sentencepiece
+import tiktoken
 from tokenizers import Tokenizer
 
 SPACE = "▁"
+#: The pattern of words that byte-level vocabularies of this kind share.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _CUT = re.compile(r"(?<=[\w!-/:-@\[-`{-~]) (?=.)", re.S)
 #: Characters worked on at a time (a longer text alone), and bytes of remembered parts in a task.
 CHARACTERS, REMEMBERED = 1 << 20, 96 << 20
@@ -32,18 +37,47 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class ByFile:
+    """A byte-level vocabulary of the tokenizers library. Special strings in a text are plain text."""
+
+    def __init__(self, path: str):
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True
+        alphabet = _byte_alphabet()
+        self.bytes = np.full(self.library.get_vocab_size(), b"", object)
+        for entry, i in self.library.get_vocab().items():
+            self.bytes[i] = bytes(alphabet[c] for c in entry) if all(c in alphabet for c in entry) else entry.encode()
+        file = json.loads(Path(path).read_text())
+        before = file.get("pre_tokenizer") or {}
+        self.cuttable = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not file.get("normalizer")
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+class ByRanks:
+    """A byte-level vocabulary given as ranks, with the usual pattern of words."""
+
+    def __init__(self, path: str):
+        ranks = {base64.b64decode(entry): int(rank) for entry, rank in map(bytes.split, Path(path).read_bytes().splitlines())}
+        self.library = tiktoken.Encoding(Path(path).stem, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.bytes = np.full(max(ranks.values()) + 1, b"", object)
+        for entry, rank in ranks.items():
+            self.bytes[rank] = entry
+        self.cuttable = public_tokenizers.PATTERN == WORDS
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [self.library.encode_ordinary(t) for t in texts]
+
+
 class Both:
     """Two vocabularies, and the bytes that each of their entries stands for."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        self.a = ByRanks(path_a) if path_a.endswith(".tiktoken") else ByFile(path_a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        alphabet = _byte_alphabet()
-        self.size_a, self.size_b = self.a.get_vocab_size(), self.b.vocab_size()
-        self.bytes_a = np.full(self.size_a, b"", object)
-        for entry, i in self.a.get_vocab().items():
-            self.bytes_a[i] = bytes(alphabet[c] for c in entry) if all(c in alphabet for c in entry) else entry.encode()
+        self.bytes_a = self.a.bytes
+        self.size_a, self.size_b = len(self.bytes_a), self.b.vocab_size()
         self.fallback = np.array([self.b.is_byte(i) for i in range(self.size_b)])
         pieces = [self.b.id_to_piece(i) for i in range(self.size_b)]
         self.bytes_b = np.empty(self.size_b, object)
@@ -51,14 +85,9 @@ class Both:
         self.length_a, self.length_b = (np.array([len(x) for x in side], np.int64) for side in (self.bytes_a, self.bytes_b))
         #: each number followed by a comma, a bar and a semicolon
         self.names = np.array([b"%d%s" % (i, mark) for i in range(max(self.size_a, self.size_b)) for mark in (b",", b"|", b";")], object)
-        self.cuttable = self._cuttable(json.loads(Path(path_a).read_text()), pieces)
-
-    def _cuttable(self, file: dict, pieces: list[str]) -> bool:
-        before = file.get("pre_tokenizer") or {}
-        words = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not file.get("normalizer")
         marks = all(SPACE not in p.lstrip(SPACE) for p in pieces)
         spaces = "".join(self.b.id_to_piece(i) for i in self.b.encode("a  b")) == f"{SPACE}a{SPACE}{SPACE}b"
-        return bool(words and marks and spaces)
+        self.cuttable = bool(self.a.cuttable and marks and spaces)
 
     def parts(self, text: str) -> list[str]:
         return _CUT.split(text) if self.cuttable else [text]
@@ -67,8 +96,7 @@ class Both:
         """The ids of A and B of each part, with a space before it."""
         for i in range(0, len(parts), 2048):
             some = parts[i : i + 2048]
-            in_a = self.a.encode_batch_fast([" " + p for p in some], add_special_tokens=False)
-            yield from zip([e.ids for e in in_a], self.b.encode(some, num_threads=1))
+            yield from zip(self.a.encode([" " + p for p in some]), self.b.encode(some, num_threads=1))
 
 
 @lru_cache(maxsize=2)
