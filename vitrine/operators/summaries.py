@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitrine.functions import money
 from vitrine.operators.ordering import exact_percentile
 
 
@@ -54,6 +55,43 @@ def merge_statistics(documents: DataFrame) -> DataFrame:
     )
 
 
+SUMMARY_SCHEMA = """chunks_processed long, instances_used long, total_urls_processed long, successful_extractions long, failed_extractions long,
+ files_found long, errors long, category_distribution map<string,long>, price_ranges map<string,long>"""
+CHUNK_SUMMARY_SCHEMA = """container_id string, chunk_name string, urls_processed long, successful long, failed long, chunk_range string, success_rate string,
+ elapsed_seconds long, urls_per_minute double, average_html_size_bytes double, total_storage_used_mb double, error_breakdown map<string,long>,
+ performance_metrics struct<avg_fetch_time_ms:double,avg_extract_time_ms:double,avg_total_time_ms:double>"""
+
+
+def attempted_totals(attempted: DataFrame, documents: DataFrame, key: str = "product_id") -> DataFrame:
+    """One row: how many listed ids were to be fetched, and how many of them have no product. Products come down to their ids first."""
+    found = documents.where("kind = 'product'").select(key).distinct()
+    missing = attempted.join(found, key, "left_anti").agg(F.count(F.lit(1)).alias("failed_extractions"))
+    return attempted.agg(F.count(F.lit(1)).alias("total_urls_processed")).withColumn("failed_extractions", missing.scalar())
+
+
+def run_summary(attempted: DataFrame, documents: DataFrame, key: str = "product_id") -> DataFrame:
+    """The one document that sums up a run: instances, chunks, attempted and failed URLs, categories and price bands.
+
+    documents: parsed and flattened ones with `instance` and `chunk`; attempted: the ids of the manifest. The map of categories
+    has an entry for each category that is named, as the document lists them all; the distribution itself is `distribution`.
+    """
+    product = F.col("kind") == "product"
+    labels = [*money.PRICE_BANDS[1], money.NO_PRICE]
+    band = money.price_band(F.col("amount"), *money.PRICE_BANDS)
+    totals = documents.agg(
+        F.count_distinct("instance", "chunk").alias("chunks_processed"), F.count_distinct("instance").alias("instances_used"),
+        F.count_if(product).alias("successful_extractions"), F.count(F.lit(1)).alias("files_found"), F.count_if(F.col("kind") == "corrupt").alias("errors"),
+        F.map_from_arrays(F.array(*map(F.lit, labels)), F.array(*[F.count_if(product & (band == label)) for label in labels])).alias("price_ranges"),
+    )
+    counts = distribution(documents.where(product & F.col("category").isNotNull()), "category")
+    categories = counts.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("category", "n")))).alias("m"))
+    listed = attempted_totals(attempted, documents, key)
+    return totals.withColumns({
+        "category_distribution": categories.scalar(), "total_urls_processed": listed.select("total_urls_processed").scalar(),
+        "failed_extractions": listed.select("failed_extractions").scalar(),
+    })
+
+
 def run_outcome(rows: DataFrame, ok: Column) -> DataFrame:
     return rows.agg(
         F.count(F.lit(1)).alias("total"),

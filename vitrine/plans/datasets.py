@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from vitrine.functions import urls as U
-from vitrine.operators import extraction, quality, training
+from vitrine.operators import extraction, patterns, quality, training
 from vitrine.plans import inputs as I
 from vitrine.plans import pages as P
 from vitrine.plans.registry import query
@@ -105,6 +107,50 @@ def document_terms(spark, sf):
     return training.term_counts(read_parquet(spark, sf, "documents").select(words.alias("terms")), "terms")
 
 
+LEAST_SHARE = 0.04
+SQL_SETS = f"""{features_sql().replace('WITH src', 'WITH RECURSIVE src', 1)},
+ bound AS (SELECT ceil(count(*) * {LEAST_SHARE})::BIGINT AS least FROM features),
+ single AS (SELECT term, list(id) AS ids FROM (SELECT id, unnest(list_distinct(terms)) AS term FROM features) GROUP BY 1 HAVING count(*) >= (SELECT least FROM bound)),
+ sets AS (SELECT [term] AS items, term AS last, ids FROM single
+  UNION ALL SELECT list_append(items, s.term), s.term, list_intersect(sets.ids, s.ids) FROM sets JOIN single s ON s.term > last
+   AND len(list_intersect(sets.ids, s.ids)) >= (SELECT least FROM bound))"""
+
+
+def _term_sets(spark, sf):
+    terms = I.url_rows(spark, sf).select(U.extracted_terms(U.path(F.col("url"))).alias("terms"))
+    rows = terms.count()
+    return patterns.frequent_sets(terms, "terms", math.ceil(rows * LEAST_SHARE)), rows
+
+
+@query("term_itemsets", f"{SQL_SETS} SELECT array_to_string(items, ' ') AS items, len(items)::INT AS size, len(ids) AS n FROM sets")
+def term_itemsets(spark, sf):
+    sets, _ = _term_sets(spark, sf)
+    return sets.select(patterns.shown(F.col("items")).alias("items"), "size", "n")
+
+
+@query("term_rules", f"""{SQL_SETS}, f AS (SELECT items, len(ids) AS n FROM sets),
+ r AS (SELECT list_filter(items, lambda i: i <> c) AS antecedent, c, n FROM (SELECT items, n, unnest(items) AS c FROM f WHERE len(items) > 1))
+ SELECT array_to_string(antecedent, ' ') AS antecedent, c AS consequent, r.n, round(r.n / a.n, 6) AS confidence,
+  round(r.n / a.n * (SELECT count(*) FROM features) / s.n, 6) AS lift
+ FROM r JOIN f a ON a.items = antecedent JOIN f s ON s.items = [c] WHERE r.n >= 0.9 * a.n""")
+def term_rules(spark, sf):
+    sets, rows = _term_sets(spark, sf)
+    found = patterns.rules(sets, rows, 0.9)
+    return found.select(patterns.shown(F.col("antecedent")).alias("antecedent"), "consequent", "n", F.round("confidence", 6).alias("confidence"), F.round("lift", 6).alias("lift"))
+
+
+@query("path_patterns", f"""{features_sql()}, n AS (SELECT ceil(count(*) * {LEAST_SHARE})::BIGINT AS least FROM features),
+ p AS (SELECT id, [seg[i]] AS path FROM (SELECT id, seg, unnest(range(1, len(seg) + 1)) AS i FROM features)
+  UNION ALL SELECT id, [seg[i], seg[j]] FROM (SELECT id, seg, i, unnest(range(i + 1, len(seg) + 1)) AS j FROM (SELECT id, seg, unnest(range(1, len(seg) + 1)) AS i FROM features))
+  UNION ALL SELECT id, [seg[i], seg[j], seg[k]] FROM (SELECT id, seg, i, j, unnest(range(j + 1, len(seg) + 1)) AS k FROM
+   (SELECT id, seg, i, unnest(range(i + 1, len(seg) + 1)) AS j FROM (SELECT id, seg, unnest(range(1, len(seg) + 1)) AS i FROM features))))
+ SELECT array_to_string(path, ' ') AS path, len(path)::INT AS length, count(DISTINCT id) AS n FROM p GROUP BY path HAVING count(DISTINCT id) >= (SELECT least FROM n)""")
+def path_patterns(spark, sf):
+    paths = I.url_rows(spark, sf).select(U.path_segments(F.col("url")).alias("segments"))
+    found = patterns.frequent_paths(paths, "segments", math.ceil(paths.count() * LEAST_SHARE), longest=3)
+    return found.withColumn("path", patterns.shown(F.col("path")))
+
+
 @query("natural_clusters")
 def natural_clusters(spark, sf):
     f = _features(spark, sf).select("url", F.col("extracted_terms").alias("terms"))

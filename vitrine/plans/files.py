@@ -193,11 +193,46 @@ def sink_merged_products(spark, sf):
         F.count_if("has_materials").alias("with_materials")).withColumn("errors", F.lit(table.version().notes["errors"]).cast("long"))
 
 
-@query("sink_summary", f"""SELECT 'bands' AS part, band AS key, n FROM ({totals._bands_sql(totals.ORDER_MONEY_SQL, money.PRICE_BANDS[1] + [money.NO_PRICE], totals.SQL_BAND)})""")
+SQL_NAMED_BANDS = [*money.PRICE_BANDS[1], money.NO_PRICE]
+
+
+@query("sink_summary", f"""WITH d AS ({I.DOCUMENTS_SQL}), p AS (SELECT * FROM d WHERE kind = 'product'),
+ c AS (SELECT category, count(*) AS n FROM p WHERE has_category AND category IS NOT NULL GROUP BY 1)
+ SELECT (SELECT count(DISTINCT (instance, chunk)) FROM d) AS chunks_processed, (SELECT count(DISTINCT instance) FROM d) AS instances_used,
+  (SELECT count(*) FROM part) AS total_urls_processed, (SELECT count(*) FROM p) AS successful_extractions,
+  (SELECT count(*) FROM part WHERE p_partkey NOT IN (SELECT id FROM p)) AS failed_extractions,
+  (SELECT string_agg(category || '=' || n, '|' ORDER BY category) FROM c) AS category_distribution,
+  (SELECT string_agg(band || '=' || n, '|' ORDER BY band) FROM ({totals._bands_sql("SELECT * FROM p", SQL_NAMED_BANDS, totals.SQL_BAND)})) AS price_ranges""")
 def sink_summary(spark, sf):
+    """The document a run ends with, written and read back."""
     path = scratch(spark, "summary")
-    sinks.write_summary(totals.agg_price_bands(spark, sf), "band", path)
-    return spark.read.schema("key string, n long").json(path).select(F.lit("bands").alias("part"), "key", "n")
+    raw = tables.read_documents(spark, _write_documents(spark, sf), ANY_EXTRACTED, one_per_file=False)
+    docs = extraction.land_documents(raw)
+    attempted = I.listings(spark, sf).select(U.product_id(F.col("url")).alias("product_id"))
+    summaries.run_summary(attempted, docs).write.json(path)
+    found = spark.read.schema(summaries.SUMMARY_SCHEMA).json(path)
+    return found.select("chunks_processed", "instances_used", "total_urls_processed", "successful_extractions", "failed_extractions",
+                        P.map_text(F.col("category_distribution")).alias("category_distribution"), P.map_text(F.col("price_ranges")).alias("price_ranges"))
+
+
+@query("chunk_summary_documents", f"""WITH r AS ({I.RUN_SQL}), e AS (SELECT container, string_agg(error_type || '=' || n, '|' ORDER BY error_type) AS errors
+ FROM (SELECT container, error_type, count(*) AS n FROM r WHERE error_type IS NOT NULL GROUP BY ALL) GROUP BY 1)
+ SELECT r.container AS container_id, r.container AS chunk_name, count(*) AS urls_processed, count(*) FILTER (WHERE ok) AS successful, count(*) FILTER (WHERE NOT ok) AS failed,
+ CASE WHEN substr(r.container, 5)::INT < 7 THEN printf('%d-%d', substr(r.container, 5)::INT * 5000, substr(r.container, 5)::INT * 5000 + 5000) END AS chunk_range,
+ CAST(floor(count(*) FILTER (WHERE ok) * 1000 / count(*) + 0.5) / 10 AS VARCHAR) || '%' AS success_rate, round(sum(bytes) / 1048576.0, 4) AS total_storage_used_mb,
+ coalesce(any_value(e.errors), '') AS error_breakdown, round(avg(fetch_ms), 4) AS avg_fetch_time_ms, round(avg(fetch_ms + extract_ms), 4) AS avg_total_time_ms
+ FROM r LEFT JOIN e ON r.container = e.container GROUP BY 1""")
+def chunk_summary_documents(spark, sf):
+    """One document for each container; the last container is in no manifest."""
+    path = scratch(spark, "summaries")
+    rows = summaries.chunk_summary(I.runs(spark, sf))
+    number = F.substring("container", 5, 9).cast("int")
+    manifest = rows.where(number < 7).select("container", (number * 5000).alias("start_index"), (number * 5000 + 5000).alias("end_index"))
+    summaries.summary_documents(rows, manifest).write.json(path)
+    found = spark.read.schema(summaries.CHUNK_SUMMARY_SCHEMA).json(path)
+    return found.select("container_id", "chunk_name", "urls_processed", "successful", "failed", "chunk_range", "success_rate",
+                        F.round("total_storage_used_mb", 4).alias("total_storage_used_mb"), P.map_text(F.col("error_breakdown")).alias("error_breakdown"),
+                        F.round("performance_metrics.avg_fetch_time_ms", 4).alias("avg_fetch_time_ms"), F.round("performance_metrics.avg_total_time_ms", 4).alias("avg_total_time_ms"))
 
 
 @query("sink_product_json", """SELECT 'f_' || p_partkey AS product_id, p_partkey // 1000 AS chunk_id, CASE WHEN p_partkey % 3 = 2 THEN 2 ELSE 1 END AS version FROM part""")

@@ -9,8 +9,9 @@ from vitrine.operators import chunks, matching, training
 from vitrine.plans import inputs as I
 from vitrine.plans.registry import query
 from vitrine.plans.urls import features_sql
+from vitrine.sources import sinks
 from vitrine.sources.tables import read_parquet
-from vitrine.workspace import stage
+from vitrine.workspace import partitions_for, scratch, stage
 
 CHUNK = 50
 INSTANCES = ["10.0.0.1", "10.0.0.2", "10.0.0.3"]
@@ -24,8 +25,11 @@ def _features(spark, sf):
 @query("join_on_url", f"""{features_sql()} SELECT c.url, c.item_description, c.all_terms, c.primary_category, c.secondary_category,
  e.decade AS primary_decade FROM features c JOIN features e ON c.url = e.url AND e.decade IS NOT NULL""")
 def join_on_url(spark, sf):
+    """Training tables stored in URL buckets: their join moves no row."""
     f = _features(spark, sf)
-    return matching.join_on_url(training.category_table(f), training.era_table(f))
+    buckets = partitions_for(f)
+    stored = [sinks.write_bucketed(t, scratch(spark, "bucketed"), "url", buckets) for t in (training.category_table(f), training.era_table(f))]
+    return matching.join_on_url(*stored)
 
 
 @query("join_url_one_to_many", f"""{features_sql()} SELECT url, secondary_category, k AS sequence_length, seg[k + 1] AS target
@@ -33,7 +37,9 @@ def join_on_url(spark, sf):
 def join_url_one_to_many(spark, sf):
     f = _features(spark, sf)
     sequences = training.sequence_table(f).select("url", "sequence_length", "target")
-    return matching.join_on_url(f.select("url", "secondary_category"), sequences)
+    buckets = partitions_for(f)
+    stored = [sinks.write_bucketed(t, scratch(spark, "bucketed"), "url", buckets) for t in (f.select("url", "secondary_category"), sequences)]
+    return matching.join_on_url(*stored)
 
 
 @query("join_html_json_by_id", """WITH h AS (SELECT 'f_' || o_custkey AS product_id, count(*) AS html_files FROM orders GROUP BY 1),
@@ -70,6 +76,26 @@ def semi_completed_chunks(spark, sf):
     return matching.completed(rows, summaries, "l_orderkey")
 
 
+SQL_DONE = "SELECT o_orderkey % 16 AS chunk_id FROM orders WHERE o_orderkey % 16 < 10 AND o_orderstatus = 'F'"
+
+
+@query("completed_chunk_outputs", f"""SELECT l_orderkey % 16 AS chunk_id, l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN l_linestatus END AS priority FROM lineitem
+ WHERE l_orderkey % 16 IN ({SQL_DONE})""")
+def completed_chunk_outputs(spark, sf):
+    """Outputs of three instances, of which one records the priority, stored by chunk; the summaries prune the folders while the join runs."""
+    lines = read_parquet(spark, sf, "lineitem").select((F.col("l_orderkey") % 16).alias("chunk_id"), "l_orderkey", "l_linenumber", F.col("l_linestatus").alias("priority"))
+    outputs = []
+    for k in range(3):
+        path = scratch(spark, "outputs")
+        some = lines.where(F.col("l_orderkey") % 3 == k)
+        sinks.write_chunk_outputs(some if k == 0 else some.drop("priority"), path)
+        outputs.append(spark.read.parquet(path))
+    orders = read_parquet(spark, sf, "orders").select((F.col("o_orderkey") % 16).alias("chunk_id"), F.col("o_orderstatus").alias("status"))
+    summaries = stage(orders.where("chunk_id < 10").distinct(), "summaries")
+    done = matching.completed(matching.union_outputs(outputs), summaries.where("status = 'F'"))
+    return done.select(F.col("chunk_id").cast("long").alias("chunk_id"), "l_orderkey", "l_linenumber", "priority")
+
+
 SQL_CHUNKS = f"SELECT unnest(range(1, 1 + CAST(ceil(count(*) / {CHUNK}.0) AS BIGINT))) AS chunk_id FROM orders"
 
 

@@ -30,6 +30,19 @@ def agg_merge_stats(spark, sf):
     return summaries.merge_statistics(_documents(spark, sf))
 
 
+@query("merge_totals", f"""SELECT (SELECT count(*) FROM part) AS total_urls_processed, count(*) FILTER (WHERE kind = 'product') AS successful_extractions,
+ (SELECT count(*) FROM part WHERE p_partkey NOT IN (SELECT id FROM ({I.DOCUMENTS_SQL}) WHERE kind = 'product')) AS failed_extractions,
+ count(*) FILTER (WHERE kind = 'product' AND has_price) AS with_price, count(*) FILTER (WHERE kind = 'corrupt') AS errors FROM ({I.DOCUMENTS_SQL})""")
+def merge_totals(spark, sf):
+    """Statistics of a merge beside what its manifest asked for."""
+    docs = _documents(spark, sf)
+    attempted = I.listings(spark, sf).select(U.product_id(F.col("url")).alias("product_id"))
+    listed = summaries.attempted_totals(attempted, docs)
+    return summaries.merge_statistics(docs).select(
+        listed.select("total_urls_processed").scalar().alias("total_urls_processed"), F.col("total_products").alias("successful_extractions"),
+        listed.select("failed_extractions").scalar().alias("failed_extractions"), "with_price", "errors")
+
+
 @query("agg_category_distribution", f"""WITH c AS (SELECT category, count(*) AS n FROM ({I.DOCUMENTS_SQL}) WHERE kind = 'product' AND has_category GROUP BY 1)
  SELECT category, n, round(n * 100.0 / (SELECT sum(n) FROM c), 4) AS share FROM c""")
 def agg_category_distribution(spark, sf):

@@ -38,5 +38,7 @@ def cluster_settings(input_bytes: int, cores: int) -> dict[str, str]:
         # rows that go to a Python worker at a time: whole texts, of which a few are very long
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # a filter on the partitions of a joined table is worth a small job of its own where its side is too large to broadcast
+        "spark.sql.optimizer.dynamicPartitionPruning.reuseBroadcastOnly": "false",
         "spark.sql.session.timeZone": "UTC",
     }
