@@ -31,4 +31,4 @@ def test_entry(spark):
 def test_clusters_cover_every_url(spark, small):
     clusters = QUERIES["natural_clusters"](spark, small)
     assert clusters.count() == QUERIES["url_depth"](spark, small).count()
-    assert 1 < clusters.select("cluster").distinct().count() <= 8
+    assert 1 < clusters.select("cluster").distinct().count() < clusters.count()

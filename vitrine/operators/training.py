@@ -118,17 +118,3 @@ def term_patterns(df: DataFrame, terms: str) -> DataFrame:
         F.transform(bigrams(F.col(terms)), lambda t: F.struct(F.lit(2).alias("size"), t.alias("term"))),
     )
     return df.select(F.inline(both)).groupBy("size", "term").agg(F.count(F.lit(1)).alias("n"))
-
-
-def natural_clusters(df: DataFrame, terms: str, k: int = 8, features: int = 1 << 18, seed: int = 42) -> DataFrame:
-    """Group listings by their terms: hashed term weights and k-means. Adds `cluster`."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import IDF, HashingTF
-
-    steps = [
-        HashingTF(inputCol=terms, outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_weights"),
-        KMeans(featuresCol="_weights", predictionCol="cluster", k=k, seed=seed, maxIter=10),
-    ]
-    return Pipeline(stages=steps).fit(df).transform(df).drop("_tf", "_weights")

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from vitrine.functions import urls as U
-from vitrine.operators import extraction, patterns, quality, training
+from vitrine.operators import extraction, patterns, quality, similarity, training
 from vitrine.plans import inputs as I
 from vitrine.plans import pages as P
 from vitrine.plans.registry import query
@@ -151,7 +151,29 @@ def path_patterns(spark, sf):
     return found.withColumn("path", patterns.shown(F.col("path")))
 
 
+# Words of the path before the id segment.
+SQL_WORDS = "list_sort(list_distinct(list_filter(regexp_split_to_array(array_to_string(seg[1:greatest(len(seg) - 1, 0)], '/'), '[/-]'), lambda t: t <> '')))"
+ALIKE = 0.6
+
+
+def _words(spark, sf):
+    segments = U.path_segments(F.col("url"))
+    named = F.array_join(F.slice(segments, F.lit(1), F.greatest(F.size(segments) - 1, F.lit(0))), "/")
+    return I.url_rows(spark, sf).select("url", F.filter(F.split(named, "[/-]"), lambda t: t != "").alias("terms"))
+
+
+@query("similar_listings", f"""{features_sql()}, nodes AS (SELECT min(url) AS node, terms FROM (SELECT url, {SQL_WORDS} AS terms FROM features) WHERE len(terms) > 0 GROUP BY terms),
+ t AS (SELECT node, unnest(terms) AS term FROM nodes),
+ w AS (SELECT node, term, ln(1 + (SELECT count(*) FROM nodes) / n) AS w FROM t JOIN (SELECT term, count(*) AS n FROM t GROUP BY 1) USING (term)),
+ v AS (SELECT node, term, w / sqrt(sum(w * w) OVER (PARTITION BY node)) AS w FROM w),
+ s AS (SELECT x.node AS a, y.node AS b, round(sum(x.w * y.w) * 1000, 0) AS similarity FROM v x JOIN v y ON x.term = y.term AND x.node < y.node GROUP BY 1, 2 HAVING sum(x.w * y.w) >= {ALIKE} - 5e-7)
+ SELECT a, b, similarity::BIGINT AS similarity FROM s""")
+def similar_listings(spark, sf):
+    """Pairs of listings whose words are alike, in thousandths; listings with the same words are one."""
+    found = similarity.links(similarity.weighted(similarity.nodes(_words(spark, sf), "url", "terms")), ALIKE)
+    return found.select("a", "b", F.round(F.col("similarity") / 1000).cast("long").alias("similarity"))
+
+
 @query("natural_clusters")
 def natural_clusters(spark, sf):
-    f = _features(spark, sf).select("url", F.col("extracted_terms").alias("terms"))
-    return training.natural_clusters(f, "terms").select("url", "cluster")
+    return similarity.clusters(_words(spark, sf), "url", "terms", ALIKE)
