@@ -11,7 +11,11 @@ together, the tokens before are stable whatever follows: they are emitted and th
 kept does not grow with the length of the text.
 
 **Words.** White space and the tokenizer's pattern cut a text into words before any merging; the last byte of a word has
-a symbol of its own. Words that were encoded before are looked up in a memory of bounded size.
+a symbol of its own. Words that were encoded before are looked up in a memory of bounded size, which another operator's work in
+the same Python worker lets go of.
+
+**Decoding.** Ids become bytes, and bytes become text through a state machine that holds back an incomplete character. A text is
+worked through in slices, so neither its ids nor its decoded form are ever there whole.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -29,10 +34,10 @@ from pyspark.sql import types as T
 from vitrine.llm import rows
 
 #: Words kept in memory by a worker; longer ones than `LONG` characters are never kept.
-WORDS = 300_000
-FORMS = 500_000
+WORDS = 100_000
+PIECES = 300_000
 LONG = 64
-PAIRS = 1_000_000
+PAIRS = 300_000
 #: Feed long texts to the transducer in pieces of this many characters.
 CHUNK = 65_536
 
@@ -75,10 +80,10 @@ class Merges:
             else:
                 self.inside[name] = i
         self.lookahead = max(map(len, [*self.inside, *self.closing]))
-        #: lengths of the tokens that end in a symbol, longest first
-        self.inside_lengths, self.closing_lengths = (_lengths(t, self.lookahead) for t in (self.inside, self.closing))
-        self._sound: dict[int, bool] = {}
         self._pairs: dict[tuple[int, int], bool] = {}
+        #: those whose own bytes are encoded as that token, and the lengths of these that may end after the last symbols of a prefix, longest first
+        self.sound_inside, self.sound_closing = ({text: i for text, i in side.items() if self.merged(self.base(i)) == [i]} for side in (self.inside, self.closing))
+        self.inside_lengths, self.closing_lengths = Lengths(self.sound_inside), Lengths(self.sound_closing)
 
     def merged(self, tokens: list[int]) -> list[int]:
         """Plain merging by rank, leftmost first: used for the tokens themselves and for pairs of them, which are short."""
@@ -105,13 +110,6 @@ class Merges:
             self._symbol_ids = dict(zip(self.symbols, self.inner)), dict(zip(self.symbols, self.final))
         return self._symbol_ids
 
-    def sound(self, token: int) -> bool:
-        """Whether the token's own bytes are encoded as that token."""
-        known = self._sound.get(token)
-        if known is None:
-            known = self._sound[token] = self.merged(self.base(token)) == [token]
-        return known
-
     def fit(self, left: int, right: int) -> bool:
         """Whether two tokens may stand side by side: no merge across their border comes first.
 
@@ -144,12 +142,23 @@ class Merges:
                 limit, right = b[2] + 1, b[0]
 
 
-def _lengths(tokens: dict[str, int], most: int) -> dict[str, list[list[int]]]:
-    """For each symbol, and for each number of symbols that are there up to `most`, the lengths of tokens ending in it, longest first."""
-    found: dict[str, set[int]] = {}
-    for text in tokens:
-        found.setdefault(text[-1], set()).add(len(text))
-    return {c: [sorted((k for k in n if k <= there), reverse=True) for there in range(most + 1)] for c, n in found.items()}
+class Lengths(dict):
+    """For the last symbols of a prefix, three or as many as there are: the lengths of the tokens that can end there, longest first."""
+
+    def __init__(self, tokens: dict[str, int]):
+        super().__init__()
+        self.tokens = tokens
+        longer: dict[str, set[int]] = {}
+        for text in tokens:
+            if len(text) >= 3:
+                longer.setdefault(text[-3:], set()).add(len(text))
+        self.longer = {last: sorted(n, reverse=True) for last, n in longer.items()}
+
+    def __missing__(self, last: str) -> list[int]:
+        found = self.longer.get(last, []) + [n for n in (2, 1) if len(last) >= n and last[-n:] in self.tokens]
+        if len(self) < PAIRS:
+            self[last] = found
+        return found
 
 
 class Transducer:
@@ -161,25 +170,28 @@ class Transducer:
         self.last: list[int] = []  # last token of each prefix of `text`
         self.start: list[int] = []  # where that token begins
 
-    def _step(self, end: int, tokens: dict[str, int], lengths: dict[str, list[list[int]]]) -> None:
-        """Find the last token of the prefix that ends at `end`."""
-        m, text, last = self.merges, self.text, self.last
-        pairs, sound = m._pairs, m._sound
-        for n in lengths[text[end - 1]][end if end < m.lookahead else m.lookahead]:
-            begin = end - n
-            token = tokens.get(text[begin:end])
-            if token is not None:
+    def _steps(self, ends: range, tokens: dict[str, int], lengths: Lengths) -> None:
+        """Find the last token of each prefix that ends at one of `ends`."""
+        text, last, start, fit = self.text, self.last, self.start, self.merges.fit
+        pairs = self.merges._pairs
+        for end in ends:
+            for n in lengths[text[end - 3 if end > 3 else 0 : end]]:
+                begin = end - n
+                if begin < 0:
+                    continue
+                token = tokens.get(text[begin:end])
+                if token is None:
+                    continue
                 left = last[begin - 1] if begin else self.border
                 if left is not None:
                     fits = pairs.get((left, token))
-                    if not (m.fit(left, token) if fits is None else fits):
+                    if not (fit(left, token) if fits is None else fits):
                         continue
-                good = sound.get(token)
-                if m.sound(token) if good is None else good:
-                    last.append(token)
-                    self.start.append(begin)
-                    return
-        raise ValueError("the vocabulary lacks a byte")
+                last.append(token)
+                start.append(begin)
+                break
+            else:
+                raise ValueError("the vocabulary lacks a byte")
 
     border: int | None = None
 
@@ -189,8 +201,7 @@ class Transducer:
         for i in range(0, len(symbols), most):
             begin = len(self.text)
             self.text += symbols[i : i + most]
-            for end in range(begin + 1, len(self.text) + 1):
-                self._step(end, m.inside, m.inside_lengths)
+            self._steps(range(begin + 1, len(self.text) + 1), m.sound_inside, m.inside_lengths)
             if len(self.text) >= most:
                 out += self._stable()
         return out
@@ -199,7 +210,8 @@ class Transducer:
         """The last symbol of the word; the transducer is then as new."""
         m = self.merges
         self.text += symbol
-        self._step(len(self.text), *((m.closing, m.closing_lengths) if m.end else (m.inside, m.inside_lengths)))
+        end = len(self.text)
+        self._steps(range(end, end + 1), *((m.sound_closing, m.closing_lengths) if m.end else (m.sound_inside, m.inside_lengths)))
         out = self._back(len(self.text), 0)
         self.text, self.last, self.start, self.border = "", [], [], None
         return out
@@ -343,53 +355,79 @@ def coder(path: str) -> WordCoder:
     return WordCoder(path)
 
 
-class Forms(dict):
-    """Piece -> number of its tokens, their ids joined by blanks, their names joined by blanks; forgotten when there are too many."""
+class Pieces(dict):
+    """The ids of a piece, found when first asked for and forgotten when there are too many; a special string is its ids."""
 
     def __init__(self, coder: WordCoder):
         super().__init__()
         self.coder = coder
 
-    def form(self, tokens: tuple[int, ...]) -> tuple[int, bytes, bytes]:
-        names = self.coder.names
-        return len(tokens), b" ".join([b"%d" % t for t in tokens]), " ".join([names[t] for t in tokens]).encode()
-
-    def __missing__(self, piece: str) -> tuple[int, bytes, bytes]:
-        form = self.form(tuple(self.coder.tokens(piece)))
+    def __missing__(self, piece: str | tuple[int, ...]) -> tuple[int, ...]:
+        if type(piece) is tuple:
+            return piece
+        ids = tuple(self.coder.tokens(piece))
         if len(piece) <= LONG:
-            if len(self) >= FORMS:
+            if len(self) >= PIECES:
                 self.clear()
-            self[piece] = form
-        return form
+            self[piece] = ids
+        return ids
+
+
+def slices(text: str, most: int) -> Iterator[str]:
+    """A text in slices of about `most` characters, cut at white space, where no word and no special string goes on."""
+    begin = 0
+    while len(text) - begin > most:
+        white = _WHITE.search(text, begin + most)
+        if white is None:
+            break
+        yield text[begin : white.start()]
+        begin = white.end()
+    yield text[begin:] if begin else text
 
 
 class Digests:
-    """Count, digest of the ids and digest of the library's decoded form for one text after another.
+    """Encodes texts and decodes their ids again, slice by slice; keeps counts and digests.
 
-    The tokenizer has no decoder of its own, so the decoded text is its tokens' names joined by blanks. The names of a piece's
-    tokens are put together as UTF-8 once, and go through the state machine with all others of the text.
+    The tokenizer has no decoder of its own, so the library's decoded text is its tokens' names joined by blanks: these bytes
+    go through the state machine.
     """
 
     def __init__(self, path: str):
         self.coder = coder(path)
-        self.known = Forms(self.coder)
-
-    def of(self, text: str | None) -> tuple[int, str, str]:
-        found = self.coder.cut_text(text or "")
-        forms = [self.known[p] if type(p) is str else self.known.form(p) for p in found]
-        machine = codecs.getincrementaldecoder("utf-8")("strict")
-        decoded, ids, first = hashlib.sha256(), hashlib.sha256(), True
-        for i in range(0, len(forms), CHUNK):
-            part = [f for f in forms[i : i + CHUNK] if f[0]]
-            if part:
-                sep, first = b"" if first else b" ", False
-                ids.update(sep + b" ".join([f[1] for f in part]))
-                decoded.update(machine.decode(sep + b" ".join([f[2] for f in part])).encode())
+        self.known = Pieces(self.coder)
+        most = max(self.coder.names) + 1
+        self.decimal = [b"%d" % i for i in range(most)]
+        self.names = [self.coder.names.get(i, "").encode() for i in range(most)]
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.coder.known_words.clear()
+        self.coder.merges._pairs.clear()
+
+    def ids(self, text: str) -> Iterator[list[int]]:
+        """The ids of a text, some at a time."""
+        for part in slices(text, CHUNK):
+            found = [*chain.from_iterable(map(self.known.__getitem__, self.coder.cut_text(part)))]
+            if found:
+                yield found
+
+    def of(self, text: str | None, kept: list[int] | None = None) -> tuple[int, str, str]:
+        """Number of tokens, digest of the ids, digest of the decoded text; the ids go to `kept`, if given."""
+        rows.only("bpe", self.forget)
+        machine = codecs.getincrementaldecoder("utf-8")("replace")
+        n, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
+        for found in self.ids(text or ""):
+            sep = b" " if n else b""
+            n += len(found)
+            ids.update(sep + b" ".join(map(self.decimal.__getitem__, found)))
+            decoded.update(machine.decode(sep + b" ".join(map(self.names.__getitem__, found))).encode())
+            if kept is not None:
+                kept += found
         decoded.update(machine.decode(b"", True).encode())
-        return sum([f[0] for f in forms]), ids.hexdigest(), decoded.hexdigest()
+        return n, ids.hexdigest(), decoded.hexdigest()
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def digests(path: str) -> Digests:
     return Digests(path)
 
@@ -408,11 +446,21 @@ def decode(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
     return rows.with_columns(encoded, ids, fields, process)
 
 
-def round_trip(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """`documents` with `n_tokens`, `ids_sha256` (ids joined by blanks) and `decoded_sha256` (the library's decoded form).
+def round_trip(documents: DataFrame, path: str, text: str = "text", ids: bool = False) -> DataFrame:
+    """`documents` with `n_tokens`, `ids_sha256` (ids joined by blanks) and `decoded_sha256` (the library's decoded form), and with `token_ids` if asked for.
 
     Null counts as the empty text: no tokens, digests of the empty text. Every row gives one row, repeated rows
-    included; an empty table gives an empty one. Input columns with the name of a result column are replaced.
+    included; an empty table gives an empty one. Input columns with the name of a result column are replaced. Long texts are encoded and
+    decoded in slices; only `token_ids` holds all ids of a text.
     """
     fields = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
-    return rows.with_columns(documents, text, fields, lambda texts: [*map(list, zip(*map(digests(path).of, texts)))] or [[], [], []])
+    fields += [("token_ids", T.ArrayType(T.IntegerType()))] if ids else []
+
+    def process(texts):
+        worker, found = digests(path), []
+        for t in texts:
+            kept = [] if ids else None
+            found.append((*worker.of(t, kept), *([kept] if ids else [])))
+        return [*map(list, zip(*found))] or [[] for _ in fields]
+
+    return rows.with_columns(documents, text, fields, process)

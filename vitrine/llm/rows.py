@@ -18,6 +18,21 @@ from pyspark.sql.pandas.types import to_arrow_schema
 Process = Callable[[list], Sequence[list]]
 
 
+_remembering: dict[str, Callable[[], None]] = {}
+
+
+def only(operator: str, forget: Callable[[], None]) -> None:
+    """Called by an operator before it uses what it remembers between the batches of a Python worker: what others remember there goes.
+
+    Workers live on after a stage, and so would the memory of every operator that has run in them.
+    """
+    if operator not in _remembering:
+        for other in _remembering.values():
+            other()
+        _remembering.clear()
+        _remembering[operator] = forget
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from the place where the driver found it."""
     here = str(Path(__file__).resolve().parents[2])
@@ -31,11 +46,11 @@ def with_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
     """`df` with result columns computed from one text column, batch by batch, without a shuffle.
 
     Every input row gives one row, repeated rows included. An input column that has the name of a
-    result column is replaced by it. `process` runs in the Python workers.
+    result column, in any letter case as Spark compares them, is replaced by it. `process` runs in the Python workers.
     """
     importable(df.sparkSession)
-    names = {name for name, _ in fields}
-    kept = [f for f in df.schema.fields if f.name not in names]
+    names = {name.lower() for name, _ in fields}
+    kept = [f for f in df.schema.fields if f.name.lower() not in names]
     schema = T.StructType(kept + [T.StructField(name, kind) for name, kind in fields])
     arrow = to_arrow_schema(schema)
     keep = [f.name for f in kept]

@@ -212,6 +212,7 @@ _built: dict[str, Lengths] = {}
 def scores(model: dict, texts: list[str | None]) -> list[float]:
     if "prior" in model:
         return [model["prior"]] * len(texts)
+    rows.only("toxicity", _built.clear)
     key = model["toxic"] + "/" + model["ordinary"]
     if key not in _built:
         _built.clear()
