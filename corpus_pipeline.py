@@ -3,7 +3,8 @@ passages go, secrets are redacted, and what is left is encoded as tokens.
 
 Each stage reads what the one before it wrote, and decides from that alone (and from `labels` and `benchmark`). All but
 the last return the columns of the documents as they are. A row with null text is kept by every stage and has no tokens; an
-empty table gives an empty one; extra columns, whatever their names, go through the first four stages untouched.
+empty table gives an empty one; extra columns, whatever their names, go through the first four stages untouched. Very long texts are
+worked on whole. Repeated rows with words are copies of each other, of which `drop_near_copies` keeps one; ties go to the smallest id.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from vitrine.llm import bpe, decontaminate, jaccard, secrets, toxicity
 from vitrine.llm.rows import table
@@ -43,8 +43,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, token_ids, ids_sha256, decoded_sha256) of every document."""
     path = str(public_tokenizers.path("word_bpe_49k.json"))
-    encoded = bpe.round_trip(bpe.encode(docs.select("doc_id", "text"), path), path)
-    return encoded.select("doc_id", "n_tokens", F.coalesce("token_ids", F.array().cast("array<int>")).alias("token_ids"), "ids_sha256", "decoded_sha256")
+    encoded = bpe.round_trip(docs.select("doc_id", "text"), path, ids=True)
+    return encoded.select("doc_id", "n_tokens", "token_ids", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [
