@@ -254,18 +254,25 @@ def meeting(pieces: list[bytes], anchor: np.ndarray, at: np.ndarray, length: int
     rows_ = np.repeat(np.arange(n), size)
     table[rows_, begin[rows_] + np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat + np.uint64(1)
     base = np.uint64(0x9E3779B97F4A7C15)
-    power = np.uint64(pow(int(base), length, 1 << 64))
     sums = np.zeros((width + 1, n), np.uint64)
     for k in range(width):
         sums[k + 1] = sums[k] * base + table[:, k]
-    out = np.zeros(n, bool)
-    for k in range(width - length + 1):
-        whole = np.flatnonzero((begin <= k) & (begin + size >= k + length))
-        h = mix(sums[k + length, whole] - sums[k, whole] * power) ^ anchor[whole].view(np.uint64)
+
+    def repeated(first: int, last: int, among: np.ndarray) -> np.ndarray:
+        """Those of `among` that are there from `first` to `last` and have the same bytes there as another one with their anchor."""
+        whole = among[(begin[among] <= first) & (begin[among] + size[among] >= last)]
+        power = np.uint64(pow(int(base), last - first, 1 << 64))
+        h = mix(sums[last, whole] - sums[first, whole] * power) ^ anchor[whole].view(np.uint64)
         order = np.argsort(h, kind="stable")
         same = h[order][1:] == h[order][:-1]
-        out[whole[order[1:][same]]] = True
-        out[whole[order[:-1][same]]] = True
+        return np.unique(np.concatenate([whole[order[1:][same]], whole[order[:-1][same]]]))
+
+    # a string holds the anchor and the half of the rest on one side of it: most pieces share neither half
+    half, every = lead // 2, np.arange(n)
+    after, before = repeated(lead, length + half, every), repeated(lead - half, length, every)
+    out = np.zeros(n, bool)
+    for k in range(width - length + 1):
+        out[repeated(k, k + length, after if k >= half else before)] = True
     return out
 
 
