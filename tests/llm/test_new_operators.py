@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from vitrine.llm import alignment, fertility, units, whitening
+from vitrine.llm import alignment, fertility, secrets, units, whitening
 from vitrine.llm.queries import QUERIES
 
 A, B = str(public_tokenizers.path("byte_bpe_50k.json")), str(public_tokenizers.path("piece_bpe_32k.model"))
@@ -318,3 +318,82 @@ def test_fertility_of_odd_rows(odd, none):
         assert fertility.keep(none, RANKS, B, language=language).count() == 0
     with pytest.raises(ValueError):
         fertility.keep(odd, RANKS, B, text="text", language="n_words")
+
+
+# ---- secrets: costs and spans by trying everything ----
+
+
+def every_segmentation(value, words):
+    """The least cost over all ways to cut a value, by trying them all."""
+    ranks, longest = secrets._ranks(words)
+    n, lower, brute = len(value), value.lower(), math.log10(secrets._alphabet(value))
+
+    def segment(i, j):
+        costs = [brute * (j - i), secrets.segment_cost(value, i, j, brute, ranks, longest)]
+        costs += [brute * u + math.log10((j - i) // u) for u in secrets.REPEATED if j - i >= 3 * u and (j - i) % u == 0 and lower[i:j] == lower[i : i + u] * ((j - i) // u)]
+        return min(costs) + (0.3 if i else 0.0)
+
+    def ways(i):
+        if i == n:
+            yield 0.0
+        for j in range(i + 1, n + 1):
+            yield from (segment(i, j) + rest for rest in ways(j))
+
+    least = min(ways(0))
+    periods = [p for p in range(1, n // 2 + 1) if lower[p:] == lower[: n - p]]
+    return min([least] + [every_segmentation(value[:p], words) + math.log10(-(-n // p)) for p in periods[:1]])
+
+
+def test_costs_are_the_least_over_all_segmentations():
+    words = tuple("pass word abc cat dog the".split())
+    parts = ["a", "a", "b", "1", "-", "pass", "Cat", "d0g", "qwe", "2020", "aa", "x", ".", "www."]
+    for k in range(250):
+        r = random.Random(k)
+        value = "".join(r.choice(parts) for _ in range(r.randint(1, 7)))[:11]
+        assert secrets.guess_cost(value, words) == pytest.approx(every_segmentation(value, words), abs=1e-9), value
+
+
+def test_long_and_ordinary_values_are_no_secrets():
+    found = lambda t: [k for _, _, k in secrets.spans_of(t)]
+    for text in ("pwd: " + "-" * 100, "pwd: " + "-" * 400, "pwd: " + "*" * 600, "pwd: " + "password" * 10, "pwd: " + "password" * 60, "login: https://www.example.com/login",
+                 "auth: user@example.org", "authorization: required-by-law", "auth: two-factor-authentication", "login: https://www.example.org/login?next=/index.html", "pwd: " + "-=" * 3000):
+        assert found(text) == [], text
+    r = random.Random(4)
+    long = "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP0123456789!$") for _ in range(2999)) + "z"
+    assert found("pwd: " + long) == ["guess"] and secrets.spans_of("pwd: " + long)[0][:2] == (5, 3005)
+
+
+def test_planted_secrets_are_found():
+    r, hit = random.Random(9), 0
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for k in range(300):
+        signs = r.choice([letters + "0123456789", letters + letters.upper() + "0123456789", letters + letters.upper() + "0123456789!$%^&*"])
+        value = "".join(r.choice(signs) for _ in range(r.randint(10, 20)))
+        text = f"{r.choice(['login: ', 'pwd = ', 'passcode is ', 'Authorization: Bearer ', 'private_key='])}{value} and more"
+        start = text.index(value)
+        hit += any(a <= start and start + len(value.rstrip("!$%^&*")) <= b for a, b, _ in secrets.spans_of(text))
+    assert hit >= 297
+
+
+def test_spans_of_whole_documents(spark, small):
+    """Base spans by trying every place of every text."""
+    def plain(text):
+        out, patterns = [], (("assign", r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 6, 1), ("access", "(AKIA[A-Z0-9]+)", 20, 1), ("hex", "([0-9a-f]+)", 24, 1))
+        for kind, pattern, least, group in patterns:
+            compiled, at = re.compile(pattern, re.A | (re.I if kind == "assign" else 0)), 0
+            while at < len(text):
+                m = compiled.match(text, at)
+                if m:
+                    if len(m[group]) >= least:
+                        out.append((m.start(), kind, m.end()))
+                    at = m.end()
+                else:
+                    at += 1
+        return out
+
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    order = ["assign", "access", "hex"]
+    for r in QUERIES["op4_secrets"](spark, small).collect():
+        want = sorted(plain(texts[r["doc_id"]]), key=lambda s: (s[0], order.index(s[1])))
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, k, b in want).encode()).hexdigest()
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(k == kind for _, k, _ in want) for kind in order)

@@ -2,9 +2,10 @@
 
 Three patterns find assignments, access keys and long hexadecimal runs. In addition, what follows a credential word
 (`pwd: …`, `login = …`, `Authorization: Bearer …`) is judged by what it would cost to guess it: dynamic programming over its
-characters finds the cheapest way to build the value from dictionary words (with changed letter case or digits for letters),
-dates, repeats, keyboard walks and brute-force spans. A value as costly as a random one is reported as `guess`;
-a placeholder or an ordinary word is not.
+characters finds the cheapest way to build the value from dictionary words (with changed letter case or digits for letters), parts of addresses,
+separators, dates, repeats, keyboard walks and brute-force spans. A value as costly as a random one is reported as `guess`;
+a placeholder, an address or an ordinary word is not. Values of any length are segmented whole: words, dates and walks are short, and for
+brute-force spans and repeats only the beginnings that can still be the best ones are kept.
 """
 
 from __future__ import annotations
@@ -21,10 +22,8 @@ from vitrine.llm import rows
 
 KINDS = ("assign", "access", "hex", "guess")
 LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
-#: A value is reported from this many decimal digits of guesses on.
-LEAST_COST = 10.0
-#: Longer values are judged by their first so many characters at a time; the cost of each part is added.
-PART = 128
+#: A value is reported from this many decimal digits of guesses on, if they are this share of what a random value of its length and signs needs.
+LEAST_COST, LEAST_SHARE = 12.0, 0.7
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -51,6 +50,13 @@ ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrs
 _LEET = str.maketrans("013457@$!", "oleastasi")
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0?[1-9]|1[0-2])(?:[-/._]?(?:0?[1-9]|[12]\d|3[01]))?)?$|(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)?\d\d$")
 _LONGEST_DATE = 10
+# fixed values: parts of addresses, and signs between words
+ADDRESS_PARTS = "http:// https:// ftp:// mailto: www. .com .org .net .edu .io .de .fr .es .html .htm .php .json /login /index localhost 127.0.0.1".split()
+SEPARATORS = "-_./:@,+=&?#"
+_PARTS, _LONGEST_PART = frozenset(ADDRESS_PARTS), max(map(len, ADDRESS_PARTS))
+_LONGEST_WALK = max(map(len, ROWS))
+#: Lengths of the units that a repeat may have inside a value.
+REPEATED = (1, 2, 3, 4)
 
 
 @lru_cache(maxsize=1)
@@ -88,40 +94,97 @@ def _alphabet(text: str) -> int:
     return sum(n for test, n in kinds if any(map(test, text))) + 33 * (not text.isalnum()) or 1
 
 
+def segment_cost(value: str, begin: int, end: int, brute: float, ranks: dict[str, int], longest: int) -> float:
+    """Decimal digits of the guesses for a word, an address part, a separator, a walk or a date; infinite where it is none."""
+    size, part, cost = end - begin, value[begin:end].lower(), math.inf
+    if size <= longest:
+        rank = ranks.get(part)
+        if rank is None and (rank := ranks.get(part.translate(_LEET))) is not None:
+            rank *= 4
+        if rank is not None:
+            cost = math.log10(rank * (1 if value[begin:end] == part else 2))
+    if part in _PARTS:
+        cost = min(cost, math.log10(len(_PARTS)))
+    if size == 1 and part in SEPARATORS:
+        cost = min(cost, math.log10(len(SEPARATORS)))
+    if size >= 3 and part in _walks():
+        cost = min(cost, math.log10(len(ROWS) * 20 * size))
+    if 4 <= size <= _LONGEST_DATE and part[0].isdigit() and _DATE.match(part):
+        cost = min(cost, math.log10(365 * 120))
+    return cost
+
+
+class _Repeats:
+    """The cheapest way to end a repeat of three or more equal units of a length at each place.
+
+    A beginning is dropped when an earlier one is as cheap: the digits that an earlier one needs more, for its larger number of units, only shrink.
+    """
+
+    def __init__(self, unit: int):
+        self.unit = unit
+        self.begins: list[list[int]] = [[] for _ in range(unit)]
+        self.since = 0  # no repeat reaches back beyond this place
+
+    def at(self, lower: str, end: int, best: list[float]) -> float:
+        u = self.unit
+        if end > u and lower[end - 1] != lower[end - 1 - u]:
+            self.since = end - u
+        begins = self.begins[end % u]
+        if end >= 3 * u:
+            begins.append(end - 3 * u)
+        kept, least = [], math.inf
+        for b in begins:
+            if b >= self.since:
+                cost = best[b] + _next(b) + math.log10((end - b) // u)
+                if cost < least:
+                    kept.append(b)
+                    least = cost
+        self.begins[end % u] = kept
+        return least
+
+
+def _next(begin: int) -> float:
+    """What one more segment costs."""
+    return 0.3 if begin else 0.0
+
+
+def _period(value: str) -> int:
+    """The shortest length after which the value goes on as it began."""
+    fail, k = [0], 0
+    for c in value[1:]:
+        while k and value[k] != c:
+            k = fail[k - 1]
+        k += value[k] == c
+        fail.append(k)
+    return len(value) - fail[-1]
+
+
 def guess_cost(value: str, words: tuple[str, ...] | None = None) -> float:
     """Decimal digits of the guesses that the cheapest segmentation of `value` needs.
 
     `best[i]` is the cost of the first i characters; each segment adds the digits of its own guesses and a little for being
-    one more segment.
+    one more segment. A value that repeats from its beginning to its end costs its unit and the number of units, if that is less.
     """
     words = dictionary() if words is None else words
-    if len(value) > PART:
-        return sum(guess_cost(value[i : i + PART], words) for i in range(0, len(value), PART))
     ranks, longest = _ranks(words)
-    walks, n = _walks(), len(value)
-    lower = value.lower()
-    plain = lower.translate(_LEET)
+    lower, n = value.lower(), len(value)
     brute = math.log10(_alphabet(value))
-    best = [0.0] + [math.inf] * n
+    most = max(longest, _LONGEST_PART, _LONGEST_WALK, _LONGEST_DATE)
+    repeats = [_Repeats(u) for u in REPEATED]
+    best, run = [0.0] + [math.inf] * n, math.inf  # run: the cost with a brute-force span that ends here
     for end in range(1, n + 1):
-        for begin in range(end):
-            size, cost = end - begin, brute * (end - begin)
-            part = lower[begin:end]
-            if size <= longest:
-                rank = ranks.get(part)
-                if rank is None and (rank := ranks.get(plain[begin:end])) is not None:
-                    rank *= 4
-                if rank is not None:
-                    cost = min(cost, math.log10(rank * (1 if value[begin:end] == part else 2)))
-            if size >= 3 and part in walks:
-                cost = min(cost, math.log10(len(ROWS) * 20 * size))
-            if 4 <= size <= _LONGEST_DATE and part[0].isdigit() and _DATE.match(part):
-                cost = min(cost, math.log10(365 * 120))
-            for unit in (1, 2, 3, 4):
-                if size >= 3 * unit and size % unit == 0 and part == part[:unit] * (size // unit):
-                    cost = min(cost, brute * unit + math.log10(size // unit))
-                    break
-            best[end] = min(best[end], best[begin] + cost + (0.3 if begin else 0.0))
+        run = min(run, best[end - 1] + _next(end - 1)) + brute
+        least = run
+        for begin in range(max(0, end - most), end):
+            cost = best[begin] + _next(begin)
+            if cost < least:  # no segment costs less than nothing
+                least = min(least, cost + segment_cost(value, begin, end, brute, ranks, longest))
+        for repeat in repeats:
+            least = min(least, repeat.at(lower, end, best) + brute * repeat.unit)
+        best[end] = least
+    period = _period(lower) if n > 1 else n
+    if 2 * period <= n:
+        best[n] = min(best[n], guess_cost(value[:period], words) + math.log10(-(-n // period)))
     return best[n]
 
 
@@ -143,7 +206,8 @@ def guess_spans(text: str, taken: list[tuple[int, int, str]], least_cost: float,
         end = begin + len(value)
         if len(value) < LEAST_VALUE or any(a <= begin and end <= b for a, b, _ in taken):
             continue
-        if guess_cost(value, words) >= least_cost:
+        cost = guess_cost(value, words)
+        if cost >= least_cost and cost >= LEAST_SHARE * math.log10(_alphabet(value)) * len(value):
             found.append((begin, end, "guess"))
     return found
 
@@ -163,8 +227,8 @@ SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start
 def scan(documents: DataFrame, text: str = "text", least_cost: float = LEAST_COST, words: tuple[str, ...] | None = None) -> DataFrame:
     """`documents` with `secrets`: array of (kind, start, end).
 
-    Null and empty texts have none. Every row gives one row, repeated rows included; an empty table gives an empty one. An
-    input column named `secrets` is replaced. `words`: the dictionary of the cost estimate, most usual word first
+    Null and empty texts have none. Every row gives one row, repeated rows included; an empty table gives an empty one. Values of any length
+    are judged whole. An input column named `secrets`, in any letter case, is replaced. `words`: the dictionary of the cost estimate, most usual word first
     (`dictionary()` unless given; an empty one has no words).
     """
     words = dictionary() if words is None else words  # read here, sent to the executors
