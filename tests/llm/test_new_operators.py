@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from vitrine.llm import alignment, fertility, secrets, units, whitening
+from vitrine.llm import alignment, bpe, fertility, secrets, units, whitening
 from vitrine.llm.queries import QUERIES
 
 A, B = str(public_tokenizers.path("byte_bpe_50k.json")), str(public_tokenizers.path("piece_bpe_32k.model"))
@@ -320,6 +320,29 @@ def test_fertility_of_odd_rows(odd, none):
         fertility.keep(odd, RANKS, B, text="text", language="n_words")
 
 
+# ---- words by the transducer, at once and symbol by symbol ----
+
+
+def test_words_at_once_are_words_symbol_by_symbol():
+    coder = bpe.coder(str(public_tokenizers.path("word_bpe_49k.json")))
+    machine, r = bpe.Transducer(coder.merges), random.Random(8)
+    for _ in range(3000):
+        word = "".join(r.choice("abcdeinorstth") for _ in range(r.randint(1, 20)))
+        whole = machine.word(word)
+        assert whole == machine.feed(word[:-1]) + machine.close(word[-1]) and (machine.text, machine.last, machine.start) == ("", [], [])
+
+
+def test_slices_change_nothing(monkeypatch):
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    worker = bpe.digests(path)
+    texts = [noise(k, 80) for k in range(60)]
+    want = [worker.of(t) for t in texts]
+    monkeypatch.setattr(bpe, "CHUNK", 7)
+    assert [worker.of(t) for t in texts] == want
+    kept: list = []
+    assert worker.of(texts[0], kept)[0] == len(kept) and kept == Tokenizer.from_file(path).encode(texts[0], add_special_tokens=False).ids
+
+
 # ---- secrets: costs and spans by trying everything ----
 
 

@@ -34,10 +34,12 @@ from pyspark.sql import types as T
 from vitrine.llm import rows
 
 #: Words kept in memory by a worker; longer ones than `LONG` characters are never kept.
-WORDS = 100_000
-PIECES = 300_000
+WORDS = 200_000
+PIECES = 400_000
 LONG = 64
-PAIRS = 300_000
+PAIRS = 500_000
+#: Symbols at the beginning of a word after which the state is remembered, and how many such beginnings.
+HEAD, HEADS = 5, 100_000
 #: Feed long texts to the transducer in pieces of this many characters.
 CHUNK = 65_536
 
@@ -82,6 +84,7 @@ class Merges:
         self.lookahead = max(map(len, [*self.inside, *self.closing]))
         self._pairs: dict[tuple[int, int], bool] = {}
         #: those whose own bytes are encoded as that token, and the lengths of these that may end after the last symbols of a prefix, longest first
+        self.heads: dict[str, tuple[list[int], list[int]]] = {}
         self.sound_inside, self.sound_closing = ({text: i for text, i in side.items() if self.merged(self.base(i)) == [i]} for side in (self.inside, self.closing))
         self.inside_lengths, self.closing_lengths = Lengths(self.sound_inside), Lengths(self.sound_closing)
 
@@ -206,6 +209,26 @@ class Transducer:
                 out += self._stable()
         return out
 
+    def word(self, symbols: str) -> list[int]:
+        """A short word at once, by a machine that is as new: what `feed` and `close` give, with the state after its first symbols remembered."""
+        m, n, first = self.merges, len(symbols), 1
+        self.text = symbols
+        if n > HEAD:
+            known = m.heads.get(symbols[:HEAD])
+            if known is None:
+                self._steps(range(1, HEAD + 1), m.sound_inside, m.inside_lengths)
+                if len(m.heads) < HEADS:
+                    m.heads[symbols[:HEAD]] = self.last.copy(), self.start.copy()
+            else:
+                self.last, self.start = known[0].copy(), known[1].copy()
+            first = HEAD + 1
+        if n > first:
+            self._steps(range(first, n), m.sound_inside, m.inside_lengths)
+        self._steps(range(n, n + 1), *((m.sound_closing, m.closing_lengths) if m.end else (m.sound_inside, m.inside_lengths)))
+        out = self._back(n, 0)
+        self.text, self.last, self.start = "", [], []
+        return out
+
     def close(self, symbol: str) -> list[int]:
         """The last symbol of the word; the transducer is then as new."""
         m = self.merges
@@ -284,7 +307,7 @@ class WordCoder:
     def word(self, word: str) -> tuple[int, ...]:
         found = self.known_words.get(word)
         if found is None:
-            found = tuple(self.stream(word))
+            found = tuple(self.machine.word(word))
             if len(self.known_words) >= WORDS:
                 self.known_words.clear()
             self.known_words[word] = found
@@ -365,7 +388,8 @@ class Pieces(dict):
     def __missing__(self, piece: str | tuple[int, ...]) -> tuple[int, ...]:
         if type(piece) is tuple:
             return piece
-        ids = tuple(self.coder.tokens(piece))
+        words = self.coder._symbols(piece) if len(piece) <= LONG else ()
+        ids = self.coder.word(words[0]) if len(words) == 1 and len(words[0]) <= LONG else tuple(self.coder.tokens(piece))
         if len(piece) <= LONG:
             if len(self) >= PIECES:
                 self.clear()
@@ -403,6 +427,7 @@ class Digests:
         self.known.clear()
         self.coder.known_words.clear()
         self.coder.merges._pairs.clear()
+        self.coder.merges.heads.clear()
 
     def ids(self, text: str) -> Iterator[list[int]]:
         """The ids of a text, some at a time."""
