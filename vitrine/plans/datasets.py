@@ -166,7 +166,7 @@ def _words(spark, sf):
  t AS (SELECT node, unnest(terms) AS term FROM nodes),
  w AS (SELECT node, term, ln(1 + (SELECT count(*) FROM nodes) / n) AS w FROM t JOIN (SELECT term, count(*) AS n FROM t GROUP BY 1) USING (term)),
  v AS (SELECT node, term, w / sqrt(sum(w * w) OVER (PARTITION BY node)) AS w FROM w),
- s AS (SELECT x.node AS a, y.node AS b, round(sum(x.w * y.w) * 1000, 0) AS similarity FROM v x JOIN v y ON x.term = y.term AND x.node < y.node GROUP BY 1, 2 HAVING sum(x.w * y.w) >= {ALIKE} - 5e-7)
+ s AS (SELECT x.node AS a, y.node AS b, round(round(sum(x.w * y.w) * 1000000) / 1000) AS similarity FROM v x JOIN v y ON x.term = y.term AND x.node < y.node GROUP BY 1, 2 HAVING round(sum(x.w * y.w) * 1000000) >= {ALIKE} * 1000000)
  SELECT a, b, similarity::BIGINT AS similarity FROM s""")
 def similar_listings(spark, sf):
     """Pairs of listings whose words are alike, in thousandths; listings with the same words are one."""
