@@ -101,9 +101,9 @@ def with_rank(counts: DataFrame, by: str, tie: str, name: str = "rank") -> DataF
 
 
 def sample_per_stratum(
-    df: DataFrame, stratum: str, key: Column, fraction: float, buckets_hex: int = 4
+    df: DataFrame, stratum: str, key: Column, fraction: float = 0.0, buckets_hex: int = 4, quotas: DataFrame | None = None
 ) -> DataFrame:
-    """Exactly ceil(fraction * n) rows of each stratum, chosen by the md5 order of a unique key.
+    """Exactly ceil(fraction * n) rows of each stratum, or as many as `quotas` (_of, _wanted) say, chosen by the md5 order of a unique key.
 
     A count per (stratum, hash prefix) shows in which prefix the quota of a stratum is
     reached. Rows below that prefix are all taken; rows at it are numbered, in groups of
@@ -113,13 +113,17 @@ def sample_per_stratum(
     counts = hashed.groupBy(stratum, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
     by_prefix = Window.partitionBy(stratum).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     total = Window.partitionBy(stratum)
+    wanted = F.ceil(F.sum("_n").over(total) * F.lit(fraction))
+    if quotas is not None:
+        counts = counts.join(quotas, F.col(stratum).eqNullSafe(F.col("_of"))).drop("_of")
+        wanted = F.col("_wanted")
     quota = (
         counts.select(
             F.col(stratum).alias("_stratum"),
             F.col("_prefix").alias("_cut"),
             "_n",
             F.coalesce(F.sum("_n").over(by_prefix), F.lit(0)).alias("_below"),
-            F.ceil(F.sum("_n").over(total) * F.lit(fraction)).alias("_quota"),
+            wanted.alias("_quota"),
         )
         .where((F.col("_below") < F.col("_quota")) & (F.col("_below") + F.col("_n") >= F.col("_quota")))
         .select("_stratum", "_cut", (F.col("_quota") - F.col("_below")).alias("_take"))

@@ -7,12 +7,13 @@ import math
 from pyspark.sql import functions as F
 
 from vitrine.functions import urls as U
-from vitrine.operators import extraction, patterns, quality, similarity, training
+from vitrine.operators import extraction, patterns, quality, quotas, similarity, training
 from vitrine.plans import inputs as I
 from vitrine.plans import pages as P
 from vitrine.plans.registry import query
 from vitrine.plans.urls import features_sql
 from vitrine.sources.tables import read_parquet
+from vitrine.workspace import stage
 
 
 def _features(spark, sf):
@@ -73,6 +74,26 @@ def ds_mini_sample(spark, sf):
     return training.mini_sample(f)
 
 
+SAMPLED = ["secondary_category", "decade", "depth_level"]
+SQL_MARGINS = " UNION ALL ".join(f"SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS value, count(*) AS rows, true AS kept FROM features GROUP BY {d}" for d in SAMPLED)
+
+
+@query("ds_balanced_sample", f"{features_sql()} {SQL_MARGINS}")
+def ds_balanced_sample(spark, sf):
+    """Of a sample that keeps three distributions at once: for each value of each whether it has a tenth of its rows, within one."""
+    f = stage(_features(spark, sf).select("url", *SAMPLED), "features")
+    sample = stage(quotas.balanced_sample(f, SAMPLED, "url", 0.1), "sample")
+    found = None
+    for d in SAMPLED:
+        value = F.col(d).cast("string").alias("value")
+        taken = sample.groupBy(value).agg(F.count(F.lit(1)).alias("taken")).withColumnRenamed("value", "of")
+        whole = f.groupBy(value).agg(F.count(F.lit(1)).alias("rows"))
+        both = whole.join(taken, F.col("value").eqNullSafe(F.col("of")), "left")
+        rows = both.select(F.lit(d).alias("dimension"), "value", "rows", (F.abs(F.coalesce("taken", F.lit(0)) - F.col("rows") * 0.1) < 1).alias("kept"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query("ds_image_pairs", f"""SELECT 'f_' || p_partkey AS product_id, i - 1 AS image_index, 'https://cdn.market.example/' || p_partkey || '_' || i || '.jpg' AS image, p_type AS label
  FROM (SELECT *, unnest(range(1, 1 + {P.SQL_IMAGES})) AS i FROM part WHERE {P.SQL_HAS_NODE})""")
 def ds_image_pairs(spark, sf):
