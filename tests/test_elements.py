@@ -95,3 +95,22 @@ def test_details_of_nested_markup_reach_the_product(spark):
     html = '<h1 class="headline-3">T</h1><ul><li><b>Period</b>: 1960s</li><li><span>Condition</span>: <em>Good</em></ul><span data-cy="price-USD"><i>$</i>12<b>0</b></span>'
     (row,) = extraction.extract_products(spark.createDataFrame([("https://h/x/id-f_1/", html)], "url string, html string")).collect()
     assert (row["data"]["specifications"]["period"], row["data"]["specifications"]["condition"], row["data"]["pricing"]["price"]) == ("1960s", "Good", "120")
+
+
+def test_a_page_is_cleaned_once_and_no_text_is_lost(spark):
+    """Many items and deep nesting; the page without scripts is computed in one place of the expression."""
+    items = "".join(f"<li>k{i}: v{i}<ul><li>in{i}</ul>after{i}" for i in range(300))
+    df = spark.createDataFrame([(f"<ul>{items}</ul>" + "<span>" * 60 + "x" + "</span>" * 60,)], "h string")
+    got = df.select(E.list_items(F.col("h")).alias("li"), E.spans(F.col("h")).alias("s")).first()
+    assert got["li"] == [t for i in range(300) for t in (f"k{i}: v{i} after{i}", f"in{i}")]
+    assert len(got["s"]) == 60 and {s["text"].split()[0] for s in got["s"]} == {"x"}
+    for found in (E.list_items, E.spans, E.paragraphs, E.links):
+        assert df.select(found(F.col("h")).alias("x"))._jdf.queryExecution().analyzed().toString().count("(script|style)") == 1
+
+
+def test_pages_are_made_in_more_than_one_task(spark, small):
+    from vitrine.plans import inputs
+
+    pages = inputs.product_pages(spark, small)
+    assert pages.rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert pages.count() == spark.read.parquet(f"{small}/part.parquet").count()

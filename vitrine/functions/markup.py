@@ -123,7 +123,7 @@ def _last_per_key(entries: Column) -> Column:
         return F.filter(kept, lambda e: e.isNotNull())
 
     placed = F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"), e["value"].alias("value")))
-    return F.get(F.transform(F.array(F.array_sort(placed)), last_of_runs), F.lit(0))
+    return F.get(F.transform(F.array(F.sort_array(placed)), last_of_runs), F.lit(0))
 
 
 def multi_currency(offer_list: Column) -> Column:
@@ -146,14 +146,13 @@ def currency(offer_list: Column, default: str = "USD") -> Column:
 
 def price_spans(html: Column) -> Column:
     """Displayed prices by currency, whatever markup stands inside the span."""
-    entries = F.transform(
+    marked = F.transform(
         elements.spans(html),
-        lambda s: F.struct(
-            F.upper(F.regexp_extract(text.strip(elements.attribute(s["open"], "data-cy")), PRICE_MARK, 1)).alias("key"),
-            money.amount_in_text(text.visible_text(s["text"])).alias("value"),
-        ),
+        lambda s: F.struct(F.upper(F.regexp_extract(text.strip(elements.attribute(s["open"], "data-cy")), PRICE_MARK, 1)).alias("key"), s.alias("span")),
     )
-    return F.map_from_entries(_last_per_key(F.filter(entries, lambda e: (e["key"] != "") & e["value"].isNotNull())))
+    priced = F.filter(marked, lambda m: m["key"] != "")
+    entries = F.transform(priced, lambda m: F.struct(m["key"].alias("key"), money.amount_in_text(elements.shown(m["span"])).alias("value")))
+    return F.map_from_entries(_last_per_key(F.filter(entries, lambda e: e["value"].isNotNull())))
 
 
 def detail_list(html: Column) -> Column:

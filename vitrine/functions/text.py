@@ -70,7 +70,12 @@ def strip_tags(text: Column) -> Column:
 
 def visible_text(markup: Column) -> Column:
     """Markup to plain text: tags out, references resolved, white space normalised."""
-    return collapse_whitespace(unescape_entities(F.regexp_replace(markup, TAG, " ")))
+    return plain_text(F.regexp_replace(markup, TAG, " "))
+
+
+def plain_text(text: Column) -> Column:
+    """Text without tags: references resolved, white space normalised."""
+    return collapse_whitespace(unescape_entities(text))
 
 
 def sanitize(text: Column) -> Column:
