@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.sources.tables import read_parquet
+from vitrine.workspace import partitions_for
 
 HOST = "www.market.example"
 
@@ -168,9 +169,15 @@ PAGE_HTML = f"""concat('<!DOCTYPE html><html><head><script>var a = "x";</script>
  '</body></html>')"""
 
 
+# A row of `part` takes a few bytes of a file that is read as one split, and becomes a page that takes milliseconds to read.
+PART_BYTES = 128 << 10
+
+
 def product_pages(spark: SparkSession, sf: str) -> DataFrame:
-    part = read_parquet(spark, sf, "part")
-    return part.select(F.col("p_partkey").alias("id"), F.expr(LISTING_URL).alias("url"), F.expr(PAGE_HTML).alias("html"))
+    """One page per part, made in tasks of about `PART_BYTES` of the table."""
+    part = read_parquet(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    spread = part.repartition(partitions_for(part, PART_BYTES), "p_partkey")
+    return spread.select(F.col("p_partkey").alias("id"), F.expr(LISTING_URL).alias("url"), F.expr(PAGE_HTML).alias("html"))
 
 
 # --- collected documents -------------------------------------------------------------------------
