@@ -83,3 +83,13 @@ def test_rewriting_a_chunk_replaces_only_it(spark, tmp_path):
     table = sinks.write_products(rows.where("chunk_id = 2").withColumn("v", F.lit("new")), str(tmp_path / "p"))
     got = table.read().collect()  # readers follow the manifest
     assert {r["product_id"]: r["v"] for r in got} == {"f_1": "old", "f_2": "new"}
+
+
+def test_documents_of_one_file_each_are_written_by_several_tasks(spark):
+    from vitrine.plans import files as plans
+
+    rows = spark.range(350).coalesce(1).selectExpr("CONCAT('d', id) AS value", "id % 2 AS instance_", "id % 5 AS chunk_")
+    path = plans._write_documents(spark, "", one_per_file=True, rows=rows)
+    found = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).selectExpr("value", "_metadata.file_path AS f")
+    assert sorted(r["value"].strip() for r in found.collect()) == sorted(f"d{i}" for i in range(350))
+    assert found.selectExpr("regexp_extract(f, 'part-([0-9]+)-', 1) AS task").distinct().count() > 1
