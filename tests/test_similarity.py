@@ -89,3 +89,19 @@ def test_a_prefix_leaves_out_frequent_terms(spark):
 def test_no_rows(spark):
     df = spark.createDataFrame([], "url string, terms array<string>")
     assert similarity.clusters(df, "url", "terms").count() == 0
+
+
+def test_candidates_are_not_shuffled(spark, monkeypatch):
+    """A pair is weighed where its entries meet: the written links stand on one join by term, without a distinct or a join by node above it."""
+    import plans
+
+    vectors = similarity.weighted(similarity.nodes(spark.createDataFrame(listings(3), "url string, terms array<string>"), "url", "terms"))
+    written = plans.record_writes(monkeypatch)
+    monkeypatch.setattr(similarity, "GROUP", 5)
+    got = {(r["a"], r["b"]) for r in similarity.links(vectors, 0.5).collect()}
+    sets = {}
+    for url, terms in sorted(listings(3)):
+        if any(terms or []):
+            sets.setdefault(frozenset(t for t in terms if t), url)
+    assert got == set(plain_links({url: set(key) for key, url in sets.items()}, 0.5))
+    assert "hashpartitioning(a#" not in written[-1] and "hashpartitioning(b#" not in written[-1]

@@ -14,10 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.workspace import stage
+from vitrine.workspace import partitions_for, stage
 
 #: Whole units of similarity in one.
 UNIT = 1_000_000
+#: Entries of a term for each task that weighs its pairs, and the most such tasks of one term.
+GROUP, MOST_PARTS = 2048, 64
 
 
 def nodes(df: DataFrame, key: str, terms: str) -> DataFrame:
@@ -49,13 +51,21 @@ def prefix(vector: Column, least: float) -> Column:
 
 
 def links(vectors: DataFrame, least: float) -> DataFrame:
-    """A written table (a, b, similarity) of the node pairs, a < b, whose cosine is at least `least`; similarity in units of 1 / `UNIT`, rounded."""
-    vectors = stage(vectors, "vectors")
-    index = vectors.select("node", F.explode(prefix(F.col("vector"), least)).alias("term"))
-    pairs = index.select(F.col("node").alias("a"), "term").join(index.select(F.col("node").alias("b"), "term"), "term").where("a < b")
-    pairs = pairs.select("a", "b").distinct()
-    found = pairs.join(vectors.select(F.col("node").alias("a"), F.map_from_entries("vector").alias("of_a")), "a")
-    found = found.join(vectors.select(F.col("node").alias("b"), F.col("vector").alias("of_b")), "b")
+    """A written table (a, b, similarity) of the node pairs, a < b, whose cosine is at least `least`; similarity in units of 1 / `UNIT`, rounded.
+
+    The index holds the vectors, so a pair is weighed where its two entries meet, and at the first term that both are entered under alone:
+    candidates are neither written nor shuffled, what is moved grows with the entries. A frequent term's pairs are dealt to several tasks.
+    """
+    entries = stage(vectors.select("node", "vector", prefix(F.col("vector"), least).alias("prefix")), "entries")
+    index = entries.select("node", "vector", "prefix", F.explode("prefix").alias("term"))
+    dealt = index.groupBy("term").agg(F.least(F.ceil(F.count(F.lit(1)) / GROUP), F.lit(MOST_PARTS)).cast("int").alias("parts"))
+    index = index.join(dealt, "term")
+    left = index.select("term", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), F.col("node").alias("a"), F.col("prefix").alias("prefix_a"),
+                        F.map_from_entries("vector").alias("of_a"))
+    right = index.select("term", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("node").alias("b"), F.col("prefix").alias("prefix_b"), F.col("vector").alias("of_b"))
+    # terms have one order in all vectors, so the first common one is the same seen from either side
+    tasks = partitions_for(entries, 1 << 20)  # few bytes stand for many pairs
+    found = left.repartition(tasks, "term", "part").join(right.repartition(tasks, "term", "part"), ["term", "part"]).where("a < b").where(F.get(F.array_intersect("prefix_a", "prefix_b"), F.lit(0)) == F.col("term"))
     cosine = F.aggregate("of_b", F.lit(0.0), lambda s, t: s + F.coalesce(F.try_element_at("of_a", t["term"]) * t["w"], F.lit(0.0)))
     units = F.round(cosine * UNIT).cast("long")
     return stage(found.select("a", "b", units.alias("similarity")).where(F.col("similarity") >= round(least * UNIT)), "links")
