@@ -155,3 +155,29 @@ def test_detail_list_keeps_the_last_value(spark):
 def test_privacy(spark):
     df = spark.createDataFrame([("f_1", "t", "1", "c")], "product_id string, title string, price string, category string")
     assert quality.without_private(df).columns == ["product_id", "category"]
+
+
+ELEMENTS = "(script|style)"  # in a plan, once for each search for elements of the page
+
+
+@pytest.mark.parametrize("name, searches", [("spec_dimensions", 0), ("spec_period", 1), ("spec_condition", 1), ("spec_style_origin", 1), ("pricing_usd", 1), ("extract_products", 1)])
+def test_queries_compute_only_the_fields_they_read(spark, small, name, searches):
+    import __spark_entry__ as entry
+
+    assert entry.queries()[name](spark, small)._jdf.queryExecution().optimizedPlan().toString().count(ELEMENTS) == searches
+
+
+def test_wanted_fields_are_as_in_the_whole_product(spark):
+    df = spark.createDataFrame([(i, URL, p) for i, p in enumerate([
+        page([product(), CRUMBS]), page("{", body="<ul><li>Period: 1960s<li>Style: Art Deco</ul>"), page(), page(product(offers=None, description=None))])], "i int, url string, html string")
+    whole = extraction.extract_products(df).orderBy("i")
+    data = whole.schema["data"].dataType
+    names = [(f"data.{g.name}.{f.name}", f.name) for g in data if hasattr(g.dataType, "fields") for f in g.dataType] + [("data.images", "images"), ("data.category_breadcrumb", "category_breadcrumb")]
+    for part in (names[::2], names[1::2]):
+        some = extraction.extract_products(df, fields=[name for _, name in part]).orderBy("i")
+        read = lambda t: [r.asDict(recursive=True) for r in t.select("i", "url", "extraction_status", "failure_reason", *[F.col(place).alias(name) for place, name in part]).collect()]  # noqa: E731,B023
+        assert read(some) == read(whole)
+        assert extraction.flatten_extracted(some).columns == ["url", "extraction_status", *[name for _, name in part]]
+    assert extraction.flatten_extracted(whole).columns == ["url", "extraction_status", *[name for _, name in names]]
+    with pytest.raises(ValueError):
+        extraction.extract_products(df, fields=["nothing"])

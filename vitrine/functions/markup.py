@@ -43,15 +43,27 @@ def as_variant_list(value: Column) -> Column:
     )
 
 
-def jsonld_nodes(texts: Column) -> Column:
+def parsed_blocks(texts: Column) -> Column:
+    """Every block as VARIANT, null if it is not JSON."""
+    return F.transform(texts, F.try_parse_json)
+
+
+def nodes_of(blocks: Column) -> Column:
     """All objects of all blocks that parse, in page order."""
-    parsed = F.filter(F.transform(texts, F.try_parse_json), lambda v: v.isNotNull())
-    return F.flatten(F.transform(parsed, as_variant_list))
+    return F.flatten(F.transform(F.filter(blocks, lambda v: v.isNotNull()), as_variant_list))
 
 
-def broken_blocks(texts: Column) -> Column:
+def unparsed(blocks: Column) -> Column:
     """Number of blocks that are not JSON."""
-    return F.size(F.filter(texts, lambda t: F.try_parse_json(t).isNull()))
+    return F.size(F.filter(blocks, lambda v: v.isNull()))
+
+
+def jsonld_nodes(texts: Column) -> Column:
+    return nodes_of(parsed_blocks(texts))
+
+
+def broken_blocks(texts: Column) -> Column:
+    return unparsed(parsed_blocks(texts))
 
 
 def node_type(node: Column) -> Column:

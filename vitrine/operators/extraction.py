@@ -6,8 +6,11 @@ nodes, offers) is computed once per page. Nothing here shuffles.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitrine.functions import markup, money, text, urls
 from vitrine.operators.quality import truthy, truthy_list
@@ -19,10 +22,8 @@ EXTRACTOR_VERSION = "1.0.0"
 def parse_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Add the parsed parts of each page: product node, breadcrumb node, offers, details."""
     page = F.col(html)
-    df = pages.withColumn("_texts", markup.jsonld_texts(page))
-    df = df.withColumns(
-        {"_nodes": markup.jsonld_nodes(F.col("_texts")), "broken_blocks": markup.broken_blocks(F.col("_texts"))}
-    )
+    df = pages.withColumn("_blocks", markup.parsed_blocks(markup.jsonld_texts(page)))
+    df = df.withColumns({"_nodes": markup.nodes_of(F.col("_blocks")), "broken_blocks": markup.unparsed(F.col("_blocks"))})
     df = df.withColumns(
         {
             "_product": markup.first_of_type(F.col("_nodes"), "Product"),
@@ -38,11 +39,21 @@ def parse_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
             "_title": markup.title(F.col("_product"), page),
         }
     )
-    return df.drop("_texts", "_nodes")
+    return df.drop("_blocks", "_nodes")
+
+
+def _chosen(columns: dict[str, Column], fields: Sequence[str] | None) -> Column | None:
+    """A struct of the columns that are wanted; none if there are none."""
+    kept = [c.alias(name) for name, c in columns.items() if fields is None or name in fields]
+    return F.struct(*kept) if kept else None
+
 
+def extract_products(pages: DataFrame, url: str = "url", html: str = "html", fields: Sequence[str] | None = None) -> DataFrame:
+    """One nested product row per page. Pages that cannot be read keep their row, with a status and reason.
 
-def extract_products(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """One nested product row per page. Pages that cannot be read keep their row, with a status and reason."""
+    fields: names of the fields in `data` that are wanted, else all. Where two fields of a struct are read, Spark computes the whole
+    struct first, so a query that reads a few names them here; what is not named is not there.
+    """
     df = parse_pages(pages, url, html)
     product, offers, details = F.col("_product"), F.col("_offers"), F.col("_details")
     desc, spans = F.col("_description"), F.col("_spans")
@@ -53,36 +64,39 @@ def extract_products(pages: DataFrame, url: str = "url", html: str = "html") ->
     reason = F.when(product.isNull() & (F.col("broken_blocks") > 0), F.lit("parse_error")).when(
         F.col("_title").isNull(), F.lit("no_title")
     )
-    info = F.struct(
-        F.col("_title").alias("title"),
-        urls.product_id(F.col(url)).alias("product_id"),
-        desc.alias("description"),
-        markup.brand(product).alias("brand"),
-        markup.availability(offers).alias("availability"),
-    )
-    specs = F.struct(
-        F.coalesce(markup.field(product, "productionDate"), F.try_element_at(details, F.lit("Period"))).alias("period"),
-        markup.field(product, "category").alias("category"),
-        markup.condition(raw_condition).alias("condition"),
-        raw_condition.alias("condition_raw"),
-        markup.dimensions(desc).alias("dimensions"),
-        markup.materials(desc).alias("materials"),
-        markup.style(details, desc).alias("style"),
-        markup.origin(details, desc).alias("origin"),
-    )
+    info = {
+        "title": F.col("_title"),
+        "product_id": urls.product_id(F.col(url)),
+        "description": desc,
+        "brand": markup.brand(product),
+        "availability": markup.availability(offers),
+    }
+    specs = {
+        "period": F.coalesce(markup.field(product, "productionDate"), F.try_element_at(details, F.lit("Period"))),
+        "category": markup.field(product, "category"),
+        "condition": markup.condition(raw_condition),
+        "condition_raw": raw_condition,
+        "dimensions": markup.dimensions(desc),
+        "materials": markup.materials(desc),
+        "style": markup.style(details, desc),
+        "origin": markup.origin(details, desc),
+    }
     currencies = markup.multi_currency(offers)
-    pricing = F.struct(
-        F.when(listed_price.isNotNull(), F.lit("USD")).otherwise(markup.currency(offers)).alias("currency"),
-        listed_price.alias("price"),
-        F.coalesce(currencies, spans).alias("multi_currency"),
-    )
-    data = F.struct(
-        info.alias("product_info"),
-        specs.alias("specifications"),
-        pricing.alias("pricing"),
-        F.coalesce(markup.images(product), F.array().cast("array<string>")).alias("images"),
-        markup.breadcrumb(F.col("_crumbs"), F.col(html)).alias("category_breadcrumb"),
-    )
+    pricing = {
+        "currency": F.when(listed_price.isNotNull(), F.lit("USD")).otherwise(markup.currency(offers)),
+        "price": listed_price,
+        "multi_currency": F.coalesce(currencies, spans),
+    }
+    lists = {
+        "images": F.coalesce(markup.images(product), F.array().cast("array<string>")),
+        "category_breadcrumb": markup.breadcrumb(F.col("_crumbs"), F.col(html)),
+    }
+    unknown = set(fields or ()) - {name for group in (info, specs, pricing, lists) for name in group}
+    if unknown:
+        raise ValueError(f"no fields of a product: {sorted(unknown)}")
+    groups = {"product_info": _chosen(info, fields), "specifications": _chosen(specs, fields), "pricing": _chosen(pricing, fields)}
+    groups |= {name: c for name, c in lists.items() if fields is None or name in fields}
+    data = F.struct(*[c.alias(name) for name, c in groups.items() if c is not None])
     kept = [c for c in pages.columns if c not in (url, html)]
     return df.select(
         *kept,
@@ -107,23 +121,18 @@ def envelope(products: DataFrame, container: Column, at: Column, duration_ms: Co
     return products.select("url", "extraction_status", "data", meta.alias("extraction_metadata"))
 
 
-def land_products(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+def land_products(pages: DataFrame, url: str = "url", html: str = "html", fields: Sequence[str] | None = None) -> DataFrame:
     """Extract once into a Parquet table. Filters and explodes then read the stored fields
-    instead of being pushed below the extraction, which would parse every page again."""
-    return stage(extract_products(pages, url, html), "products")
+    instead of being pushed below the extraction, which would parse every page again.
+    What is stored is computed for every page, so name the fields that are read afterwards."""
+    return stage(extract_products(pages, url, html, fields), "products")
 
 
 def flatten_extracted(products: DataFrame) -> DataFrame:
-    """The typed nested product as a flat row."""
-    return products.select(
-        "url",
-        "extraction_status",
-        "data.product_info.*",
-        "data.specifications.*",
-        "data.pricing.*",
-        "data.images",
-        "data.category_breadcrumb",
-    )
+    """The typed nested product as a flat row of the fields that were extracted."""
+    fields = products.schema["data"].dataType.fields
+    flat = [f"data.{f.name}.*" if isinstance(f.dataType, T.StructType) else f"data.{f.name}" for f in fields]
+    return products.select("url", "extraction_status", *flat)
 
 
 PLACES = {

@@ -61,7 +61,8 @@ def validate_product(spark, sf):
         d["product_info"].isNotNull(), d["product_info"]["product_id"], d["images"],
         d["pricing"]["multi_currency"], d["pricing"]["price"], d["product_info"]["title"], d["product_info"]["description"],
     )
-    products = extraction.extract_products(I.product_pages(spark, sf))
+    read = ["product_id", "title", "description", "multi_currency", "price", "images"]
+    products = extraction.extract_products(I.product_pages(spark, sf), fields=read)
     return products.select("id", F.array_join(failures, "|").alias("failures"))
 
 
@@ -106,5 +107,6 @@ def chunk_health_flags(spark, sf):
 @query("pii_free_projection", f"""SELECT 'f_' || p_partkey AS product_id, CASE WHEN {P.SQL_HAS_NODE} THEN p_type END AS category,
  CASE WHEN {P.SQL_HAS_NODE} THEN 'Used' ELSE 'Good' END AS condition FROM part""")
 def pii_free_projection(spark, sf):
-    flat = extraction.flatten_extracted(extraction.extract_products(I.product_pages(spark, sf)))
-    return quality.without_private(flat.select("product_id", "title", "brand", "price", "multi_currency", "category", "condition"))
+    read = ["product_id", "title", "brand", "price", "multi_currency", "category", "condition"]
+    flat = extraction.flatten_extracted(extraction.extract_products(I.product_pages(spark, sf), fields=read))
+    return quality.without_private(flat.select(*read))

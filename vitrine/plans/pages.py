@@ -31,8 +31,9 @@ def _pages(spark, sf):
     return I.product_pages(spark, sf)
 
 
-def _products(spark, sf):
-    return extraction.extract_products(_pages(spark, sf))
+def _products(spark, sf, *fields):
+    """Extracted products with the fields that a query reads; all, if it names none."""
+    return extraction.extract_products(_pages(spark, sf), fields=fields or None)
 
 
 def _flat(spark, sf):
@@ -91,7 +92,7 @@ def product_availability(spark, sf):
 
 @query("spec_period", _part(f"CASE WHEN {SQL_HAS_NODE} THEN (1900 + p_partkey % 10 * 10) || 's' ELSE '1960s' END AS period, true AS is_period"))
 def spec_period(spark, sf):
-    return _products(spark, sf).select("id", "data.specifications.period", M.is_period(F.col("data.specifications.period")).alias("is_period"))
+    return _products(spark, sf, "period").select("id", "data.specifications.period", M.is_period(F.col("data.specifications.period")).alias("is_period"))
 
 
 @query("spec_category", _part(f"CASE WHEN {SQL_HAS_NODE} THEN p_type END AS category"))
@@ -102,13 +103,13 @@ def spec_category(spark, sf):
 @query("spec_condition", _part(f"CASE WHEN {SQL_HAS_NODE} THEN 'Used' ELSE 'Good' END AS condition, "
        f"CASE WHEN {SQL_HAS_NODE} THEN 'UsedCondition' ELSE 'Good' END AS condition_raw"))
 def spec_condition(spark, sf):
-    return _products(spark, sf).select("id", "data.specifications.condition", "data.specifications.condition_raw")
+    return _products(spark, sf, "condition", "condition_raw").select("id", "data.specifications.condition", "data.specifications.condition_raw")
 
 
 @query("spec_dimensions", _part(f"CASE WHEN {SQL_NAMED} THEN p_size || ' 1/2 inches' END AS height, "
        f"CASE WHEN {SQL_NAMED} THEN (p_size + 10) || ' inches' END AS width, CAST(NULL AS VARCHAR) AS depth"))
 def spec_dimensions(spark, sf):
-    return _products(spark, sf).select("id", "data.specifications.dimensions.*")
+    return _products(spark, sf, "dimensions").select("id", "data.specifications.dimensions.*")
 
 
 @query("spec_materials", _part(f"CASE WHEN NOT {SQL_NAMED} THEN '' WHEN p_partkey % 2 = 0 THEN 'Walnut, Brass' "
@@ -129,7 +130,7 @@ def document_materials(spark, sf):
 
 @query("spec_style_origin", _part(f"CASE WHEN {SQL_NAMED} THEN 'Art Deco' END AS style, 'France' AS origin"))
 def spec_style_origin(spark, sf):
-    return _products(spark, sf).select("id", "data.specifications.style", "data.specifications.origin")
+    return _products(spark, sf, "style", "origin").select("id", "data.specifications.style", "data.specifications.origin")
 
 
 @query("html_detail_list", _part("CASE WHEN p_partkey % 3 = 1 THEN 4 ELSE 3 END AS entries, '1960s' AS period, 'France' AS place"))
@@ -152,7 +153,7 @@ def pricing_multi_currency(spark, sf):
 
 @query("pricing_usd", _part(f"{SQL_PRICE} AS price, 'USD' AS currency"))
 def pricing_usd(spark, sf):
-    return _products(spark, sf).select("id", "data.pricing.price", "data.pricing.currency")
+    return _products(spark, sf, "price", "currency").select("id", "data.pricing.price", "data.pricing.currency")
 
 
 @query("image_urls", _part(f"CASE WHEN {SQL_HAS_NODE} THEN array_to_string({SQL_IMAGE_LIST}, '|') ELSE '' END AS images"))
@@ -170,7 +171,7 @@ def breadcrumb(spark, sf):
  {SQL_DESCRIPTION} AS description, {SQL_PRICE} AS price, CASE WHEN {SQL_HAS_NODE} THEN p_type END AS category,
  CASE WHEN {SQL_HAS_NODE} THEN {SQL_IMAGES} ELSE 0 END AS images"""))
 def extract_products(spark, sf):
-    return _products(spark, sf).select(
+    return _products(spark, sf, "product_id", "title", "description", "price", "category", "images").select(
         "id", "extraction_status", "failure_reason", "data.product_info.product_id", "data.product_info.title",
         "data.product_info.description", "data.pricing.price", "data.specifications.category",
         F.size("data.images").alias("images"),
