@@ -167,6 +167,18 @@ def test_queries_compute_only_the_fields_they_read(spark, small, name, searches)
     assert entry.queries()[name](spark, small)._jdf.queryExecution().optimizedPlan().toString().count(ELEMENTS) == searches
 
 
+@pytest.mark.parametrize("name, searches, stored", [
+    ("ds_taxonomy", 1, ["product_id", "period", "category", "materials", "style", "images"]), ("ds_image_pairs", 0, ["product_id", "category", "images"])])
+def test_what_is_landed_is_read(spark, small, monkeypatch, name, searches, stored):
+    import __spark_entry__ as entry
+
+    landed = []
+    monkeypatch.setattr(extraction, "stage", lambda df, label: landed.append(df) or df)
+    entry.queries()[name](spark, small)
+    assert [c for c in extraction.flatten_extracted(landed[0]).columns if c not in ("url", "extraction_status")] == stored
+    assert landed[0]._jdf.queryExecution().optimizedPlan().toString().count(ELEMENTS) == searches
+
+
 def test_wanted_fields_are_as_in_the_whole_product(spark):
     df = spark.createDataFrame([(i, URL, p) for i, p in enumerate([
         page([product(), CRUMBS]), page("{", body="<ul><li>Period: 1960s<li>Style: Art Deco</ul>"), page(), page(product(offers=None, description=None))])], "i int, url string, html string")

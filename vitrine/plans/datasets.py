@@ -20,8 +20,9 @@ def _features(spark, sf):
     return U.with_url_features(I.url_rows(spark, sf))
 
 
-def _flat(spark, sf):
-    return extraction.flatten_extracted(extraction.land_products(I.product_pages(spark, sf)))
+def _flat(spark, sf, *fields):
+    """Flat products with the fields that a query reads."""
+    return extraction.flatten_extracted(extraction.land_products(I.product_pages(spark, sf), fields=fields))
 
 
 @query("ds_category", f"{features_sql()} SELECT url, item_description, all_terms, primary_category, secondary_category FROM features")
@@ -97,7 +98,7 @@ def ds_balanced_sample(spark, sf):
 @query("ds_image_pairs", f"""SELECT 'f_' || p_partkey AS product_id, i - 1 AS image_index, 'https://cdn.market.example/' || p_partkey || '_' || i || '.jpg' AS image, p_type AS label
  FROM (SELECT *, unnest(range(1, 1 + {P.SQL_IMAGES})) AS i FROM part WHERE {P.SQL_HAS_NODE})""")
 def ds_image_pairs(spark, sf):
-    return training.image_pairs(_flat(spark, sf))
+    return training.image_pairs(_flat(spark, sf, "product_id", "category", "images"))
 
 
 SQL_MATERIAL_LABELS = f"CASE WHEN NOT {P.SQL_NAMED} THEN '' WHEN p_partkey % 2 = 0 THEN 'Walnut|Brass' ELSE 'Walnut|Glass' END"
@@ -110,7 +111,8 @@ SQL_STYLE_LABELS = f"concat_ws('|', CASE WHEN {P.SQL_NAMED} THEN 'Art Deco' END,
  UNION ALL SELECT product_id, image, 'style_period', s FROM l
  UNION ALL SELECT product_id, image, 'multi_label', concat_ws('|', c, nullif(m, ''), s) FROM l""")
 def ds_taxonomy(spark, sf):
-    rows = training.taxonomy(_flat(spark, sf)).withColumn("labels", F.array_join("labels", "|"))
+    products = _flat(spark, sf, "product_id", "category", "period", "materials", "style", "images")
+    rows = training.taxonomy(products).withColumn("labels", F.array_join("labels", "|"))
     return quality.without_private(rows, ["image", "label_set", "labels"])
 
 
