@@ -72,3 +72,19 @@ def test_paths(frame, least):
     found = patterns.frequent_paths(frame, "items", least, longest=3).collect()
     assert {tuple(r["path"]): r["n"] for r in found} == {p: n for p, n in counts.items() if n >= least}
     assert all(r["length"] == len(r["path"]) for r in found)
+
+
+def test_learners_get_few_rows_in_each_partition(spark, monkeypatch):
+    """The learners cache what they get as objects, so one file of short rows must not be one task."""
+    given = []
+    for learner, method in ((patterns.FPGrowth, "fit"), (patterns.PrefixSpan, "findFrequentSequentialPatterns")):
+        def recorded(self, df, original=getattr(learner, method)):
+            given.append(df.rdd.glom().map(len).collect())
+            return original(self, df)
+        monkeypatch.setattr(learner, method, recorded)
+    monkeypatch.setattr(patterns, "ROWS_PER_TASK", 25, raising=False)
+    df = spark.createDataFrame([(b,) for b in BASKETS[:4] * 200], "items array<string>").coalesce(1)
+    want = {c: 200 * n for c, n in plain_sets(BASKETS[:4], 2).items()}
+    assert {tuple(r["items"]): r["n"] for r in patterns.frequent_sets(df, "items", 400).collect()} == want
+    assert patterns.frequent_paths(df, "items", 400, longest=2).count() > 0
+    assert len(given) == 2 and all(sum(sizes) == 800 and max(sizes) <= 50 for sizes in given)

@@ -19,13 +19,22 @@ def _share(least: int, n: int) -> float:
     return min(1.0, max(0.0, (least - 0.5) / max(n, 1)))
 
 
+# Rows that a task of the learners keeps in memory, as objects: a file of short rows holds many more than its bytes tell.
+ROWS_PER_TASK = 50_000
+
+
+def _spread(staged: DataFrame, rows: int) -> DataFrame:
+    """The rows of a written table in partitions of about `ROWS_PER_TASK`. The learners of Spark cache the partitions they are given."""
+    return staged.repartition(max(partitions_for(staged), rows // ROWS_PER_TASK + 1))
+
+
 def frequent_sets(df: DataFrame, items: str, least: int) -> DataFrame:
     """(items, size, n): every set of items that at least `least` rows have, its items in order. Repeated items of a row count once; null items don't."""
     baskets = stage(df.select(F.array_sort(F.array_distinct(F.array_compact(F.col(items)))).alias("items")).where(F.size("items") > 0), "baskets")
     rows = baskets.count()
     if rows < least:
         return df.sparkSession.createDataFrame([], "items array<string>, size int, n long")
-    grown = FPGrowth(itemsCol="items", minSupport=_share(least, rows), numPartitions=partitions_for(baskets)).fit(baskets)
+    grown = FPGrowth(itemsCol="items", minSupport=_share(least, rows), numPartitions=partitions_for(baskets)).fit(_spread(baskets, rows))
     found = grown.freqItemsets.select(F.array_sort("items").alias("items"), F.size("items").alias("size"), F.col("freq").alias("n"))
     return stage(found, "itemsets")
 
@@ -61,7 +70,7 @@ def frequent_paths(df: DataFrame, path: str, least: int, longest: int = 5) -> Da
     if rows < least:
         return df.sparkSession.createDataFrame([], "path array<string>, length int, n long")
     span = PrefixSpan(minSupport=_share(least, rows), maxPatternLength=longest, sequenceCol="sequence")
-    found = span.findFrequentSequentialPatterns(steps).select(F.flatten("sequence").alias("path"), F.col("freq").alias("n"))
+    found = span.findFrequentSequentialPatterns(_spread(steps, rows)).select(F.flatten("sequence").alias("path"), F.col("freq").alias("n"))
     return found.select("path", F.size("path").alias("length"), "n")
 
 
