@@ -421,3 +421,25 @@ def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 101), (103, 101), (7, 7)]
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, 100: 100, 101: 100, 103: 100}
+
+
+def test_empty_partitions_make_no_large_groups():
+    """Random sets share hardly a signature; similar ones, differing as much as they may, still meet, at every size."""
+    r = np.random.default_rng(11)
+    draw = lambda n: np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+    _, shared = np.unique(np.concatenate([jaccard.signatures(draw(300)) for _ in range(3000)]), return_counts=True)
+    assert shared.max() <= 10  # 26 without spare partitions
+    for n in [*range(8, 420, 3)] * 6:
+        a = draw(n)
+        out = int(r.integers(0, 15 * len(a) // 115 + 1))
+        b = np.unique(np.concatenate([r.permutation(a)[out:], draw(max(0, (15 * len(a) - 100 * out) // 85))]))
+        if jaccard.similar(a, b):
+            assert np.intersect1d(jaccard.signatures(a), jaccard.signatures(b)).size
+
+
+def test_only_signature_and_id_are_shuffled_for_the_centers(spark):
+    sets = spark.createDataFrame([(i, [i % 7, i]) for i in range(50)], "id long, sigs array<long>")
+    stars = jaccard._stars(sets)
+    exchanges = [line for line in stars._jdf.queryExecution().optimizedPlan().toString().splitlines() if "RepartitionByExpression" in line]
+    assert len(exchanges) == 1 and stars._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {r["id"] for r in stars.collect()} | {r["center"] for r in stars.collect()} == set(range(50))

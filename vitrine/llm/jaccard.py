@@ -6,7 +6,9 @@ differ in at most k = 2 (1 - g) / (1 + g) r shingles.
 
 **Signatures.** The domain of shingles is hashed into k + 1 partitions. At most k of them can hold a difference, so similar sets
 agree in one partition at least: the subsets to enumerate are the single partitions, and a signature is the hash of what a set
-has in one of them. Sets that are equal are one class from the start.
+has in one of them. Sets that are equal are one class from the start. Empty partitions would make one signature of very many sets. With
+k + 1 + m partitions similar sets agree in m + 1 at least, so a set that has m empty ones at most needs no signatures of these: if two
+sets agreed in empty ones only, both would have m + 1 of them.
 
 **Candidates.** Of the classes with one signature, all are compared with one of them (first within a task, then over
 all tasks, so that a signature shared by very many is never gathered). Classes with a common signature that are still
@@ -92,6 +94,11 @@ def largest_difference(size: int, percent: int) -> int:
     return 2 * (100 - percent) * size // (100 + percent)
 
 
+def spare_partitions(k: int) -> int:
+    """m as above: few sets have more empty partitions, and few partitions are added."""
+    return 0 if k < 8 else 1 if k < 32 else 2
+
+
 def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     if not len(s):
         return np.empty(0, np.int64)
@@ -99,11 +106,15 @@ def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     limits = bands(percent, 1 << max(10, len(s).bit_length() + 1))
     out = []
     for instance in (band, band + 1):
-        parts = largest_difference(limits[instance][1], percent) + 1
+        k = largest_difference(limits[instance][1], percent)
+        spare = spare_partitions(k)
+        parts = k + 1 + spare
         place = (mix(s ^ np.uint64(instance)) % np.uint64(parts)).astype(np.int64)
         sums = np.zeros(parts, np.uint64)
         np.add.at(sums, place, mix(s + _P))
-        out.append(mix(sums ^ mix(np.arange(parts, dtype=np.uint64) + np.uint64(instance << 32))))
+        found = mix(sums ^ mix(np.arange(parts, dtype=np.uint64) + np.uint64(instance << 32)))
+        filled = np.bincount(place, minlength=parts) > 0
+        out.append(found[filled] if parts - filled.sum() <= spare else found)
     return np.concatenate(out).view(np.int64)
 
 
@@ -198,7 +209,8 @@ def _stars(prepared: DataFrame) -> DataFrame:
 
     found = prepared.where("sigs is not null").select("id", "sigs").mapInArrow(combined, "sig long, center long, id long")
     local = found.where("center <> id").select("sig", "center", "id")
-    firsts = found.where("center = id").select("sig", "id")
+    # shuffled before the window is built: the value it takes the least of is then computed afterwards and not shuffled along
+    firsts = found.where("center = id").select("sig", "id").repartition("sig")
     least = F.expr(f"min(struct(xxhash64(id, pmod(sig, {ORDERS})), id)) over (partition by sig)")["id"]  # a row for each task that has the signature
     across = firsts.withColumn("center", least).where("center <> id").select("sig", "center", "id")
     return local.unionByName(across)
