@@ -443,3 +443,47 @@ def test_only_signature_and_id_are_shuffled_for_the_centers(spark):
     exchanges = [line for line in stars._jdf.queryExecution().optimizedPlan().toString().splitlines() if "RepartitionByExpression" in line]
     assert len(exchanges) == 1 and stars._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert {r["id"] for r in stars.collect()} | {r["center"] for r in stars.collect()} == set(range(50))
+
+
+def test_decided_pairs_are_not_compared_again(spark):
+    """A center and the classes of its star were compared: of a star of one class nothing is left, and of others not the center."""
+    stars = [(1, 10, 20), (2, 10, 20), (2, 10, 30), (3, 10, 40), (3, 40, 50)]
+    got = jaccard._members(spark.createDataFrame(stars, "sig long, center long, id long"))
+    assert sorted(map(tuple, got.collect())) == [(2, 20), (2, 30), (3, 10), (3, 40), (3, 50)]
+
+
+def test_all_with_a_near_one_elsewhere_stay_open():
+    r = np.random.default_rng(3)
+    base = r.integers(0, 1 << 63, 200, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([r.permutation(base)[int(r.integers(0, 30)) :], r.integers(0, 1 << 63, int(r.integers(0, 20)), dtype=np.uint64)])) for _ in range(60)]
+    raw = [jaccard.sketch(s) for s in sets]
+    for size in (12, 60):  # few are compared one by one
+        at = list(range(size))
+        args = (at, [i % 5 // 2 for i in at], [len(s) for s in sets[:size]], [int.from_bytes(x, "little") for x in raw[:size]], [8 * len(x) for x in raw[:size]], [None] * size, at, at, 85)
+        all_pairs, none = jaccard.near_pairs(*args, True)
+        pairs, others = jaccard.near_pairs(*args, False)
+        assert not none and set(pairs) < set(all_pairs)
+        assert {i for pair in pairs for i in pair} | set(others) == {i for pair in all_pairs for i in pair}
+
+
+def test_only_texts_that_may_be_wanted_are_shuffled(spark):
+    docs = spark.range(20000).selectExpr("if(id = 7, null, id) as doc_id", "'a' as text")
+    wanted = docs.where("doc_id is null or doc_id % 1000 = 3").select("doc_id")
+    kept = [r["doc_id"] for r in jaccard._perhaps(docs, wanted, "doc_id").collect()]
+    assert {None, *range(3, 20000, 1000)} <= set(kept) and len(kept) < 100
+
+
+def test_a_shuffled_signature_takes_few_bytes(spark):
+    r = np.random.default_rng(5)
+    rows = [(i, jaccard.packed(jaccard.signatures(np.unique(r.integers(0, 1 << 63, 300, dtype=np.uint64))))) for i in range(400)]
+    stars = jaccard._stars(spark.createDataFrame(rows, "id long, sigs binary"))
+    sent = stars._jdf.queryExecution().optimizedPlan().toString()
+    assert "sigs#" in sent and "array<" not in stars.schema.simpleString()
+    want = {}
+    for i, raw in rows:
+        for s in jaccard.unpacked(raw).tolist():
+            want.setdefault(s, set()).add(i)
+    got = {}
+    for x in stars.collect():
+        got.setdefault(x["sig"], set()).update((x["center"], x["id"]))
+    assert got == {s: ids for s, ids in want.items() if len(ids) > 1} and all(len(raw) == 5 * len(jaccard.unpacked(raw)) for _, raw in rows)

@@ -28,12 +28,17 @@ from pyspark.sql import functions as F
 
 from vitrine.llm import rows
 from vitrine.llm.graph import components
+from vitrine.workspace import _input_bytes as input_bytes
 from vitrine.workspace import stage
 
 WORDS = 4
 PERCENT = 85
 #: Signatures that a task sorts at a time, and members of a signature that one task compares with as many others.
 SORTED = 1_000_000
+#: Bytes of a signature that are kept, bytes of input files for each shard of signatures, and the smallest number of shards.
+KEPT, SHARD_INPUT, SHARDS = 5, 64 << 20, 32
+#: Places of the bitmap that tells which texts may be wanted.
+PLACES = 1 << 23
 BLOCK = 2048
 ORDERS = 8
 #: Rounds in which unconnected classes are compared with their nearest one only; after them with all that are near.
@@ -44,9 +49,12 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 
 def mix(h: np.ndarray) -> np.ndarray:
     """A hash of 64 bits that looks random in all of them."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = h ^ (h >> np.uint64(30))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -61,8 +69,11 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     take = min(words, n)
     out = np.full(n - take + 1, take, np.uint64)
     for i in range(take):
-        out = mix(out * _P + h[i : n - take + 1 + i])
-    return np.unique(out)
+        out *= _P
+        out += h[i : n - take + 1 + i]
+    out = mix(out)
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def key_of(s: np.ndarray) -> bytes:
@@ -104,20 +115,34 @@ def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         return np.empty(0, np.int64)
     band = band_of(len(s), percent)
     limits = bands(percent, 1 << max(10, len(s).bit_length() + 1))
-    out = []
+    out, values = [], mix(s + _P)
     for instance in (band, band + 1):
         k = largest_difference(limits[instance][1], percent)
         spare = spare_partitions(k)
         parts = k + 1 + spare
         place = (mix(s ^ np.uint64(instance)) % np.uint64(parts)).astype(np.int64)
         sums = np.zeros(parts, np.uint64)
-        np.add.at(sums, place, mix(s + _P))
+        np.add.at(sums, place, values)
         found = mix(sums ^ mix(np.arange(parts, dtype=np.uint64) + np.uint64(instance << 32)))
         filled = np.bincount(place, minlength=parts) > 0
         out.append(found[filled] if parts - filled.sum() <= spare else found)
     return np.concatenate(out).view(np.int64)
 
 
+def packed(sigs: np.ndarray) -> bytes:
+    """The lowest bytes of each signature; sets that meet by these alone are ruled out like all others."""
+    return sigs.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :KEPT].tobytes()
+
+
+def unpacked(sigs: bytes | list[int]) -> np.ndarray:
+    """Of packed signatures, or of a list of them."""
+    if not isinstance(sigs, bytes):
+        return np.array(sigs, np.int64)
+    wide = np.zeros((len(sigs) // KEPT, 8), np.uint8)
+    wide[:, :KEPT] = np.frombuffer(sigs, np.uint8).reshape(-1, KEPT)
+    return wide.view("<i8")[:, 0]
+
+
 def sketch(s: np.ndarray) -> bytes:
     """Parities of the numbers of shingles that hash into each of at least twice as many places; a power of two, 64 at least."""
     bits = max(64, 1 << (2 * len(s)).bit_length())
@@ -165,55 +190,92 @@ def _prepared(documents: DataFrame, words: int, percent: int) -> DataFrame:
                 keys.append(key)
                 ids.append(int.from_bytes(key[:8], "little", signed=True))
                 sizes.append(len(s))
-                sigs.append(signatures(s, percent) if new else None)
+                sigs.append(packed(signatures(s, percent)) if new else None)
                 sketches.append(sketch(s) if new else None)
-            columns = [batch.column(0), batch.column(2), pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+            columns = [batch.column(0), batch.column(2), pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(sketches, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "key", "id", "n", "sigs", "sketch"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.mapInArrow(run, f"doc_id {kind}, text_hash long, key binary, id long, n long, sigs array<long>, sketch binary")
-
-
-def _stars(prepared: DataFrame) -> DataFrame:
+    return documents.mapInArrow(run, f"doc_id {kind}, text_hash long, key binary, id long, n long, sigs binary, sketch binary")
+
+
+def centers(sig: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(firsts, sig, center, id): places where a signature's first class stands, and the others, each with the first. Which is first
+    goes by one of `ORDERS` orders, chosen by the signature: a class that is linked with few of its group is then not the center everywhere."""
+    order = np.argsort(sig, kind="stable")
+    again = sig[order[1:]] == sig[order[:-1]]
+    shared = np.zeros(len(sig), bool)
+    shared[order[1:][again]] = True
+    shared[order[:-1][again]] = True
+    at = np.flatnonzero(shared)
+    turn = mix(own[at].view(np.uint64) ^ mix(sig[at].view(np.uint64) % np.uint64(ORDERS)))
+    at = at[np.lexsort((turn, sig[at]))]
+    first = np.ones(len(at), bool)
+    first[1:] = sig[at[1:]] != sig[at[:-1]]
+    center = own[at[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))]]
+    other = own[at] != center
+    return np.concatenate([np.flatnonzero(~shared), at[first]]), sig[at[other]], center[other], own[at[other]]
+
+
+def _stars(prepared: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(sig, center, id): the classes that share a signature with another one, each with the first of its task, these with
-    the first of all. Which is first goes by one of `ORDERS` orders, chosen by the signature: a class that is linked with few of
-    its group is then not the center everywhere."""
+    the first of all. Signatures go to shards in packed arrays, one of each task for each class, and a task's own stars to any shard."""
     def combined(batches):
         sig_parts, id_parts, held = [], [], 0
 
         def flush():
             sig, own = np.concatenate(sig_parts), np.concatenate(id_parts)
-            turn = mix(own.view(np.uint64) ^ mix(sig.view(np.uint64) % np.uint64(ORDERS))).view(np.int64)
-            order = np.lexsort((turn, sig))
-            sig, own = sig[order], own[order]
-            first = np.ones(len(sig), bool)
-            first[1:] = sig[1:] != sig[:-1]
-            center = own[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))]
-            keep = first | (own != center)
-            for i in range(0, len(sig), 100_000):
-                at = slice(i, i + 100_000)
-                arrays = [pa.array(x[at][keep[at]]) for x in (sig, center, own)]
-                yield pa.RecordBatch.from_arrays(arrays, ["sig", "center", "id"])
+            at, *star = centers(sig, own)
+            at.sort()  # signatures of one class are neighbours again
+            sig, own = sig[at], own[at]
+            shard = (sig % shards).astype(np.int32)
+            order = np.argsort(shard, kind="stable")
+            sig, own, cuts = sig[order], own[order], np.searchsorted(shard[order], np.arange(shards + 1))
+            dealt = (mix(star[2].view(np.uint64)) % np.uint64(shards)).astype(np.int32)  # a signature's star may be large: by its members
+            order = np.argsort(dealt, kind="stable")
+            triples, star_cuts = np.stack([x[order] for x in star], 1), np.searchsorted(dealt[order], np.arange(shards + 1))
+            out: list[list] = [[], [], [], []]
+            for s in range(shards):
+                i = slice(cuts[s], cuts[s + 1])
+                new = np.flatnonzero(np.concatenate([[True], own[i][1:] != own[i][:-1]])) if cuts[s] < cuts[s + 1] else np.empty(0, np.int64)
+                lengths = np.diff(np.append(new, cuts[s + 1] - cuts[s])).astype("<i4")
+                values = (s, packed(sig[i]), own[i][new].tobytes() + lengths.tobytes(), triples[star_cuts[s] : star_cuts[s + 1]].tobytes())
+                for column, value in zip(out, values):
+                    column.append(value)
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int32(), *[pa.binary()] * 3))], ["shard", "sigs", "owners", "stars"])
+
+        for batch in batches:
+            for own, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sig_parts.append(unpacked(raw))
+                id_parts.append(np.full(len(sig_parts[-1]), own, np.int64))
+                held += len(sig_parts[-1])
+                if held >= SORTED:
+                    yield flush()
+                    sig_parts, id_parts, held = [], [], 0
+        if held:
+            yield flush()
+
+    def across(batches):
+        def solve(sigs, owners, stars):
+            own = [np.repeat(np.frombuffer(o, np.int64, len(o) // 12), np.frombuffer(o, "<i4", len(o) // 12, len(o) // 12 * 8)) for o in owners]
+            _, *star = centers(np.concatenate([unpacked(x) for x in sigs]), np.concatenate(own))
+            local = np.frombuffer(b"".join(stars), np.int64).reshape(-1, 3).T
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x, y])) for x, y in zip(star, local)], ["sig", "center", "id"])
 
+        shard, held = None, []
         for batch in batches:
-            ids, sigs = batch.column(0).to_numpy(), batch.column(1)
-            lengths = sigs.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            sig_parts.append(sigs.flatten().to_numpy())
-            id_parts.append(np.repeat(ids, lengths))
-            held += len(sig_parts[-1])
-            if held >= SORTED:
-                yield from flush()
-                sig_parts, id_parts, held = [], [], 0
+            for s, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+                if s != shard and held:
+                    yield solve(*zip(*held))
+                    held = []
+                shard = s
+                held.append(rest)
         if held:
-            yield from flush()
+            yield solve(*zip(*held))
 
-    found = prepared.where("sigs is not null").select("id", "sigs").mapInArrow(combined, "sig long, center long, id long")
-    local = found.where("center <> id").select("sig", "center", "id")
-    # shuffled before the window is built: the value it takes the least of is then computed afterwards and not shuffled along
-    firsts = found.where("center = id").select("sig", "id").repartition("sig")
-    least = F.expr(f"min(struct(xxhash64(id, pmod(sig, {ORDERS})), id)) over (partition by sig)")["id"]  # a row for each task that has the signature
-    across = firsts.withColumn("center", least).where("center <> id").select("sig", "center", "id")
-    return local.unionByName(across)
+    found = prepared.where("sigs is not null").select("id", "sigs")
+    found = found.mapInArrow(combined, "shard int, sigs binary, owners binary, stars binary")
+    return found.repartition("shard").sortWithinPartitions("shard").mapInArrow(across, "sig long, center long, id long")
 
 
 def _kept_by_sketch(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -223,8 +285,14 @@ def _kept_by_sketch(pairs: DataFrame, sketches: DataFrame, percent: int) -> Data
             a, b, na, nb, sa, sb = (c.to_pylist() for c in batch.columns)
             keep = []
             for x, y, p, q in zip(sa, sb, na, nb):
-                far = int(distances([x], [y])[0, 0])
-                keep.append((100 + percent) * far <= (100 - percent) * (p + q) and 100 * min(p, q) >= percent * max(p, q))
+                if 100 * min(p, q) < percent * max(p, q):
+                    keep.append(False)
+                    continue
+                if len(x) == len(y):
+                    far = (int.from_bytes(x, "little") ^ int.from_bytes(y, "little")).bit_count()
+                else:
+                    far = int(distances([x], [y])[0, 0])
+                keep.append((100 + percent) * far <= (100 - percent) * (p + q))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = sketches.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
@@ -232,6 +300,16 @@ def _kept_by_sketch(pairs: DataFrame, sketches: DataFrame, percent: int) -> Data
     return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def _perhaps(source: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows of `source` whose `key` may be among those of `wanted`, without a shuffle: by a bitmap of a fixed size over hashes."""
+    place = F.pmod(F.xxhash64(key), F.lit(PLACES)) + 1
+    bits = wanted.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    at = F.bitmap_bit_position("place")
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    placed = source.withColumn("place", place).withColumn("bucket", F.bitmap_bucket_number("place"))
+    return placed.join(F.broadcast(bits), "bucket").where(F.getbit(byte, F.pmod(at, F.lit(8))) == 1).select(*source.columns)
+
+
 def _links(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b) keys of the classes that are similar, by their sets."""
     pairs = stage(pairs, "pairs")
@@ -244,7 +322,7 @@ def _links(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words: in
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     # a repeated doc_id may bring other texts along; the key tells them apart
-    source = documents.select(F.col("doc_id").alias("own_id"), "text")
+    source = _perhaps(documents.select("doc_id", "text"), wanted, "doc_id").select(F.col("doc_id").alias("own_id"), "text")
     texts = wanted.hint("shuffle_hash").join(source, wanted.doc_id.eqNullSafe(source.own_id)).select("id", "key", "text")
     texts = stage(texts.mapInArrow(own, "id long, key binary, text string").dropDuplicates(["key"]), "texts")
 
@@ -271,7 +349,7 @@ def _links(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words: in
 
 def near_pairs(ids, component, n, sketches: list[int], bits: list[int], failed: list, left, right, percent: int, every: bool):
     """(a, b) of members of two blocks (positions `left` and `right`) in different components that the sketches do not rule out: of each
-    member outside the largest component the nearest one, or all."""
+    member outside the largest component the nearest one, or all; and the members that have such pairs, but are in none of these."""
     sizes: dict = {}
     for c in component:
         sizes[c] = sizes.get(c, 0) + 1
@@ -303,7 +381,7 @@ def near_pairs(ids, component, n, sketches: list[int], bits: list[int], failed:
             elif component[x] != largest:
                 i = min(options)[1]
                 out.add((min(ids[x], i), max(ids[x], i)))
-        return sorted(out)
+        return sorted(out), sorted({ids[x] for x in found} - {i for pair in out for i in pair})
     raw = [_raw(sketches[x], bits[x]) for x in range(len(ids))]
     far = distances([raw[x] for x in left], [raw[x] for x in right])
     names = {c: k for k, c in enumerate(sizes)}
@@ -329,21 +407,33 @@ def near_pairs(ids, component, n, sketches: list[int], bits: list[int], failed:
         columns = np.flatnonzero(near.any(0) & (kind[right] != names[largest]))
         a = np.concatenate([rows_, cost[:, columns].argmin(0)]) if len(columns) else rows_
         b = np.concatenate([cost[rows_].argmin(1), columns]) if len(rows_) else columns
+    open_ = np.union1d(own[left][near.any(1)], own[right][near.any(0)])
     a, b = own[left][a], own[right][b]
-    return sorted(set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())))
+    return sorted(set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist()))), np.setdiff1d(open_, np.concatenate([a, b])).tolist()
 
 
 def _raw(sketch_: int, bits: int) -> bytes:
     return sketch_.to_bytes(bits // 8, "little")
 
 
-def _left_over(stars: DataFrame, together: DataFrame, sketches: DataFrame, failed: DataFrame | None, open_: DataFrame | None, every: bool, percent: int) -> DataFrame:
-    """(sig, a, b): pairs with a common signature that are not connected yet, not refuted, and not ruled out by their sketches."""
-    members = stars if open_ is None else stars.join(open_, "sig", "left_semi")
-    members = members.select("sig", F.explode(F.array("center", "id")).alias("id")).distinct()
+def _members(stars: DataFrame) -> DataFrame:
+    """(sig, id): the classes that must be compared with others of their signature. A pair of a center and a class of its star is decided
+    already, so stars of one class are left out, and so is a center that all others of the signature were compared with."""
+    kinds = stars.groupBy("sig").agg(F.min("center").alias("x"), F.max("center").alias("y"), F.count("*").alias("size"))
+    kinds = kinds.where("size > 1").select("sig", F.expr("x = y").alias("single"))
+    of = F.when(F.col("single"), F.array("id")).otherwise(F.array("center", "id"))
+    return stars.join(kinds, "sig").select("sig", F.explode(of).alias("id")).distinct()
+
+
+def _left_over(members: DataFrame, together: DataFrame, sketches: DataFrame, failed: DataFrame | None, every: bool, percent: int) -> DataFrame:
+    """(sig, a, b): pairs with a common signature that are not connected yet, not refuted, and not ruled out by their sketches; of each
+    class the nearest, or all. A class that has such pairs, but is in none of those chosen, comes with a null b."""
     members = members.join(together, "id", "left").withColumn("component", F.coalesce("component", F.col("id").cast("string")))
     members = stage(members, "members")
-    split = members.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x < y")
+    split = members.groupBy("sig").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"),
+        *[F.bit_xor(F.xxhash64(F.lit(salt), "id")).alias(f"same_{salt}") for salt in (1, 2)],
+    ).where("x < y").dropDuplicates(["size", "same_1", "same_2"])  # signatures of the same classes ask for the same
     split = stage(split.select("sig", F.expr("cast(ceil(size / %d) as long)" % BLOCK).alias("blocks")), "split")
     parts = members.join(split, "sig").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
     # every block meets every block of its signature, itself included, in one task for each two of them
@@ -363,8 +453,11 @@ def _left_over(stars: DataFrame, together: DataFrame, sketches: DataFrame, faile
         left = [k for k, b in enumerate(block) if b == cell[1]]
         right = left if cell[1] == cell[2] else [k for k, b in enumerate(block) if b == cell[2]]
         if left and right:
-            for a, b in near_pairs(ids, component, n, whole, bits, refuted, left, right, percent, every):
+            pairs, open_ = near_pairs(ids, component, n, whole, bits, refuted, left, right, percent, every)
+            for a, b in pairs:
                 yield cell[0], a, b
+            for a in open_:
+                yield cell[0], a, None
 
     def run(batches):
         cell, held = None, []
@@ -404,20 +497,23 @@ def join(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", words
     )
     classes = stage(classes, "classes")
     sketches = classes.select("id", "n", "sketch")
-    stars = stage(_stars(prepared), "stars")
+    stars = stage(_stars(prepared, max(SHARDS, input_bytes(documents) // SHARD_INPUT + 1)), "stars")
     pairs = stars.select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     links = _links(_kept_by_sketch(pairs, sketches, percent), classes, source, words, percent)
-    failed = open_ = None
+    failed, members = None, _members(stars)
     for turn in range(ROUNDS + 1):
         together = components(links).join(classes, F.col("node") == F.col("key")).select("id", F.hex("component").alias("component"))
-        found = stage(_left_over(stars, together, sketches, failed, open_, turn == ROUNDS, percent), "near")
+        found = stage(_left_over(members, together, sketches, failed, turn == ROUNDS, percent), "near")
         if found.isEmpty():
             break
-        more = _links(found.select("a", "b").distinct(), classes, source, words, percent)
+        near = found.where("b is not null").select("a", "b").distinct()
+        more = _links(near, classes, source, words, percent)
         named = more.join(classes.select(F.col("key").alias("a"), F.col("id").alias("x")), "a").join(classes.select(F.col("key").alias("b"), F.col("id").alias("y")), "b")
-        refuted = found.select("a", "b").distinct().join(named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), ["a", "b"], "left_anti")
+        refuted = near.join(named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), ["a", "b"], "left_anti")
         failed = stage(refuted if failed is None else refuted.unionByName(failed), "failed")
-        links, open_ = stage(links.unionByName(more), "links"), found.select("sig").distinct()
+        # what had no near one outside its component will have none: components only grow
+        members = found.select("sig", F.explode(F.array("a", "b")).alias("id")).where("id is not null").distinct()
+        links = stage(links.unionByName(more), "links")
     joined = components(links)
     whole = classes.join(joined, classes.key == joined.node, "left").select("key", F.coalesce("component", "key").alias("group"), "doc_id")
     least = stage(whole.groupBy("group").agg(F.min("doc_id").alias("component_id")), "least")
