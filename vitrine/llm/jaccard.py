@@ -144,8 +144,8 @@ def unpacked(sigs: bytes | list[int]) -> np.ndarray:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """Parities of the numbers of shingles that hash into each of at least twice as many places; a power of two, 64 at least."""
-    bits = max(64, 1 << (2 * len(s)).bit_length())
+    """Parities of the numbers of shingles that hash into each of more places than there are shingles; a power of two, 64 at least."""
+    bits = max(64, 1 << len(s).bit_length())
     odd = np.bincount((mix(s + np.uint64(77)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -439,7 +439,7 @@ def _left_over(members: DataFrame, together: DataFrame, sketches: DataFrame, fai
     # every block meets every block of its signature, itself included, in one task for each two of them
     cells = parts.select("sig", "id", "component", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     cells = cells.select("sig", "id", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
-    cells = cells.join(sketches, "id")
+    cells = cells.join(_perhaps(sketches, members, "id"), "id")  # after the first round few are left
     if failed is None:
         cells = cells.withColumn("failed", F.lit(None).cast("array<long>"))
     else:
