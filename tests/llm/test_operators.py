@@ -352,6 +352,33 @@ def test_suffix_arrays():
             assert shared[b] == (len(data) - max(a, b) >= least and data[a : a + least] == data[b : b + least])
 
 
+def test_reduced_texts_are_sorted_with_arrays(monkeypatch):
+    """Substrings that repeat are not sorted one by one."""
+    r = random.Random(6)
+    texts = [np.array([r.randint(0, k) for _ in range(n)]) for k, n in ((1, 300), (3, 500), (0, 50), (200, 400))] + [np.array([1, 2, 0, 3] * 60 + [1, 2, 0] * 40)]
+    monkeypatch.setattr(suffixes, "_one_by_one", None)
+    for t in texts:
+        assert suffixes.suffix_array(t).tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
+
+
+def test_anchors_of_many_texts_at_a_time(monkeypatch):
+    """A block of texts is one pass; no string reaches from a text into the next."""
+    r = random.Random(7)
+    texts = ["".join(r.choice("ab c") for _ in range(r.choice([0, 20, 49, 50, 51, 90, 400]))).encode() for _ in range(60)] + [b"ab" * 40, b"x" * 70]
+
+    alone = [(k, p, x) for k, t in enumerate(texts) for _, at, h in substrings.anchors([t]) for p, x in zip(at.tolist(), h.tolist())]
+    gram = {}
+    for k, p, x in alone:
+        assert p + 24 <= len(texts[k]) >= 50 and gram.setdefault(x, texts[k][p : p + 24]) == texts[k][p : p + 24]
+    for k, t in enumerate(texts):  # every string has one, and equal strings have theirs in the same places
+        places = [p for n, p, _ in alone if n == k]
+        assert all(any(j <= p <= j + 26 for p in places) for j in range(len(t) - 49))
+    passes, one = [], substrings._anchors
+    monkeypatch.setattr(substrings, "_anchors", lambda *a: passes.append(1) or one(*a))
+    assert [(k, p, x) for n, at, h in substrings.anchors(texts) for k, p, x in zip(n.tolist(), at.tolist(), h.tolist())] == alone
+    assert len(passes) == 1
+
+
 # ---- similarity join ----
 
 

@@ -42,14 +42,32 @@ ANCHORS, PIECES, SHARD_BYTES = 2_000_000, 32 << 20, 2 << 20
 #: Bytes of input files for each shard of hashes, and the smallest number of shards.
 SHARD_INPUT, SHARDS = 16 << 20, 32
 LAST = (1 << 63) - 1
+#: Bytes of short texts whose anchors are found at a time.
+BLOCK = 64 << 10
 #: An anchor that more documents have is hot: their pieces might be more than one suffix array holds.
 HOT = SHARD_BYTES // (2 * LENGTH - GRAM)
 #: In place of an anchor's place in its piece: the piece is one string.
 ALONE = -1
 
 
-def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of the grams that are smallest in some string of `length` bytes; equally small ones all count."""
+def anchors(texts: list[bytes], length: int = LENGTH):
+    """Yields (numbers of the texts, positions, hashes) of the grams that are smallest in some string of `length` bytes of a text; equally small
+    ones all count. Texts are taken together up to `BLOCK` bytes; a string doesn't reach from one into the next."""
+    i = 0
+    while i < len(texts):
+        first, size = i, 0
+        while i < len(texts) and (i == first or size + len(texts[i]) <= BLOCK):
+            size += len(texts[i])
+            i += 1
+        sizes = np.array([len(t) for t in texts[first:i]], np.int64)
+        ends = np.cumsum(sizes)
+        at, h = _anchors(b"".join(texts[first:i]), ends[:-1], length)
+        number = np.searchsorted(ends, at, side="right")
+        yield number + first, at - (ends - sizes)[number], h
+
+
+def _anchors(data: bytes, borders: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, hashes) of the anchors of `data`; no string reaches over a border."""
     n = len(data)
     if n < length:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -58,6 +76,7 @@ def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     h = np.zeros(grams, np.uint64)
     for k in range(0, GRAM, 8):
         h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[k : k + grams])
+    np.maximum(h, np.uint64(1), out=h)  # nothing stands for strings that are none
     width = length - GRAM + 1
 
     def sliding(x: np.ndarray, best) -> np.ndarray:
@@ -70,6 +89,8 @@ def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
         return best(out[: len(out) - rest], out[rest:]) if rest else out
 
     least = sliding(h, np.minimum)
+    over = (borders[:, None] - np.arange(1, length)).ravel()
+    least[over[(over >= 0) & (over < len(least))]] = 0
     wide = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
     at = np.flatnonzero(sliding(wide, np.maximum) == h)
     return at, h[at]
@@ -85,20 +106,26 @@ def merged(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin[new], end[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(end) - 1]])]
 
 
-def _bytes(text: str) -> bytes:
-    return text.encode("utf-8", "surrogatepass")
+def _utf8(column: pa.Array) -> list[bytes]:
+    return column.cast(pa.binary()).to_pylist()
 
 
-def _asked(texts: DataFrame, shards: int) -> DataFrame:
+def _lists(lengths: np.ndarray, values: np.ndarray, null: np.ndarray | None = None) -> pa.Array:
+    """Lists of whole numbers from their lengths and all of their values; those marked `null` are null."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    mask = None if null is None else pa.array(null)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()), mask=mask)
+
+
+def _asked(texts: DataFrame, shards: int, length: int) -> DataFrame:
     """Of texts without copies under another u, (shard, hashes, owners, direct): packed 5-byte hashes in runs for each document; `direct`: those that documents of one task share."""
     def run(batches):
-        held: list[tuple[int, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         seen: set[bytes] = set()
         count = 0
 
         def flush():
-            owner = np.concatenate([np.full(len(h), u, np.int64) for u, h in held])
-            h = np.concatenate([h for _, h in held])
+            owner, h = (np.concatenate([x[i] for x in held]) for i in (0, 1))
             order = np.argsort(h, kind="stable")
             h, owner = h[order], owner[order]
             first = np.concatenate([[True], h[1:] != h[:-1]])
@@ -123,19 +150,23 @@ def _asked(texts: DataFrame, shards: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(out["shard"], pa.int32()), *(pa.array(out[k], pa.binary()) for k in ("hashes", "owners", "direct", "direct_owners"))], ["shard", "hashes", "owners", "direct", "direct_owners"])
 
         for batch in batches:
-            for u, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = _bytes(text)
-                if (k := hashlib.md5(data).digest()) in seen:  # a repeated row: same text, same u
-                    continue
-                seen.add(k)
-                _, h = anchors(data)
-                if len(h):
-                    held.append((u, np.unique(h)))
-                    count += len(held[-1][1])
+            users, some = [], []
+            for u, data in zip(batch.column(0).to_pylist(), _utf8(batch.column(1))):
+                if (k := hashlib.md5(data).digest()) not in seen:  # else a repeated row: same text, same u
+                    seen.add(k)
+                    users.append(u)
+                    some.append(data)
+            users = np.array(users, np.int64)
+            for number, _, h in anchors(some, length):
+                order = np.lexsort((h, number))
+                number, h = number[order], h[order]
+                new = np.concatenate([[True], (number[1:] != number[:-1]) | (h[1:] != h[:-1])])[: len(h)]
+                held.append((users[number[new]], h[new]))
+                count += len(held[-1][1])
             if count >= ANCHORS:
                 yield flush()
                 held, count = [], 0
-        if held:
+        if count:
             yield flush()
 
     return texts.select("u", "text").mapInArrow(run, "shard int, hashes binary, owners binary, direct binary, direct_owners binary")
@@ -183,74 +214,119 @@ def _pieces(texts: DataFrame, length: int) -> DataFrame:
     """Pieces of text around the anchors that other documents have: (at, piece, id, u, place, more places), and (u, spans) of documents
     whose piece another document of the task with a smaller id has. Around a hot anchor, each string of `length` bytes is a piece of
     its own, with `at` = `ALONE`."""
-    def run(batches):
-        held: dict[tuple, list] = {}
-        spans: dict[tuple[int, int], list] = {}
-        size = 0
+    lead = length - GRAM
+    names, numbers = ["at", "piece", "id", "u", "place", "more", "spans"], ("at", "id", "u", "place")
+
+    def cut(batch):
+        """Tables (piece, at, id, u, place) of all pieces of a batch."""
+        u, id_ = (batch.column(c).to_numpy() for c in ("u", "id"))
+        texts = _utf8(batch.column("text"))
+
+        def keys(lists) -> np.ndarray:
+            """The packed hashes of each text, together with its number."""
+            packed = lists.flatten()
+            of = np.repeat(pa.compute.list_parent_indices(lists).to_numpy(), pa.compute.binary_length(packed).to_numpy() // 8)
+            return (of.astype(np.uint64) << np.uint64(40)) | np.frombuffer(b"".join(packed.to_pylist()), "<u8")
+
+        def among(key: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+            return ordered[np.minimum(np.searchsorted(ordered, key), len(ordered) - 1)] == key if len(ordered) else np.zeros(len(key), bool)
+
+        wanted, many = np.sort(keys(batch.column("answers"))), np.sort(keys(batch.column("hot")))
+        sizes = np.array([len(t) for t in texts], np.int64)
+        for number, place, h in anchors(texts, length):
+            out = []
+            key = (number.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24))
+            alone = among(key, many)
+            found = among(key, wanted) & ~alone
+            of, place_ = number[found], place[found]
+            begin = np.maximum(0, place_ - lead)
+            out.append((of, begin, np.minimum(place_ + length, sizes[of]), place_ - begin))
+            if alone.any():  # a string may hold several anchors: it is sent once
+                of, place_ = number[alone], place[alone]
+                begin = np.maximum(0, place_ - lead)
+                n = np.minimum(place_, sizes[of] - length) + 1 - begin
+                of, begin = np.repeat(of, n), np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+                of, begin = np.unique(np.stack([of, begin]), axis=1)
+                out.append((of, begin, begin + length, np.full(len(of), ALONE)))
+            for of, begin, end, at in out:
+                for i in range(0, len(of), 100_000):
+                    part = slice(i, i + 100_000)
+                    piece = pa.array([texts[k][b:e] for k, b, e in zip(*(x[part].tolist() for x in (of, begin, end)))], pa.binary())
+                    yield pa.table({"piece": piece, "at": at[part], "id": id_[of[part]], "u": u[of[part]], "place": begin[part]})
+
+    def sifted(held: list[pa.Table]):
+        """What has the smallest id of its piece, equal pieces side by side, and (id, u, begin, end) of the rest."""
+        rows_ = pa.concat_tables(held).combine_chunks()
+        same = rows_["piece"].combine_chunks().dictionary_encode().indices.to_numpy()
+        at, id_, u, place = (rows_[c].to_numpy() for c in numbers)
+        same = same.astype(np.int64) * (length + 2) + at + 1
+        order = np.lexsort((place, u, id_, same))
+        new = np.concatenate([[True], same[order][1:] != same[order][:-1]])
+        least = id_[order][np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        stays = np.empty(len(new), bool)
+        stays[order] = id_[order] == least
+        size = pa.compute.binary_length(rows_["piece"]).to_numpy()
+        return rows_.take(order[stays[order]]), np.stack([x[~stays] for x in (id_, u, place, place + size)])
+
+    def sent(rows_: pa.Table, spans: np.ndarray):
+        """Rows of sifted pieces, one for each document, and one of each document with spans."""
+        at, id_, u, place = (rows_[c].to_numpy() for c in numbers)
+        same = rows_["piece"].combine_chunks().dictionary_encode().indices.to_numpy()
+        head = np.flatnonzero(np.concatenate([[True], np.any([x[1:] != x[:-1] for x in (same, at, id_, u)], axis=0)]))
+        lengths = np.diff(np.append(head, len(place))) - 1
+        other = np.ones(len(place), bool)
+        other[head] = False
+        more = _lists(lengths, place[other], lengths == 0)
+        first = rows_.take(head)
+        columns = [first["at"], first["piece"], first["id"], first["u"], first["place"], more, pa.nulls(len(head), kinds[-1])]
+        table = pa.table([c.cast(k) for c, k in zip(columns, kinds)], names)
+        yield from table.combine_chunks().to_batches(20_000)
+        id_, u, begin, end = spans[:, np.lexsort((spans[2], spans[1], spans[0]))]
+        if len(u):
+            document = np.concatenate([[0], np.cumsum((id_[1:] != id_[:-1]) | (u[1:] != u[:-1]))])
+            apart = document * (2 << 31)  # spans of different documents never touch
+            begin_, end_ = merged(begin + apart, end + apart)
+            document_ = begin_ // (2 << 31)
+            head = np.unique(document, return_index=True)[1]
+            flat = np.stack([begin_, end_], 1).ravel() - np.repeat(document_, 2) * (2 << 31)
+            none = [pa.nulls(len(head), k) for k in kinds]
+            columns = [none[0], none[1], pa.array(id_[head]), pa.array(u[head]), none[4], none[5], _lists(2 * np.bincount(document_), flat)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()))
 
-        def flush():
-            keys = list(held)
-            for i in range(0, len(keys), 20_000):
-                part = keys[i : i + 20_000]
-                values = [held[k] for k in part]
-                yield rows_of(
-                    [k[1] for k in part], [k[2] for k in part], [v[0] for v in values], [v[1] for v in values],
-                    [v[2][0] for v in values], [v[2][1:] or None for v in values], [None] * len(part),
-                )
-            users = list(spans)
-            flat = [np.stack(merged(*np.array(spans[u], np.int64).T), 1).ravel().tolist() for u in users]
-            none = [None] * len(users)
-            yield rows_of(none, none, [i for _, i in users], [u for u, _ in users], none, none, flat)
-
-        def rows_of(*columns):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["at", "piece", "id", "u", "place", "more", "spans"])
-
-        kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+    def run(batches):
+        held: list[pa.Table] = []
+        spans, size, kept = [np.empty((4, 0), np.int64)], 0, 0
         for batch in batches:
-            for u, id_, text, hashes, hot in zip(*(c.to_pylist() for c in batch.columns)):
-                data = _bytes(text)
-                wanted, many = (np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in packed])) for packed in (hashes, hot))
-                place, h = anchors(data, length)
-                found = np.isin(h >> np.uint64(24), wanted)
-                alone = np.isin(h >> np.uint64(24), many)
-                cut = [(x, p - b, b, p + length) for p, x in zip(place[found & ~alone].tolist(), h[found & ~alone].view(np.int64).tolist()) for b in (max(0, p - (length - GRAM)),)]
-                # a string may hold several anchors: it is sent once
-                cut += [(0, ALONE, b, b + length) for b in sorted({b for p in place[alone].tolist() for b in range(max(0, p - (length - GRAM)), min(p, len(data) - length) + 1)})]
-                for x, at, begin, stop in cut:
-                    piece = data[begin:stop]
-                    key = (x, at, piece)
-                    entry = held.get(key)
-                    if entry is None:
-                        held[key] = [id_, u, [begin]]
-                        size += len(piece) + 200
-                    elif (entry[1], entry[0]) == (u, id_):
-                        entry[2].append(begin)
-                    elif entry[0] < id_:
-                        spans.setdefault((u, id_), []).append((begin, begin + len(piece)))
-                    elif entry[0] > id_:
-                        spans.setdefault((entry[1], entry[0]), []).extend((b, b + len(piece)) for b in entry[2])
-                        held[key] = [id_, u, [begin]]
-                    else:  # two documents with one id: neither is the smaller
-                        held.setdefault((*key, u), [id_, u, []])[2].append(begin)
-            if size >= PIECES:
-                yield from flush()
-                held, spans, size = {}, {}, 0
-        if held or spans:
-            yield from flush()
+            for found in cut(batch):
+                held.append(found)
+                size += found.nbytes
+                if size - kept >= PIECES:  # copies go first, and if little is left without them, it stays
+                    rows_, more = sifted(held)
+                    spans.append(more)
+                    held, size = [rows_], rows_.nbytes
+                    kept = size
+                    if 2 * size >= PIECES or sum(x.nbytes for x in spans) >= PIECES:
+                        yield from sent(rows_, np.concatenate(spans, 1))
+                        held, spans, size, kept = [], [np.empty((4, 0), np.int64)], 0, 0
+        if held:
+            rows_, more = sifted(held)
+            yield from sent(rows_, np.concatenate([*spans, more], 1))
 
     return texts.select("u", "id", "text", "answers", "hot").mapInArrow(run, "at int, piece binary, id long, u long, place int, more array<int>, spans array<int>")
 
 
-def meeting(pieces: list[bytes], anchor: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+def meeting(pieces: pa.BinaryArray, anchor: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """Whether a piece may share a string of `length` bytes that covers the anchor with another piece of that anchor: a rolling
     hash of these strings, each at its distance from the anchor, rules out most that share little more than the anchor."""
     n, width = len(pieces), 2 * length - GRAM
     if not n:
         return np.zeros(0, bool)
     lead = length - GRAM  # what a full piece has before its anchor
-    begin, size = lead - at, np.array([len(p) for p in pieces])
+    begin, size = lead - at, pa.compute.binary_length(pieces).to_numpy().astype(np.int64)
     table = np.zeros((n, width), np.uint64)
-    flat = np.frombuffer(b"".join(pieces), np.uint8)
+    flat = np.frombuffer(b"".join(pieces.to_pylist()), np.uint8)
     rows_ = np.repeat(np.arange(n), size)
     table[rows_, begin[rows_] + np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat + np.uint64(1)
     base = np.uint64(0x9E3779B97F4A7C15)
@@ -269,8 +345,9 @@ def meeting(pieces: list[bytes], anchor: np.ndarray, at: np.ndarray, length: int
     return out
 
 
-def removable(pieces: list[bytes], least_id: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """For every start of a string of `length` bytes in the pieces, the smallest id of a piece that has this string, too."""
+def removable(pieces: list[bytes], least_id: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """For every byte of the pieces, each with one byte behind it, the smallest id of a piece that has the string of `length` bytes from there, too,
+    `LAST` where none begins; and where the pieces start."""
     data = b"\x00".join(pieces) + b"\x00"
     sizes = np.array([len(p) + 1 for p in pieces])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -283,59 +360,73 @@ def removable(pieces: list[bytes], least_id: np.ndarray, length: int = LENGTH) -
     ids = np.where(inside, least_id[owner[sa]], LAST)
     least = np.zeros(len(data), np.int64)
     least[sa] = np.repeat(np.minimum.reduceat(ids, groups), np.diff(np.append(groups, len(sa))))
-    return [least[a : a + max(0, len(p) - length + 1)] for a, p in zip(starts, pieces)]
+    return least, starts
 
 
 def _found(pieces: DataFrame, length: int) -> DataFrame:
     """(u, id, spans): flat begin and end of the bytes that go."""
-    def solve(hs, pcs, ats, ids, us, places):
-        distinct: dict[bytes, int] = {}
-        number = [distinct.setdefault(p, len(distinct)) for p in pcs]
-        least = np.full(len(distinct), LAST, np.int64)
-        np.minimum.at(least, number, np.array(ids, np.int64))
-        texts = list(distinct)
-        kinds: dict[int, dict[int, int]] = {}
-        for h, i, at in zip(hs, number, ats):
-            kinds.setdefault(h, {})[i] = at
-        several = [(h, i, at) for h, s in kinds.items() if len(s) > 1 for i, at in s.items()]
-        alike = meeting([texts[i] for _, i, _ in several], *(np.array([x[k] for x in several], np.int64) for k in (0, 2)), length)
-        mixed = sorted({i for (_, i, _), meets in zip(several, alike) if meets})
-        begins: list = [None] * len(texts)
-        for i, m in zip(mixed, removable([texts[i] for i in mixed], least[mixed], length) if mixed else []):
-            begins[i] = m
-        users, owners, spans = [], [], []
-        for i, id_, u, at in zip(number, ids, us, places):
-            if begins[i] is None:
-                if least[i] < id_:
-                    one = [(0, len(texts[i]))] if len(texts[i]) >= length else []
-                else:
-                    one = []
-            else:
-                go = np.flatnonzero(begins[i] < id_)
-                one = list(zip(*(x.tolist() for x in merged(go, go + length)))) if len(go) else []
-            if one:
-                users.append(u)
-                owners.append(id_)
-                spans.append([x for b in at for p, q in one for x in (b + p, b + q)])
-        return pa.RecordBatch.from_arrays([pa.array(users, pa.int64()), pa.array(owners, pa.int64()), pa.array(spans, pa.list_(pa.int32()))], ["u", "id", "spans"])
+    def solve(sent: pa.Table) -> pa.RecordBatch:
+        """Whole groups of pieces, in the order of their anchors."""
+        h, at, id_, u, place = (sent[c].to_numpy() for c in ("h", "at", "id", "u", "place"))
+        at = np.maximum(at, 0)
+        coded = sent["piece"].combine_chunks().dictionary_encode()
+        texts, number = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        least = np.full(len(texts), LAST, np.int64)
+        np.minimum.at(least, number, id_)
+        group = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
+        kinds = np.unique((group * len(texts) + number) * (2 * length) + at, return_index=True)[1]
+        several = kinds[(np.bincount(group[kinds]) > 1)[group[kinds]]]
+        alike = meeting(texts.take(pa.array(number[several])), h[several], at[several], length)
+        mixed = np.unique(number[several[alike]])
+        # where pieces are all that they share, the whole piece goes; else from the first string that goes to the end of the last, as they overlap
+        sizes = pa.compute.binary_length(texts).to_numpy().astype(np.int64)[number]
+        begin, end = np.zeros(len(number), np.int64), np.where((least[number] < id_) & (sizes >= length), sizes, 0)
+        if len(mixed):
+            smallest, starts = removable(texts.take(pa.array(mixed)).to_pylist(), least[mixed], length)
+            where = np.full(len(texts), -1)
+            where[mixed] = starts
+            of = np.flatnonzero((where[number] >= 0) & (sizes >= length))
+            end[where[number] >= 0] = 0
+            n = sizes[of] - length + 1
+            row, k = np.repeat(of, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            goes = smallest[where[number[row]] + k] < id_[row]
+            row, k = row[goes], k[goes]
+            if len(row):
+                head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+                begin[row[head]] = k[head]
+                end[row[head]] = k[np.append(head[1:], len(row)) - 1] + length
+        go = np.flatnonzero(end)
+        more = sent["more"].combine_chunks().take(pa.array(go))
+        n = pa.compute.fill_null(pa.compute.list_value_length(more), 0).to_numpy() + 1
+        places = np.empty(n.sum(), np.int64)
+        first = np.zeros(len(places), bool)
+        first[np.cumsum(n) - n] = True
+        places[first], places[~first] = place[go], more.flatten().to_numpy()
+        flat = np.stack([places + np.repeat(begin[go], n), places + np.repeat(end[go], n)], 1).ravel()
+        return pa.RecordBatch.from_arrays([pa.array(u[go]), pa.array(id_[go]), _lists(2 * n, flat)], ["u", "id", "spans"])
 
     def run(batches):
-        held: list[list] = [[], [], [], [], [], []]
-        size = 0
+        held: list[pa.RecordBatch] = []
+        size, last = 0, None
         for batch in batches:
             direct = batch.filter(pa.compute.is_valid(batch.column("spans")))
             yield direct.select(["u", "id", "spans"])
             sent = batch.filter(pa.compute.is_valid(batch.column("piece")))
-            for h, at, piece, id_, u, place, more in zip(*(sent.column(c).to_pylist() for c in ("h", "at", "piece", "id", "u", "place", "more"))):
-                row = (h, piece, max(at, 0), id_, u, [place, *(more or ())])
-                if size >= SHARD_BYTES and row[0] != held[0][-1]:
-                    yield solve(*held)
-                    held, size = [[], [], [], [], [], []], 0
-                for column, value in zip(held, row):
-                    column.append(value)
-                size += len(row[1])
-        if held[0]:
-            yield solve(*held)
+            while sent.num_rows:
+                h = sent.column("h").to_numpy()
+                upto = np.cumsum(pa.compute.binary_length(sent.column("piece")).to_numpy().astype(np.int64))
+                new = np.concatenate([[last is not None and h[0] != last], h[1:] != h[:-1]])
+                full = np.flatnonzero(new & (size + np.concatenate([[0], upto[:-1]]) >= SHARD_BYTES))
+                cut = int(full[0]) if len(full) else sent.num_rows
+                if cut:
+                    held.append(sent.slice(0, cut))
+                    size, last = size + int(upto[cut - 1]), h[cut - 1]
+                if len(full):
+                    yield solve(pa.Table.from_batches(held))
+                    held, size, last = [], 0, None
+                sent = sent.slice(cut)
+        if held:
+            yield solve(pa.Table.from_batches(held))
 
     # what has one anchor goes to one partition, side by side, and around hot anchors what is one string; spans anywhere
     shared = F.when(F.col("at") == ALONE, F.col("piece")).otherwise(F.substring("piece", F.col("at") + 1, F.lit(GRAM)))
@@ -364,7 +455,7 @@ def remove_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_
     chosen = firsts.select(F.xxhash64("k", "id").alias("u"), F.col("id").alias("first_id"))
     texts = long.select("u", "id", "text").join(chosen.hint("shuffle_hash"), "u").where(same(F.col("id"), F.col("first_id"))).drop("first_id")
     # asked for the chosen copies alone: answers must come under the u that is worked on
-    answers = _answered(_asked(texts, max(SHARDS, input_bytes(documents) // SHARD_INPUT + 1)), HOT)
+    answers = _answered(_asked(texts, max(SHARDS, input_bytes(documents) // SHARD_INPUT + 1), length), HOT)
     answers = answers.groupBy("u").agg(F.collect_list("hashes").alias("answers"), F.collect_list("hot").alias("hot"))  # of one document
     pieces = _pieces(texts.join(answers.hint("shuffle_hash"), "u"), length)
     spans = _found(pieces, length).groupBy("u", "id").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # of one document
@@ -374,11 +465,10 @@ def remove_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_
     def cut(batches):
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for value, flat in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                data = _bytes(value)
-                begin, end = merged(*np.array(flat or [], np.int64).reshape(-1, 2).T)
-                edges = [0, *(x for b, e in zip(begin.tolist(), end.tolist()) for x in (b, e)), len(data)]
-                rest = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+            for data, flat in zip(_utf8(batch.column("text")), batch.column("spans").to_pylist()):
+                begin, end = merged(*np.array(flat, np.int64).reshape(-1, 2).T) if flat else ((), ())
+                edges = [0, *(int(x) for pair in zip(begin, end) for x in pair), len(data)]
+                rest = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])) if flat else data
                 values = (len(data), len(data) - len(rest), len(begin), hashlib.sha256(rest).hexdigest(), rest if kept else None)
                 for column, x in zip(out, values):
                     column.append(x)

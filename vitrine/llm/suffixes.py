@@ -1,9 +1,9 @@
 """Suffix arrays by induced sorting, and permuted common prefixes.
 
 Suffixes are classified as smaller (S) or larger (L) than their right neighbour; the leftmost smaller ones (LMS) are sorted first,
-by their substrings and, where these repeat, recursively; the order of all others is induced from theirs in two linear scans.
-The scans go bucket by bucket (a bucket: the suffixes with one first symbol), and within a bucket in waves, so that
-each step handles an array instead of one suffix. Reduced texts of the recursion, whose alphabets are large, are scanned one by one.
+by their substrings and, where these repeat, by the ranks of what follows, over twice as many substrings in each round; the order of all
+others is induced from theirs in two linear scans. The scans go bucket by bucket (a bucket: the suffixes with one first symbol), and
+within a bucket in waves, so that each step handles an array instead of one suffix. Texts of large alphabets are scanned one by one.
 """
 
 from __future__ import annotations
@@ -148,6 +148,26 @@ def _one_by_one(t: list[int], size: int) -> list[int]:
     return induce(lms)
 
 
+def _doubled(names: np.ndarray) -> np.ndarray:
+    """Starts of all suffixes of the reduced text, in order: groups of equal ranks are sorted by the ranks behind what they share, until none is left."""
+    n = len(names)
+    sa = np.argsort(names, kind="stable")
+    rank, key, at, step = np.empty(n, np.int64), names[sa], np.arange(n), 1
+    while True:
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[sa[at]] = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]  # where the group begins
+        open_ = ~new
+        open_[:-1] |= ~new[1:]
+        at = at[open_]
+        if not len(at):
+            return sa
+        start = sa[at]
+        behind = np.where(start + step < n, rank[np.minimum(start + step, n - 1)] + 1, 0)
+        key = rank[start] * (n + 1) + behind
+        order = np.argsort(key, kind="stable")
+        sa[at], key, step = start[order], key[order], 2 * step
+
+
 def suffix_array(t: np.ndarray) -> np.ndarray:
     """Starts of all suffixes of a text of small whole numbers, in order."""
     t = np.asarray(t)
@@ -155,6 +175,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     size = int(t.max()) + 1 if n else 0
     if n < 2 or size > SMALL:
         return np.array(_one_by_one(t.tolist(), size), dtype=np.int64)
+    t = t.astype(np.uint16)
     small = classify(t)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     if len(lms) > 1:
@@ -164,7 +185,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
         ordered = sa[marks[sa]]
         names = _names(t, lms, ordered)
         top = int(names.max()) + 1
-        lms = lms[_one_by_one(names.tolist(), top)] if top < len(lms) else ordered
+        lms = lms[_doubled(names)] if top < len(lms) else ordered
     return _induce(t, small, lms, size)
 
 
