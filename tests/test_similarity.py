@@ -105,3 +105,26 @@ def test_candidates_are_not_shuffled(spark, monkeypatch):
             sets.setdefault(frozenset(t for t in terms if t), url)
     assert got == set(plain_links({url: set(key) for key, url in sets.items()}, 0.5))
     assert "hashpartitioning(a#" not in written[-1] and "hashpartitioning(b#" not in written[-1]
+
+
+def test_no_task_holds_more_than_two_blocks_of_a_term(spark, monkeypatch):
+    """A term that all listings have is met block by block; pairs within and between blocks are found, by products of matrices or one by one."""
+    rows = [(f"w{i:03}", ["all", f"y{i % 3}", f"y{i % 4}"]) for i in range(12)] + listings(4)
+    df = spark.createDataFrame(rows, "url string, terms array<string>")
+    sets = {}
+    for url, terms in sorted(rows):
+        if any(terms or []):
+            sets.setdefault(frozenset(t for t in terms if t), url)
+    want = plain_links({url: set(key) for key, url in sets.items()}, 0.4)
+    vectors = similarity.weighted(similarity.nodes(df, "url", "terms"))
+    monkeypatch.setattr(similarity, "GROUP", 4)
+    met = similarity._met(vectors, 0.4).toArrow()
+    groups = met.group_by(["term", "i", "j"]).aggregate([("at", "count")])
+    of_term = met.select(["term", "node"]).group_by(["term", "node"]).aggregate([]).group_by("term").aggregate([("node", "count")])
+    assert max(groups["at_count"].to_pylist()) < max(of_term["node_count"].to_pylist()) and max(groups["j"].to_pylist()) > 3
+    for several, columns, together in ((2, 1000, 8192), (2, 3, 1), (1000, 3, 40)):
+        monkeypatch.setattr(similarity, "SEVERAL", several)
+        monkeypatch.setattr(similarity, "COLUMNS", columns)
+        monkeypatch.setattr(similarity, "ROWS", together)
+        got = [(r["a"], r["b"], r["similarity"]) for batch in similarity._weighed(iter(met.to_batches(max_chunksize=7)), 0.4) for r in batch.to_pylist()]
+        assert {(a, b): s for a, b, s in got} == want and len(got) == len(want) > 100

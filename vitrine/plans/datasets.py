@@ -13,7 +13,7 @@ from vitrine.plans import pages as P
 from vitrine.plans.registry import query
 from vitrine.plans.urls import features_sql
 from vitrine.sources.tables import read_parquet
-from vitrine.workspace import stage
+from vitrine.workspace import partitions_for, stage
 
 
 def _features(spark, sf):
@@ -182,7 +182,8 @@ ALIKE = 0.6
 def _words(spark, sf):
     segments = U.path_segments(F.col("url"))
     named = F.array_join(F.slice(segments, F.lit(1), F.greatest(F.size(segments) - 1, F.lit(0))), "/")
-    return I.url_rows(spark, sf).select("url", F.filter(F.split(named, "[/-]"), lambda t: t != "").alias("terms"))
+    rows = I.url_rows(spark, sf)
+    return rows.repartition(partitions_for(rows, 1 << 20), "url").select("url", F.filter(F.split(named, "[/-]"), lambda t: t != "").alias("terms"))
 
 
 @query("similar_listings", f"""{features_sql()}, nodes AS (SELECT min(url) AS node, terms FROM (SELECT url, {SQL_WORDS} AS terms FROM features) WHERE len(terms) > 0 GROUP BY terms),
