@@ -128,3 +128,21 @@ def test_no_task_holds_more_than_two_blocks_of_a_term(spark, monkeypatch):
         monkeypatch.setattr(similarity, "ROWS", together)
         got = [(r["a"], r["b"], r["similarity"]) for batch in similarity._weighed(iter(met.to_batches(max_chunksize=7)), 0.4) for r in batch.to_pylist()]
         assert {(a, b): s for a, b, s in got} == want and len(got) == len(want) > 100
+
+
+def test_labels_move_over_numbers_in_the_order_of_the_keys(spark, monkeypatch):
+    """Rounds shuffle whole numbers, a node's votes stand side by side, and the smallest key still names a cluster."""
+    rows = [(f"https://{'z' if i % 2 else 'é'}/{i}", terms) for i, (_, terms) in enumerate(listings(6, 40))]
+    seen, moved = [], similarity.labels
+    monkeypatch.setattr(similarity, "labels", lambda n, l, rounds: seen.append((dict(n.dtypes)["node"], dict(l.dtypes)["a"])) or moved(n, l, rounds))
+    df = spark.createDataFrame(rows + [(None, ["only", "here"])], "url string, terms array<string>")
+    got = {r["url"]: r["cluster"] for r in similarity.clusters(df, "url", "terms", 0.5).collect()}
+    assert seen == [("bigint", "bigint")] and got.pop(None) is None
+    sets = {}
+    for url, terms in sorted(rows):
+        if any(terms or []):
+            sets.setdefault(frozenset(t for t in terms if t), url)
+    nodes = {url: set(key) for key, url in sets.items()}
+    # the row without a key counts as a set of terms in no figure
+    label = plain_labels(nodes, plain_links(nodes, 0.5))
+    assert got == {url: label[sets[frozenset(t for t in terms if t)]] if any(terms or []) else url for url, terms in rows}

@@ -20,6 +20,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitrine.operators.ordering import with_position
 from vitrine.workspace import partitions_for, ship, stage
 
 #: Whole units of similarity in one.
@@ -213,9 +214,11 @@ def _links_of(rows: pa.Table, least: float):
 
 def labels(graph_nodes: DataFrame, graph_links: DataFrame, rounds: int = 20) -> DataFrame:
     """(node, label) after label propagation, until no label moves or for `rounds` rounds at most."""
-    both = stage(
+    both = (
         graph_links.select("a", "b", "similarity").unionByName(graph_links.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))
-        .unionByName(graph_nodes.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(UNIT).cast("long").alias("similarity"))), "edges")
+        .unionByName(graph_nodes.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(UNIT).cast("long").alias("similarity"))))
+    # a node's links side by side: its votes are added up where they are read, and few are shuffled
+    both = stage(both.repartition(partitions_for(graph_links, 32 << 20), "a"), "edges")
     now = graph_nodes.select("node", F.col("node").alias("label"))
     for _ in range(rounds):
         votes = both.join(now.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"), "label").agg(F.sum("similarity").alias("votes"))
@@ -231,7 +234,10 @@ def labels(graph_nodes: DataFrame, graph_links: DataFrame, rounds: int = 20) ->
 def clusters(df: DataFrame, key: str, terms: str, least: float = 0.6, rounds: int = 20) -> DataFrame:
     """(key, cluster) of every row with terms: the smallest key of the label its terms ended with. Rows without terms are clusters of their own."""
     rows = sets(df, key, terms)
-    found = _nodes(rows)
+    found = _nodes(rows).where("node IS NOT NULL")
+    # numbers in the order of the keys stand for them while links are found and labels move
+    found = stage(with_position(found, ["node", "terms"], name="number").select(F.col("number").alias("node"), "terms", F.col("node").alias("key")), "numbered")
     ends = labels(found, links(weighted(found), least), rounds)
-    named = found.join(ends, "node").select("terms", F.col("label").alias("cluster"))
+    keys = found.select(F.col("node").alias("label"), F.col("key").alias("cluster"))
+    named = found.select("node", "terms").join(ends, "node").join(keys, "label").select("terms", "cluster")
     return rows.join(named, "terms", "left").select(F.col("key").alias(key), F.coalesce("cluster", "key").alias("cluster"))
